@@ -128,7 +128,7 @@ CRM: dict[str, str] = {
     "pl_sales_result": f"SELECT CASE WHEN {O} % 11 = 0 THEN concat('X', {O}) ELSE concat('Z', {O}) END AS elob_pandl_id FROM {{orders}}",
     "pl_parameter": f"""SELECT concat('Z', {L}) AS elob_pl_resultid, concat({named('l_partkey', PARAMETER_NAMES)}, '_', l_suppkey % 2 + 1) AS elob_name,
         CASE WHEN l_partkey % {len(PARAMETER_NAMES)} IN (0, 4, 16) THEN {named('l_suppkey', SERVICE_TEXTS)} ELSE CAST(CAST(l_quantity AS INT) AS STRING) END AS elob_parametervalue FROM {{lineitem}}
-        UNION ALL SELECT concat('Z', {L}), {named('l_suppkey', GENERAL_NAMES)}, CASE WHEN l_suppkey % {len(GENERAL_NAMES)} = 2 THEN concat('& ''a''', chr(10), l_partkey) ELSE CAST(l_linenumber AS STRING) END FROM {{lineitem}}""",
+        UNION ALL SELECT concat('Z', {L}), {named('l_suppkey', GENERAL_NAMES)}, CASE WHEN l_suppkey % {len(GENERAL_NAMES)} = 2 THEN concat(repeat('intro ', 29), '& ', chr(39), 'a', chr(39), chr(10), l_partkey) ELSE CAST(l_linenumber AS STRING) END FROM {{lineitem}}""",
     "settlement_value": f"""SELECT CASE WHEN l_linenumber = 7 THEN 'n/a' ELSE CAST({L} AS STRING) END AS sfa_pil_id, concat('MOBILE|', l_returnflag, '|', l_linestatus) AS field_code,
         {pick('l_partkey', ["concat(CAST(CAST(l_quantity AS INT) AS STRING), ' 234,50 zł')", "'#N/A'", "'abc'", None, "concat('''', l_suppkey)"])} AS field_value, concat('k', l_suppkey) AS field_key FROM {{lineitem}}""",
     "misc_field": f"""SELECT CAST({O} + 90000 AS STRING) AS sfa_pil_id,

@@ -1,0 +1,96 @@
+"""The plans: each builds one extract from the source tables and says how its target is loaded."""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
+from importlib import import_module
+from types import ModuleType
+
+from pyspark.sql import DataFrame
+
+from siftload.plans.params import Params
+from siftload.sinks.audit import RunAudit
+from siftload.sinks.target import ParquetTarget
+from siftload.sources.tables import Tables
+
+FULL_REFRESH, REPLACE_WINDOW, UPSERT, KEYED_UPDATE = "full_refresh", "replace_window", "upsert", "keyed_update"
+
+
+@dataclass(frozen=True)
+class Plan:
+    key: str
+    mode: str = FULL_REFRESH
+    target: str = ""
+    keys: Sequence[str] = ()
+    update: Sequence[str] | None = None
+    insert_only: Sequence[str] = ()
+    constants: Mapping[str, object] = field(default_factory=dict)
+    derived: str = ""
+
+    @property
+    def module(self) -> ModuleType:
+        return import_module(f"siftload.plans.{self.key}")
+
+    @property
+    def sources(self) -> Sequence[str]:
+        return self.module.SOURCES
+
+    @property
+    def columns(self) -> Sequence[str]:
+        return self.module.TARGET
+
+    def build(self, tables: Tables, params: Params) -> DataFrame:
+        return self.module.build(tables, params)
+
+    def load(self, df: DataFrame, targets: Mapping[str, ParquetTarget], params: Params) -> None:
+        target = targets[self.target or self.key]
+        if self.mode == REPLACE_WINDOW:
+            target.replace_window(df, self.module.window(params))
+        elif self.mode == UPSERT:
+            target.merge(df, self.keys, update=self.update, insert_only=self.insert_only, constants=self.constants)
+        elif self.mode == KEYED_UPDATE:
+            target.update(df, self.keys, self.update)
+        else:
+            target.full_refresh(df)
+        if self.derived:
+            targets[self.derived].refresh_from(target, self.module.DERIVED)
+
+
+def _activity_plan(key: str) -> Plan:
+    m = import_module(f"siftload.plans.{key}")
+    return Plan(key, UPSERT, keys=m.KEYS, update=m.UPDATE, insert_only=m.INSERT_ONLY, constants=m.CONSTANTS)
+
+
+# In run order: project users are set on the loaded projects.
+PLANS: dict[str, Plan] = {
+    plan.key: plan
+    for plan in (
+        Plan("pils_mobile", REPLACE_WINDOW),
+        Plan("pils_fix"),
+        Plan("pils_values"),
+        Plan("pils_parameters"),
+        Plan("contacts", UPSERT, keys=["ID"]),
+        _activity_plan("phone_calls"),
+        _activity_plan("appointments"),
+        Plan("contracts", derived="contracts_distinct"),
+        Plan("projects"),
+        Plan("project_users", KEYED_UPDATE, target="projects", keys=["PROJECT_NUMBER"], update=["USER_ICT_1", "USER_ICT_2", "USER_ICT_3", "USER_ICT_4"]),
+        Plan("project_products"),
+        Plan("project_product_params"),
+        Plan("projects_contracts"),
+        Plan("status_history", UPSERT, keys=["id"]),
+        Plan("fix_orders"),
+        Plan("fix_orders_value"),
+        Plan("potential"),
+        Plan("project_last_pils"),
+        Plan("campaigns"),
+        Plan("order_progress"),
+        Plan("e_contracts"),
+    )
+}
+
+
+def run(plan: Plan, tables: Tables, params: Params, targets: Mapping[str, ParquetTarget], audit: RunAudit) -> int:
+    """One audited load; returns the rows written."""
+    return audit.run(plan.key, lambda: plan.build(tables, params), lambda df: plan.load(df, targets, params))
