@@ -15,7 +15,7 @@ SOURCES = (
     "pl_result", "pl_sales_result", "pl_parameter", "misc_field", "contract", "system_user",
 )
 TARGET = [
-    "NIP", "ID_SOW", "OWNER", "OWNER_CODE", "PROJECT_ID", "PROJECT_OWNER", "PROJECT_OWNER_CODE", "EASY_ORDER", "PIL_ID", "REVE_TOTAL",
+    "NIP", "ID_SOW", "OWNER", "OWNER_CODE", "PROJECT_ID", "PROJECT_OWNER", "PROJECT_OWNER_CODE", "SALES_ORDER", "PIL_ID", "REVE_TOTAL",
     "REVE_INVOICES", "REVE_OPERATORS", "MARGIN", "MARGIN_TOTAL", "INFO_FULL", "INFO", "MO_ID", "MO_STATUS", "MO_STATE", "SALE_TYPE",
     "CONTRACT", "CONTRACT_TYPE", "CONTRACT_STATE", "CONTRACT_DATE", "CONTRACT_VERIFICATION", "CONTRACT_PERIOD", "PRODUCT",
     "PRODUCT_QUANTITY", "PRODUCT_DURATION", "PRODUCT_REVE_MONTHLY", "PRODUCT_REVE_MISC", "COST_VARIABLE", "COST_COMISION", "COST_OTHER",
@@ -106,7 +106,7 @@ def build(t: Tables, p: Params) -> DataFrame:
         c("elob_opportunityid").alias("PROJECT_ID"),
         c("seller_fullname").alias("PROJECT_OWNER"),
         blank(c("seller_elob_salespersonid")).alias("PROJECT_OWNER_CODE"),
-        blank(c("ordernumber")).alias("EASY_ORDER"),
+        blank(c("ordernumber")).alias("SALES_ORDER"),
         c("elob_pl_id").alias("PIL_ID"),
         "REVE_TOTAL", "REVE_INVOICES", "REVE_OPERATORS", "MARGIN",
         numbers.round_or_zero(blank(c("old_margin"))).alias("MARGIN_TOTAL"),
