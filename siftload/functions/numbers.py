@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 # Texts that stand for "no amount", and the duration code that means "see the free field".
 NO_AMOUNT = ["#N/A", ""]
+NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$|^\s*[+-]?(?i:inf|infinity)\s*$"
+PLAIN_NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)\s*$"
 FREE_FIELD_DURATION = 100
 
 
@@ -15,9 +17,14 @@ def cast_numeric(c: Column, to: str) -> Column:
     return c.try_cast(to)
 
 
+def number_from_text(c: Column, pattern: str = NUMBER_PATTERN) -> Column:
+    """Number in a text, null where it holds none. The pattern comes first, as a failing cast is slow."""
+    return F.regexp_substr(c, F.lit(pattern)).try_cast("double")
+
+
 def to_number_or_zero(c: Column, to: str = "double") -> Column:
     """Number read from text, 0 when it is none. A whole-number target drops the decimals."""
-    number = c.try_cast("double")
+    number = number_from_text(c)
     if to != "double":
         number = number.try_cast(to)
     return F.coalesce(number, F.lit(0).cast(to))
@@ -25,7 +32,7 @@ def to_number_or_zero(c: Column, to: str = "double") -> Column:
 
 def round_or_zero(c: Column, digits: int = 2) -> Column:
     """Rounded amount, 0 for the no-amount texts. Rounds the shown decimal value half up."""
-    return F.when(c.isin(*NO_AMOUNT), F.lit(0.0)).otherwise(F.round(c.try_cast("double"), digits))
+    return F.when(c.isin(*NO_AMOUNT), F.lit(0.0)).otherwise(F.round(number_from_text(c), digits))
 
 
 def number_or_zero(c: Column, to: str = "double") -> Column:

@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from siftload.functions.numbers import PLAIN_NUMBER_PATTERN, number_from_text
+
 # The characters taken out of free text, and the numbered customer id patterns.
 LINE_BREAKS = "\n\r"
 CONTROL_AND_SEPARATORS = "\n\f\r;^"
@@ -83,8 +85,7 @@ def clean_number_text(c: Column) -> Column:
 def clean_money_text(c: Column) -> Column:
     """Amount as a number. Text that still holds a letter, or is no number, gives 0."""
     bare = F.translate(F.replace(clean_number_text(c), F.lit(CURRENCY), F.lit("")), "'", "")
-    number = F.when(contains_letters(bare), F.lit(None)).otherwise(bare.try_cast("double"))
-    return F.coalesce(number, F.lit(0.0))
+    return F.coalesce(number_from_text(bare, PLAIN_NUMBER_PATTERN), F.lit(0.0))
 
 
 def split_code(c: Column, parts: int = 4, separator: str = r"\|") -> list[Column]:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftload.functions.text import suffix_after_underscore
+from siftload.sources.staging import staged
 
 
 def eav_pivot(df: DataFrame, keys: Sequence[str], name: str, value: str, names: Mapping[str, str]) -> DataFrame:
@@ -60,22 +61,26 @@ def join_families(
 ) -> DataFrame:
     """Left joins the values of each family that share owner and suffix with the row.
 
-    (owner, suffix) pairs that hold at most one value per family, nearly all of them, are pivoted in one
-    aggregation. Only pairs with repeated families are multiplied out by joins, so no row is lost.
+    (owner, suffix) pairs with at most one value per family, nearly all of them, are pivoted in one
+    aggregation. The values of the other pairs are written out once, split by family, and multiplied out
+    by joins that each read their own family only. No row is lost or capped.
     """
     keys = ["owner", "suffix"]
     counted = by_suffix.groupBy(*keys).agg(
         *[F.max(F.when(F.col("family") == f, F.col("value"))).alias(out) for f, out in families.items()],
-        F.greatest(
-            F.lit(0),
-            *[F.count(F.when(F.col("family") == f, F.lit(1))) for f in families],
-        ).alias("__most"),
+        F.greatest(F.lit(0), *[F.count(F.when(F.col("family") == f, F.lit(1))) for f in families]).alias("__most"),
     )
     on_pair = (F.col(owner) == F.col("owner")) & (F.col(suffix) == F.col("suffix"))
-    wide = df.join(counted, on_pair, "left").drop(*keys)
-    single = wide.where(F.col("__most").isNull() | (F.col("__most") <= 1)).drop("__most")
-    repeated = wide.where(F.col("__most") > 1).select(*df.columns)
+    single = df.join(counted, on_pair, "left").where(F.coalesce(F.col("__most"), F.lit(0)) <= 1)
+    single = single.select(*df.columns, *families.values())
+
+    several = by_suffix.groupBy(*keys, "family").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select(*keys).distinct()
+    rest = staged(by_suffix.join(several, keys, "left_semi"), ["family"])
+    if rest.isEmpty():
+        return single
+    pairs = rest.select(*keys).distinct()
+    repeated = df.join(pairs, on_pair, "left_semi")
     for family, out in families.items():
-        values = by_suffix.where(F.col("family") == family).select(*keys, F.col("value").alias(out))
+        values = rest.where(F.col("family") == family).select(*keys, F.col("value").alias(out))
         repeated = repeated.join(values, on_pair, "left").drop(*keys)
     return single.unionByName(repeated)

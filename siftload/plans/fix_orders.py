@@ -76,6 +76,12 @@ def as_role(df: DataFrame, prefix: str, *keys: str, commission: bool = True) ->
     ).distinct()
 
 
+def final_fix_role(priced: DataFrame, prefix: str) -> DataFrame:
+    """Final fixed-line calculations by project."""
+    final_fix = (c("elob_finalpl") == 1) & (c("elob_pltype") == fv.FIX_CALCULATION)
+    return as_role(priced.where(final_fix), prefix, "elob_project")
+
+
 def offer_label(prefix: str) -> Column:
     has_offer, has_map = (F.coalesce(c(f"{prefix}_{x}"), F.lit(False)) for x in ("offer", "map"))
     return codes.classify([(has_map, fv.COMPETENCE_MAP), (has_offer, fv.READY_OFFER)])
@@ -123,9 +129,14 @@ def addresses(t: Tables) -> DataFrame:
     )
 
 
-def orders(t: Tables, p: Params, priced: DataFrame) -> DataFrame:
-    """Numbered orders with their project, address, parameters, service kind and latest decision."""
-    rows = t["fixed_order"].where(c("elob_ordernumber").isNotNull()).select(
+def orders(t: Tables, p: Params, priced: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Numbered orders of the wanted contracts with project, address, parameters, service kind and latest decision.
+
+    The orders are cut down to those contracts before anything is joined to them.
+    """
+    rows = t["fixed_order"].where(c("elob_ordernumber").isNotNull()).join(
+        wanted, c("elob_contract") == c("contractid"), "left_semi"
+    ).select(
         "elob_sokxorder2id", "elob_ordernumber", c("elob_contract").alias("order_of"), "elob_project", "elob_soldproduct", "elob_location",
         c("statuscode").alias("order_statuscode"), "elob_operation", "elob_path", "elob_process", c("ownerid").alias("order_owner"),
         "elob_salesadministrationuser", "elob_doublebooking", "elob_testcompletiondate",
@@ -143,10 +154,10 @@ def orders(t: Tables, p: Params, priced: DataFrame) -> DataFrame:
         "opportunityid", c("elob_opportunityid").alias("project_number"), "elob_initiative", c("ownerid").alias("project_owner"),
         c("elob_coronavirus").alias("project_flag"),
     )
-    projects = label(projects, t, "elob_initiative", "initiative", fv.INITIATIVE)
-    projects = user(projects, t, "project_owner", "leader", "fullname", "domainname", "elob_salespersonid")
-    final_fix = (c("elob_finalpl") == 1) & (c("elob_pltype") == fv.FIX_CALCULATION)
-    projects = projects.join(as_role(priced.where(final_fix), "final", "elob_project"), c("opportunityid") == c("final_elob_project"), "left")
+    rows = rows.join(projects, c("elob_project") == c("opportunityid"), "left")
+    rows = label(rows, t, "elob_initiative", "initiative", fv.INITIATIVE)
+    rows = user(rows, t, "project_owner", "leader", "fullname", "domainname", "elob_salespersonid")
+    rows = rows.join(final_fix_role(priced, "final"), c("opportunityid") == c("final_elob_project"), "left")
 
     sold = t["sold_product"].select("elob_soldproductid", c("elob_name").alias("product_name"))
     kinds = service_kinds(t, p, keep_unknown=True)
@@ -164,8 +175,7 @@ def orders(t: Tables, p: Params, priced: DataFrame) -> DataFrame:
 
     key = c("elob_sokxorder2id")
     return (
-        rows.join(projects, c("elob_project") == c("opportunityid"), "left")
-        .join(sold, c("elob_soldproduct") == c("elob_soldproductid"), "left")
+        rows.join(sold, c("elob_soldproduct") == c("elob_soldproductid"), "left")
         .join(kind_of_parent, c("elob_soldproductid") == c("service_of"), "left")
         .join(addresses(t), c("elob_location") == c("elob_addressid"), "left")
         .join(parameter(fv.CONSENT_NUMBER, "consent"), key == c("consent_of"), "left")
@@ -208,17 +218,18 @@ def build(t: Tables, p: Params) -> DataFrame:
     out = label(out, t, "elob_contractratetype", "contract_rate", fv.CONTRACT_RATE_TYPE)
     out = user(out, t, "contract_owner", "holder", "fullname", "domainname", "elob_salespersonid", how="inner")
 
-    direct = t["opportunity"].where(c("elob_contract").isNotNull()).select(
+    wanted = contracts.select("contractid")
+    direct = t["opportunity"].join(wanted, c("elob_contract") == c("contractid"), "left_semi").select(
         c("elob_contract").alias("direct_of"), c("opportunityid").alias("direct_key"), c("elob_opportunityid").alias("direct_number"),
         c("elob_coronavirus").alias("direct_flag"),
     )
-    final_fix = (c("elob_finalpl") == 1) & (c("elob_pltype") == fv.FIX_CALCULATION)
-    direct = direct.join(as_role(priced.where(final_fix), "linked", "elob_project"), c("direct_key") == c("linked_elob_project"), "left")
+    direct = direct.join(final_fix_role(priced, "linked"), c("direct_key") == c("linked_elob_project"), "left")
 
     owners = t["activity_pointer"].select(c("activityid").alias("owned"), c("ownerid").alias("calculation_owner"))
     owned = user(priced.join(owners, c("activityid") == c("owned"), "left"), t, "calculation_owner", "pricer", "domainname")
+    # The same columns under both roles, as under "linked" and "final", so that Spark works the rows out once.
     own = as_role(owned, "own", "activityid", "pricer_domainname", commission=False)
-    attached = as_role(owned, "attached", "pricer_domainname", commission=False)
+    attached = as_role(owned, "attached", "activityid", "pricer_domainname", commission=False)
 
     helpers = t["contributor"].select(c("elob_contract").alias("helped"), "representativeid").distinct()
     helpers = user(helpers, t, "representativeid", "helper", "fullname", "domainname", "elob_salespersonid")
@@ -229,7 +240,7 @@ def build(t: Tables, p: Params) -> DataFrame:
     key = c("contractid")
     out = (
         out.join(direct, key == c("direct_of"), "left")
-        .join(orders(t, p, priced), key == c("order_of"), "left")
+        .join(orders(t, p, priced, wanted), key == c("order_of"), "left")
         .join(helpers, key == c("helped"), "left")
         .join(archive, key == c("archived"), "left")
         .join(own, c("elob_plnumber") == c("own_activityid"), "left")
@@ -269,7 +280,7 @@ def build(t: Tables, p: Params) -> DataFrame:
         blank(c("direct_number")).alias("PROJEKT_POWIAZANY_BEZP_Z_UM"),
         blank(c("linked_id")).alias("ID_PIL_FIX_FINAL_Z_PPBZU"),
         number(c("linked_margin")).alias("MARZA_Z_PILFINAL_Z_PPBZU"),
-        number(c("linked_commission")).alias("MARZA_UWZGL_PROW_FINAL_Z_PPBZU"),
+        numbers.to_number_or_zero(c("linked_commission")).alias("MARZA_UWZGL_PROW_FINAL_Z_PPBZU"),
         number(c("linked_revenue")).alias("REVE_Z_PILA_FINAL_Z_PPBZU"),
         offer_label("linked").alias("MAPA_KOMPETENCJI_OG"),
         blank(c("elob_ordernumber")).alias("NR_ZAM_SOKX"),
@@ -289,7 +300,7 @@ def build(t: Tables, p: Params) -> DataFrame:
         blank(c("leader_elob_salespersonid")).alias("KOD_BSCS_WL_PRO"),
         blank(c("final_id")).alias("ID_PIL_FINALNEGO"),
         number(c("final_margin")).alias("MARZA_Z_PIL"),
-        number(c("final_commission")).alias("MARZA_UWGLEDNIAJACA_PROWIZJE"),
+        numbers.to_number_or_zero(c("final_commission")).alias("MARZA_UWGLEDNIAJACA_PROWIZJE"),
         number(c("final_revenue")).alias("REVE_Z_PILA"),
         offer_label("final").alias("MAPA_KOMPETENCJI_OG1"),
         blank(text.sentinel_to_null(c("elob_barcode"))).alias("UM_BARKOD"),

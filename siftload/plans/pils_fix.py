@@ -8,6 +8,7 @@ from siftload.operators import eav
 from siftload.plans import fixed_values as fv
 from siftload.plans.common import blank, c, calculation_attributes, label, without_test_customers
 from siftload.plans.params import Params
+from siftload.sources.staging import staged
 from siftload.sources.tables import Tables
 
 SOURCES = (
@@ -23,9 +24,16 @@ TARGET = [
 SERVICE = "service"
 
 
-def services(t: Tables) -> DataFrame:
-    """Service rows of a calculation with the suffix that ties their attributes to them."""
-    attributes = t["pl_parameter"].withColumn("elob_name", F.lower("elob_name"))
+def services(t: Tables, wanted: DataFrame) -> DataFrame:
+    """Service rows of the wanted calculations with the suffix that ties their attributes to them.
+
+    The attributes of the wanted calculations are staged: a small part of the largest table, read many times.
+    """
+    attributes = staged(
+        t["pl_parameter"]
+        .join(wanted, c("elob_pl_resultid") == c("wanted_id"), "left_semi")
+        .select("elob_pl_resultid", F.lower("elob_name").alias("elob_name"), "elob_parametervalue")
+    )
     named = attributes.where(eav.any_like(c("elob_name"), fv.SERVICE_PATTERNS)).select(
         c("elob_pl_resultid").alias("service_of"),
         text.suffix_after_underscore(text.remap_values(c("elob_name"), fv.SERVICE_RENAMES)).alias("service_suffix"),
@@ -59,7 +67,7 @@ def build(t: Tables, p: Params) -> DataFrame:
         .join(figures, c("elob_plstatistic") == c("elob_plresultid"))
         .join(sold, c("elob_pandl_id") == c("sold_id"))
     )
-    out = calculations.join(services(t), c("sold_id") == c("service_of"), "left")
+    out = calculations.join(services(t, calculations.select(c("sold_id").alias("wanted_id"))), c("sold_id") == c("service_of"), "left")
     for name, column, like in (
         (fv.COMMISSION_MARGIN, "commission", True),
         (fv.COMPETENCE_PARAMETER, "competence", False),
@@ -69,7 +77,7 @@ def build(t: Tables, p: Params) -> DataFrame:
         out = out.join(calculation_attributes(t, name, column, like), c("sold_id") == c(f"{column}_of"), "left")
 
     def family_number(name: str):
-        return numbers.number_or_zero(c(f"v_{name}")).alias(name)
+        return numbers.to_number_or_zero(c(f"v_{name}")).alias(name)
 
     def family_text(name: str, default: str = ""):
         return blank(c(f"v_{name}"), default).alias(name)
@@ -87,7 +95,7 @@ def build(t: Tables, p: Params) -> DataFrame:
         blank(c("elob_acceptancepath")).alias("sciezka_akceptacji_pil"),
         numbers.number_or_zero(c("elob_fix_margin_on_contract")).alias("marza_kontrakt_proc"),
         numbers.number_or_zero(c("elob_fix_total_revenue_new")).alias("wartosc_reve_nowa"),
-        numbers.number_or_zero(c("commission")).alias("marza_uwzgl_prowizje_proc"),
+        numbers.to_number_or_zero(c("commission")).alias("marza_uwzgl_prowizje_proc"),
         blank(c(SERVICE)).alias("nazwa_uslugi_produktu"),
         text.like_label(c(SERVICE), fv.SERVICE_KEEP_OR_NEW).alias("utrzymanie_akwizycja"),
         text.like_label(c(SERVICE), fv.LOYALTY_PERIODS).alias("dl_lojalki"),
@@ -101,7 +109,7 @@ def build(t: Tables, p: Params) -> DataFrame:
         family_text("opcja_produktu_uslugi"),
         family_number("ilosc_portow"),
         family_number("oplata_mies_serwis"),
-        numbers.number_or_zero(c("v_ilosc_pakietow"), "int").alias("ilosc_pakietow"),
+        numbers.to_number_or_zero(c("v_ilosc_pakietow"), "int").alias("ilosc_pakietow"),
         codes.decode_ladder(c("elob_coronavirus"), fv.FINAL_FLAGS).alias("projekt_flaga_koronawirus"),
         family_text("opcja_sla", "0"),
         family_number("oplata_za_sla"),

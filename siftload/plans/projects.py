@@ -56,7 +56,7 @@ def calculation_totals(t: Tables) -> DataFrame:
         .join(calculation_attributes(t, fv.OPERATOR_REVENUE, "operators", like=True), c("sold_id") == c("operators_of"), "left")
     )
     is_fixed = c("elob_pltype") == fv.FIX_CALCULATION
-    mobile_revenue = numbers.number_or_zero(c("invoiced")) + numbers.number_or_zero(c("operators"))
+    mobile_revenue = numbers.to_number_or_zero(c("invoiced")) + numbers.to_number_or_zero(c("operators"))
     margin = numbers.margin_formula(
         c("elob_mobilediscountedcashmargin"), is_fixed, c("elob_fix_margin_on_contract"), c("elob_fix_total_revenue_new"),
         c("elob_mobile_contributionmargin"), mobile_revenue,

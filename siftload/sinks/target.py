@@ -8,8 +8,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from siftload.session import work_dir
 from siftload.sinks import merge
+from siftload.sources.staging import staged
 
 JDBC_BATCH = 15_000
 
@@ -85,11 +85,8 @@ class ParquetTarget:
         self._write(new_rows, self.path, "overwrite", partitionOverwriteMode="dynamic")
 
     def stage(self, df: DataFrame) -> tuple[DataFrame, int]:
-        """Writes the extract once to the shared work folder; its row count then comes from the footers."""
-        folder = work_dir(self.spark)
-        df.write.parquet(folder)
-        staged = self.spark.read.schema(df.schema).parquet(folder)
-        return staged, staged.count()
+        rows = staged(df)
+        return rows, rows.count()
 
     def merge(self, source: DataFrame, keys: Sequence[str], **how) -> int:
         staged, rows = self.stage(source)

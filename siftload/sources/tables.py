@@ -12,6 +12,13 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 500_000
 
 
+def estimated_small(df: DataFrame) -> bool:
+    """Will Spark broadcast ``df`` by its own size estimate anyway?"""
+    threshold = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= threshold
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
     """Counts at most ``max_rows + 1`` rows, so the check stays cheap on a table that is too big."""
     return df.limit(max_rows + 1).count() <= max_rows
@@ -26,7 +33,8 @@ class Tables:
     """Logical table name to DataFrame. Names may carry a namespace: ``crm.account``.
 
     ``tables["x"]`` is the plain frame. ``tables.lookup("x")`` is the frame for the small side of a
-    join: it carries a broadcast hint only if a count has shown the table to be small.
+    join: a table that Spark estimates to be small needs no hint; any other carries a broadcast hint only
+    if a count has shown it to be small, and is joined by shuffle if not.
     """
 
     def __init__(self, frames: Mapping[str, DataFrame] | None = None, max_broadcast_rows: int = MAX_BROADCAST_ROWS):
@@ -58,6 +66,8 @@ class Tables:
 
     def lookup(self, name: str) -> DataFrame:
         df = self[name]
+        if estimated_small(df):
+            return df
         if name not in self._small:
             self._small[name] = fits_broadcast(df, self.max_broadcast_rows)
         return F.broadcast(df) if self._small[name] else df
