@@ -95,7 +95,7 @@ CRM: dict[str, str] = {
     "account": f"""SELECT concat('A', {C}) AS accountid, concat('Acc;', chr(10), c_name) AS name,
         CASE WHEN {C} % 7 = 0 THEN NULL ELSE concat('N', {C}) END AS elob_nip, CASE WHEN {C} % 5 = 0 THEN NULL ELSE concat('G', {C}) END AS elob_regon,
         {pick(C, [f"concat('R', {C}, 'R002')", f"concat('R', {C}, 'R', {C} + 10000)", None, f"concat('K', {C})", f"concat('K', {C})"])} AS elob_sowid,
-        CAST(1 + {C} % 5 AS INT) AS elob_businesssegment, concat('P', c_nationkey) AS elob_portfolio, concat('U', {C} % 97) AS ownerid,
+        CAST(1 + {div(C, 5)} % 5 AS INT) AS elob_businesssegment, concat('P', c_nationkey) AS elob_portfolio, concat('U', {C} % 97) AS ownerid,
         CASE WHEN {C} % 11 = 0 THEN 1 ELSE 0 END AS statecode, CASE WHEN {C} % 13 = 0 THEN NULL ELSE concat('T', {C}) END AS primarycontactid FROM {{customer}}""",
     "contact": f"""SELECT concat('T', {C}) AS contactid, concat('Full', chr(10), chr(13), c_name) AS fullname, CASE WHEN {C} % 4 = 0 THEN NULL ELSE concat('First', chr(13), {C}) END AS firstname,
         concat('Last', c_nationkey) AS lastname, CASE WHEN {C} % 3 = 0 THEN NULL ELSE concat('+48', chr(10), {C}) END AS mobilephone,
@@ -132,8 +132,8 @@ CRM: dict[str, str] = {
     "settlement_value": f"""SELECT CASE WHEN l_linenumber = 7 THEN 'n/a' ELSE CAST({L} AS STRING) END AS sfa_pil_id, concat('MOBILE|', l_returnflag, '|', l_linestatus) AS field_code,
         {pick('l_partkey', ["concat(CAST(CAST(l_quantity AS INT) AS STRING), ' 234,50 zł')", "'#N/A'", "'abc'", None, "concat('''', l_suppkey)"])} AS field_value, concat('k', l_suppkey) AS field_key FROM {{lineitem}}""",
     "misc_field": f"""SELECT CAST({O} + 90000 AS STRING) AS sfa_pil_id,
-        {named(O, ['MOBILE|SIMfree|rozliczenie|deklaracja_wykorzystanie', 'MOBILE|SIMfree|rozliczenie|BSCS_terminal_1', 'MOBILE|WSKAZNIKI|WARTOSC|KWOTA_PROWIZJI_KLUCZ_LUB_KORPO', 'MOBILE|SIMfree|rozliczenie|deklaracja_wykorzystanie_2', 'MOBILE_M2M|TOTAL|CF|TOTAL_CF_ZL_DISCOUNTED_CASH_FLOW_DPV', 'MOBILE_M2M|TOTAL|CF|TOTAL_CF_ZL_DISCOUNTED_CASH_FLOW_DPV_old'])} AS field_code,
-        {pick(div(O, 6), ["'odsprzedaż zł'", f"CAST({O} AS STRING)", "'#N/A'", f"concat({O}, '.25')"])} AS field_value, concat('m', {O}) AS field_key FROM {{orders}}""",
+        {named(div(O, 7), ['MOBILE|SIMfree|rozliczenie|deklaracja_wykorzystanie', 'MOBILE|SIMfree|rozliczenie|BSCS_terminal_1', 'MOBILE|WSKAZNIKI|WARTOSC|KWOTA_PROWIZJI_KLUCZ_LUB_KORPO', 'MOBILE|SIMfree|rozliczenie|deklaracja_wykorzystanie_2', 'MOBILE_M2M|TOTAL|CF|TOTAL_CF_ZL_DISCOUNTED_CASH_FLOW_DPV', 'MOBILE_M2M|TOTAL|CF|TOTAL_CF_ZL_DISCOUNTED_CASH_FLOW_DPV_old'])} AS field_code,
+        {pick(div(O, 12), ["'odsprzedaż zł'", f"CAST({O} AS STRING)", "'#N/A'", f"concat({O}, '.25')"])} AS field_value, concat('m', {O}) AS field_key FROM {{orders}}""",
     "activity_pointer": f"""SELECT concat('L', {O}) AS activityid, 10046 AS activitytypecode, CAST(NULL AS STRING) AS regardingobjectid, 'PIL' AS subject, {LATER} AS scheduledstart, {LATER} AS scheduledend,
         {LATER} AS createdon, {LATER} AS modifiedon, 'U1' AS createdby, 'U1' AS createdonbehalfby, 'U1' AS modifiedby, 'U1' AS modifiedonbehalfby, concat('U', {O} % 83) AS ownerid,
         CAST({pick(O, ['1', '2', '743940000', '2'])} AS INT) AS statuscode, 0 AS statecode FROM {{orders}}
@@ -143,7 +143,7 @@ CRM: dict[str, str] = {
         CASE WHEN {E} % 3 = 0 THEN NULL ELSE concat('U', user_id % 50) END, concat('U', {E} % 60), CASE WHEN {E} % 5 = 0 THEN NULL ELSE concat('U', user_id % 40) END, concat('U', {E} % 97),
         CAST({E} % 4 AS INT), CAST({E} % 2 AS INT) FROM {{events}}
         UNION ALL SELECT concat('CA', {S}), 4402, concat('CMP', {S}), concat('action ', {S}), {LATER}, {LATER}, {LATER}, {LATER}, 'U1', 'U1', 'U1', 'U1', 'U1', 1, 0 FROM {{supplier}} JOIN {{orders}} ON {O} = {S}""",
-    "appointment": f"""SELECT concat('E', {E}) AS activityid, CASE WHEN {E} % 5 = 0 THEN NULL ELSE concat('A', user_id) END AS elob_relatedaccount, CAST({E} % 3 AS INT) AS elob_subjecttype,
+    "appointment": f"""SELECT concat('E', {E}) AS activityid, CASE WHEN {E} % 5 = 0 THEN NULL ELSE concat('A', user_id) END AS elob_relatedaccount, CAST({div(E, 3)} % 3 AS INT) AS elob_subjecttype,
         CAST({E} % 4 AS INT) AS elob_extendedstausreason FROM {{events}}""",
     "phone_call": f"""SELECT concat('E', {E}) AS activityid, CASE WHEN {E} % 7 = 0 THEN NULL ELSE concat('A', user_id) END AS elob_relatedaccount, concat('LD', {E} % 150) AS elob_relatedlead,
         concat('AN', {E} % 30) AS elob_answer, CASE WHEN {E} % 4 = 0 THEN NULL ELSE ts - INTERVAL 38 MONTH END AS elob_onholddate, CASE WHEN {E} % 3 = 0 THEN NULL ELSE concat(props, ';', chr(10)) END AS new_1 FROM {{events}}""",
@@ -157,30 +157,30 @@ CRM: dict[str, str] = {
         ts - INTERVAL 34 MONTH AS enteredon, CASE WHEN {E} % 6 = 0 THEN NULL ELSE ts - INTERVAL 33 MONTH END AS workeridmodifiedon FROM {{events}}""",
     "lead": f"SELECT concat('LD', {S}) AS leadid, CASE WHEN {S} % 5 = 0 THEN NULL ELSE concat('Lead ', {S}) END AS subject, concat('ML', {S}) AS elob_marketinglistid FROM {{supplier}}",
     "contract": f"""SELECT concat('C', {O}) AS contractid, concat('CN-', {O}) AS contractnumber, concat('A', o_custkey) AS customerid, concat('U', {O} % 71) AS ownerid, {LATER} AS createdon, {LATER} + INTERVAL 5 DAY AS modifiedon,
-        CAST({pick(O, ['6', '100000002', '743940004', '743940000', '1', '77'])} AS INT) AS statuscode, concat('CAT', {O} % 3) AS elob_categoryid, CASE WHEN {O} % 4 = 0 THEN NULL ELSE concat('CAT', {O} % 7) END AS elob_subcategory,
-        CAST(1 + {div(O, 2)} % 4 AS INT) AS elob_contracttype, CASE WHEN {O} % 9 = 0 THEN NULL ELSE {LATER} + INTERVAL 1 DAY END AS elob_revisiondate,
+        CAST({pick(div(O, 3), ['6', '100000002', '743940004', '743940000', '1', '77'])} AS INT) AS statuscode, concat('CAT', {O} % 3) AS elob_categoryid, CASE WHEN {O} % 4 = 0 THEN NULL ELSE concat('CAT', {O} % 7) END AS elob_subcategory,
+        CAST(1 + {div(O, 2)} % 4 AS INT) AS elob_contracttype, CASE WHEN {div(O, 4)} % 9 = 0 THEN NULL ELSE {LATER} + INTERVAL 1 DAY END AS elob_revisiondate,
         CASE WHEN {O} % 4 = 0 THEN NULL ELSE {LATER} + INTERVAL 23 HOUR END AS elob_signedbycustomeron, CASE WHEN {O} % 8 = 0 THEN NULL ELSE {LATER} + INTERVAL 9 HOUR END AS elob_senttocustomeron,
-        CAST({pick(O, ['743940002', '743940003', '1', None, None])} AS INT) AS elob_transferdocumenttype, CAST({O} % 4 AS INT) AS elob_econtractstatus, CAST({pick(O, ['0', '1', '2', None, None, None, None])} AS INT) AS elob_acceptancefornoncontractmode,
-        CASE WHEN {O} % 3 = 0 THEN NULL ELSE concat('BA', o_custkey) END AS elob_billingaccount, CASE WHEN {O} % 3 = 1 THEN NULL ELSE concat('L', {O} + 3) END AS elob_plnumber,
-        CASE WHEN {O} % 4 = 1 THEN NULL ELSE CAST({O} + 90001 AS STRING) END AS elob_attachedplnumber, CAST({O} % 3 AS INT) AS elob_contractratetype, CAST({pick(O, ['12', '24', None])} AS INT) AS elob_durationtimeinmonths FROM {{orders}}""",
-    "contract_archive": f"""SELECT CASE WHEN {O} % 3 = 0 THEN concat('X', {O}) ELSE concat('C', {O}) END AS elob_contract, CASE WHEN {O} % 5 = 0 THEN NULL ELSE {LATER} + INTERVAL 40 DAY END AS elob_archivingdate,
-        {pick(O, ["'null'", None, f"concat('BC', {O})"])} AS elob_barcode, {named(div(O, 3), ['ZARCHIWIZOWANO w teczce', 'inne'])} AS elob_comments, CAST({O} % 3 AS INT) AS elob_tigerstatus FROM {{orders}}""",
+        CAST({pick(div(O, 3), ['743940002', '743940003', '1', None, None, None, None])} AS INT) AS elob_transferdocumenttype, CAST({O} % 4 AS INT) AS elob_econtractstatus, CAST({pick(O, ['0', '1', '2', None, None, None, None])} AS INT) AS elob_acceptancefornoncontractmode,
+        CASE WHEN {O} % 3 = 0 THEN NULL ELSE concat('BA', o_custkey) END AS elob_billingaccount, CASE WHEN {div(O, 5)} % 3 = 1 THEN NULL ELSE concat('L', {O} + 4) END AS elob_plnumber,
+        CASE WHEN {O} % 4 = 1 THEN NULL ELSE CAST({O} + 90001 AS STRING) END AS elob_attachedplnumber, CAST({div(O, 4)} % 3 AS INT) AS elob_contractratetype, CAST({pick(O, ['12', '24', None])} AS INT) AS elob_durationtimeinmonths FROM {{orders}}""",
+    "contract_archive": f"""SELECT CASE WHEN {div(O, 5)} % 3 = 0 THEN concat('X', {O}) ELSE concat('C', {O}) END AS elob_contract, CASE WHEN {O} % 5 = 0 THEN NULL ELSE {LATER} + INTERVAL 40 DAY END AS elob_archivingdate,
+        {pick(div(O, 7), ["'null'", None, f"concat('BC', {O})"])} AS elob_barcode, {named(div(O, 3), ['ZARCHIWIZOWANO w teczce', 'inne'])} AS elob_comments, CAST({div(O, 11)} % 3 AS INT) AS elob_tigerstatus FROM {{orders}}""",
     "contract_opportunity": "SELECT concat('O', l_orderkey) AS opportunityid, concat('C', l_partkey) AS contractid FROM {lineitem}",
     "category": _keyed_by_nation(elob_categoryid=f"concat('CAT', {N})", elob_name=f"concat('cat ', {N})"),
     "contributor": f"SELECT CASE WHEN {O} % 2 = 0 THEN concat('X', {O}) ELSE concat('C', {O}) END AS elob_contract, concat('U', {O} % 50) AS representativeid FROM {{orders}}",
     "fixed_order": f"""SELECT concat('F', {O}) AS elob_sokxorder2id, CASE WHEN {O} % 10 = 0 THEN NULL ELSE concat('ORD-', {O}) END AS elob_ordernumber, {LATER} AS createdon, {LATER} + INTERVAL 3 DAY AS modifiedon,
         CAST({pick(div(O, 3), ['743940001', '1', '2', '100000001'])} AS INT) AS statuscode, CAST(1 + {O} % 4 AS INT) AS elob_operation, CAST(1 + {div(O, 7)} % 3 AS INT) AS elob_path,
         CASE WHEN {O} % 5 = 4 THEN NULL ELSE concat('C', {O}) END AS elob_contract, CASE WHEN {O} % 6 = 0 THEN NULL ELSE concat('O', {O}) END AS elob_project, concat('A', o_custkey) AS elob_customer, concat('SPR', {O}) AS elob_soldproduct,
-        CAST({pick(div(O, 5), [None, None, '1', '2', None, '3'])} AS INT) AS elob_contractsignedby, CAST({O} % 2 AS INT) AS elob_econtract, CAST({div(O, 2)} % 2 AS INT) AS elob_availableforecontractautomatic,
+        CAST({pick(div(O, 5), [None, None, '1', '2', None, None, '3', None])} AS INT) AS elob_contractsignedby, CAST({O} % 2 AS INT) AS elob_econtract, CAST({div(O, 2)} % 2 AS INT) AS elob_availableforecontractautomatic,
         CAST(1 + {O} % 2 AS INT) AS elob_realizationmode, CASE WHEN {O} % 7 = 0 THEN NULL ELSE concat('W', {O}) END AS elob_lastworkworder, concat('PP', {O} % 30) AS elob_process, CASE WHEN {O} % 8 = 0 THEN NULL ELSE concat('AD', {O}) END AS elob_location,
-        concat('U', {O} % 97) AS ownerid, CASE WHEN {O} % 3 = 0 THEN NULL ELSE concat('U', {O} % 31) END AS elob_doublebooking, CASE WHEN {O} % 4 = 0 THEN NULL ELSE concat('U', {O} % 37) END AS elob_salesadministrationuser,
+        concat('U', {O} % 97) AS ownerid, CASE WHEN {div(O, 3)} % 3 = 0 THEN NULL ELSE concat('U', {O} % 31) END AS elob_doublebooking, CASE WHEN {O} % 4 = 0 THEN NULL ELSE concat('U', {O} % 37) END AS elob_salesadministrationuser,
         CASE WHEN {O} % 5 = 0 THEN NULL ELSE {LATER} + INTERVAL 12 DAY END AS elob_testcompletiondate FROM {{orders}}""",
     "order_parameter": f"""SELECT concat('F', {L}) AS elob_sokxorder, {named('l_partkey', ['Numer zgody', 'Oferta niestandardowa', 'czas trwania umowy', 'Opłata abonamentowa netto - kwota PLN', 'Opłata instalacyjna netto (kwota PLN)', 'inne'])} AS elob_name,
         {pick('l_partkey', ["concat('Z    ', l_suppkey)", "CAST(62 + l_suppkey % 3 AS STRING)", "CAST(l_suppkey % 5 AS STRING)", "CASE WHEN l_suppkey % 4 = 0 THEN NULL ELSE concat(l_suppkey, '.5') END", "CAST(l_linenumber AS STRING)", "'x'"])} AS elob_value,
         concat('D', l_partkey % 6) AS elob_parameterdefinition FROM {{lineitem}}""",
     "parameter_definition": _keyed_by_nation(elob_parameterdefinitionid=f"concat('D', {N})"),
     "value_definition": _keyed_by_nation(elob_parameterdefinition=f"concat('D', {N} % 6)", elob_index=f"CAST({div(N, 6)} AS STRING)", elob_value=f"concat({N}, ' mies')"),
-    "work_order": f"""SELECT concat('W', {O}) AS elob_workorder2id, concat('F', {O}) AS elob_sokxorderworkorderid, concat('WO-', {O}) AS elob_sokxnumber, CAST({pick(div(O, 2), ['1', '2', '3', None])} AS INT) AS new_sokxordertype,
+    "work_order": f"""SELECT concat('W', {O}) AS elob_workorder2id, concat('F', {O}) AS elob_sokxorderworkorderid, concat('WO-', {O}) AS elob_sokxnumber, CAST({pick(div(O, 11), ['1', '2', '3', None])} AS INT) AS new_sokxordertype,
         CAST({O} % 3 AS INT) AS elob_sokxwodecision, {LATER} + INTERVAL 2 DAY AS elob_decisiondate, CASE WHEN {O} % 3 = 0 THEN NULL ELSE {LATER} + INTERVAL 8 DAY END AS elob_executiondate, {LATER} AS createdon FROM {{orders}}
         UNION ALL SELECT concat('WL', {LINE_ID}), concat('F', {L}), concat('WO-', {LINE_ID}), CAST(1 + l_partkey % 3 AS INT), CAST(l_suppkey % 3 AS INT), {LINE_LATER}, {LINE_LATER} + INTERVAL 8 DAY, {LINE_LATER} FROM {{lineitem}}""",
     "status_history": f"""SELECT concat('H', {LINE_ID}) AS elob_statushistoryid, concat('O', {L}) AS elob_projectid, concat('C', {L}) AS elob_contractid, {named('l_linenumber', ['6', '100000002', '743940004', '743940000', '1'])} AS elob_statusreasonid,
@@ -189,7 +189,7 @@ CRM: dict[str, str] = {
         CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE concat('U', l_partkey % 80) END AS createdonbehalfby FROM {{lineitem}}""",
     "sold_product": f"""SELECT concat('SPR', {O}) AS elob_soldproductid, CAST(NULL AS STRING) AS elob_parentsoldproduct, concat('PR', {O} % 200) AS elob_product, {named(O, ['zarządzanie siecią lan', 'Zarządzanie siecią LAN', 'inne', 'ethernet'])} AS elob_name FROM {{orders}}
         UNION ALL SELECT concat('SPC', {LINE_ID}), concat('SPR', {L}), concat('PR', l_partkey), concat('svc ', l_linenumber) FROM {{lineitem}}""",
-    "sold_product_parameter": f"""SELECT concat('SPC', {LINE_ID}) AS elob_soldproduct, concat('PPM', l_suppkey % 4) AS elob_parameter, {named('l_suppkey', ['liczba urządzeń UTM', 'inne', 'rodzaj'])} AS elob_name,
+    "sold_product_parameter": f"""SELECT concat('SPC', {LINE_ID}) AS elob_soldproduct, concat('PPM', l_suppkey % 11) AS elob_parameter, {named('l_suppkey', ['liczba urządzeń UTM', 'inne', 'rodzaj'])} AS elob_name,
         {pick('l_partkey', ["'19'", "'4'", "'11'", "'7'", None])} AS elob_parametervalue FROM {{lineitem}}""",
     "product_parameter": _keyed_by_nation(elob_productparametersid=f"concat('PPM', {N})", elob_name=named(N, ["Migrowane numery od OA (wykaz) A", "Numer zlecenia powiązanego", "rodzaj"])),
     "product_parameter_value": _keyed_by_nation(elob_parameter="'PPM2'", elob_index=f"CAST({N} AS STRING)", elob_value=f"concat('rodzaj ', {N})"),

@@ -13,7 +13,9 @@ MAX_BROADCAST_ROWS = 500_000
 
 
 def estimated_small(df: DataFrame) -> bool:
-    """Will Spark broadcast ``df`` by its own size estimate anyway?"""
+    """Will Spark broadcast ``df`` by its own size estimate anyway? Not known on a remote session."""
+    if not hasattr(df, "_jdf"):
+        return False
     threshold = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     return int(str(size)) <= threshold
