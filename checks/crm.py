@@ -75,7 +75,7 @@ SERVICE_TEXTS = ["LAN - utrzymanie", "LAN - akwizycja", "umowa na 24 m", "kontra
 PRODUCT_NUMBERS = ["ID.A.36", "IS.A.148", "SD.A.7", "SD.A.88", "XX.1"]
 
 E, O, L, S, C, N = "event_id", "o_orderkey", "l_orderkey", "s_suppkey", "c_custkey", "n_nationkey"
-LINE_ID = "concat(l_orderkey, '-', l_linenumber, '-', l_partkey, '-', l_suppkey)"
+LINE_ID = "(l_orderkey * 10000000 + l_partkey * 8 + l_linenumber)"
 LATER = "o_orderdate + INTERVAL 22 YEAR"
 LINE_LATER = "l_shipdate + INTERVAL 22 YEAR"
 

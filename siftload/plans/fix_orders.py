@@ -7,7 +7,6 @@ from siftload.functions import codes, dates, numbers, text
 from siftload.operators import ranking
 from siftload.plans import fixed_values as fv
 from siftload.plans.common import blank, c, calculation_attributes, label, named, user, without_test_customers
-from siftload.plans.order_progress import service_kinds
 from siftload.plans.params import Params
 from siftload.sources.tables import Tables
 
@@ -129,6 +128,20 @@ def addresses(t: Tables) -> DataFrame:
     )
 
 
+def service_kinds(t: Tables, p: Params) -> DataFrame:
+    """Kind of a sold product through the indexed value list of its parameter; null where the list has none."""
+    chosen = t["sold_product_parameter"].where(c("elob_parameter") == p.service_kind_parameter).select(
+        c("elob_soldproduct").alias("kind_of"), "elob_parameter", "elob_parametervalue"
+    )
+    defined = t.lookup("product_parameter").select(c("elob_productparametersid").alias("kind_parameter"))
+    values = t.lookup("product_parameter_value").select(
+        c("elob_parameter").alias("value_of"), c("elob_index").alias("value_index"), c("elob_value").alias("service_kind")
+    )
+    labels = defined.join(values, c("kind_parameter") == c("value_of"))
+    at = (c("elob_parameter") == c("kind_parameter")) & (c("elob_parametervalue") == c("value_index"))
+    return chosen.join(labels, at, "left").select("kind_of", "service_kind").distinct()
+
+
 def orders(t: Tables, p: Params, priced: DataFrame, wanted: DataFrame) -> DataFrame:
     """Numbered orders of the wanted contracts with project, address, parameters, service kind and latest decision.
 
@@ -160,7 +173,7 @@ def orders(t: Tables, p: Params, priced: DataFrame, wanted: DataFrame) -> DataFr
     rows = rows.join(final_fix_role(priced, "final"), c("opportunityid") == c("final_elob_project"), "left")
 
     sold = t["sold_product"].select("elob_soldproductid", c("elob_name").alias("product_name"))
-    kinds = service_kinds(t, p, keep_unknown=True)
+    kinds = service_kinds(t, p)
     services = t["sold_product"].select(c("elob_soldproductid").alias("service_id"), c("elob_parentsoldproduct").alias("service_of"))
     kind_of_parent = (
         services.where(c("service_of").isNotNull())

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from siftload.functions import codes, dates
 from siftload.plans import fixed_values as fv
-from siftload.plans.common import blank, c, known, label, named, without_test_customers
+from siftload.plans.common import blank, c, known, label, without_test_customers
 from siftload.plans.e_contracts import orders_of_sites
 from siftload.plans.params import Params
 from siftload.sources.tables import Tables
@@ -99,37 +99,36 @@ def barriers(f: Facts) -> Column:
     ])
 
 
-def has_parameter(t: Tables, pattern: str, flag: str) -> DataFrame:
-    """Per sold product: is there a value for the parameter? One row per answer, as only that is asked."""
-    wanted = named(t.lookup("product_parameter"), "elob_name", pattern).select("elob_productparametersid")
-    return (
-        t["sold_product_parameter"]
-        .join(wanted, c("elob_parameter") == c("elob_productparametersid"), "left_semi")
-        .select(c("elob_soldproduct").alias(f"{flag}_of"), c("elob_parametervalue").isNotNull().alias(flag))
-        .distinct()
-    )
-
+def service_facts(t: Tables, p: Params) -> DataFrame:
+    """Per sold product, in one pass over its parameters: the answers to "is there a value?" for two parameters,
+    and the labels of its service kind.
 
-def service_kinds(t: Tables, p: Params, indexes=None, *, keep_unknown: bool = False) -> DataFrame:
-    """Decoded kind of a sold product through the indexed value list of its parameter.
-
-    With ``keep_unknown`` a parameter row that has no label stays, with a null kind.
+    The sets are bounded: two answers each, and the labels of three indexes. They are put together before the
+    shuffle. Each answer gives a row, as a product may hold a filled and an empty parameter of one name.
     """
-    how = "left" if keep_unknown else "inner"
-    chosen = t["sold_product_parameter"].where(c("elob_parameter") == p.service_kind_parameter)
-    if indexes is not None:
-        chosen = chosen.where(c("elob_parametervalue").isin(*indexes))
-    defined = t.lookup("product_parameter").select(c("elob_productparametersid").alias("kind_parameter"))
-    values = t.lookup("product_parameter_value").select(
-        c("elob_parameter").alias("value_of"), c("elob_index").alias("value_index"), c("elob_value").alias("service_kind")
+    name = F.lower("elob_name")
+    asked = t.lookup("product_parameter").select(
+        c("elob_productparametersid").alias("asked_id"),
+        name.like(fv.MIGRATED_NUMBERS_PATTERN).alias("asks_numbers"),
+        (name == fv.LINKED_ORDER_PATTERN).alias("asks_linked"),
+        (c("elob_productparametersid") == p.service_kind_parameter).alias("asks_kind"),
+    ).where("asks_numbers or asks_linked or asks_kind")
+    labels = t.lookup("product_parameter_value").where(
+        (c("elob_parameter") == p.service_kind_parameter) & c("elob_index").isin(*fv.SERVICE_KIND_INDEXES)
+    ).select(c("elob_index").alias("label_index"), c("elob_value").alias("kind_label"))
+    rows = t["sold_product_parameter"].select("elob_soldproduct", "elob_parameter", "elob_parametervalue").join(
+        asked, c("elob_parameter") == c("asked_id")
     )
-    return (
-        chosen.select(c("elob_soldproduct").alias("kind_of"), "elob_parameter", "elob_parametervalue")
-        .join(defined, c("elob_parameter") == c("kind_parameter"), how)
-        .join(values, (c("kind_parameter") == c("value_of")) & (c("elob_parametervalue") == c("value_index")), how)
-        .select("kind_of", "service_kind")
-        .distinct()
+    rows = rows.join(labels, c("asks_kind") & (c("elob_parametervalue") == c("label_index")), "left")
+    filled = c("elob_parametervalue").isNotNull()
+    sets = rows.groupBy(c("elob_soldproduct").alias("facts_of")).agg(
+        F.collect_set(F.when(c("asks_numbers"), filled)).alias("numbers"),
+        F.collect_set(F.when(c("asks_linked"), filled)).alias("linked"),
+        F.collect_set("kind_label").alias("kinds"),
     )
+    out = sets.select("facts_of", "linked", "kinds", F.explode_outer("numbers").alias("has_numbers"))
+    out = out.select("facts_of", "kinds", "has_numbers", F.explode_outer("linked").alias("has_linked"))
+    return out.select("facts_of", "has_numbers", "has_linked", F.explode_outer("kinds").alias("service_kind"))
 
 
 def three_sided_contracts(t: Tables) -> DataFrame:
@@ -188,10 +187,8 @@ def build(t: Tables, p: Params) -> DataFrame:
     upkeep_progress = codes.classify([(facts.running, fv.UPKEEP_RUNNING), (facts.done, fv.UPKEEP_DONE)])
     rows = (
         base_orders(t, p)
-        .join(service_kinds(t, p, fv.SERVICE_KIND_INDEXES), c("service_id") == c("kind_of"), "left")
-        .where(~upkeep | c("kind_of").isNotNull())
-        .join(has_parameter(t, fv.MIGRATED_NUMBERS_PATTERN, "has_numbers"), c("service_id") == c("has_numbers_of"), "left")
-        .join(has_parameter(t, fv.LINKED_ORDER_PATTERN, "has_linked"), c("service_id") == c("has_linked_of"), "left")
+        .join(service_facts(t, p), c("service_id") == c("facts_of"), "left")
+        .where(~upkeep | c("service_kind").isNotNull())
     )
     return rows.select(
         c("elob_sowid").alias("ID_SOW"),

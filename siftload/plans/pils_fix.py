@@ -24,16 +24,17 @@ TARGET = [
 SERVICE = "service"
 
 
-def services(t: Tables, wanted: DataFrame) -> DataFrame:
-    """Service rows of the wanted calculations with the suffix that ties their attributes to them.
-
-    The attributes of the wanted calculations are staged: a small part of the largest table, read many times.
-    """
-    attributes = staged(
+def attributes_of(t: Tables, wanted: DataFrame) -> DataFrame:
+    """Attributes of the wanted calculations, staged: a small part of the largest table, read many times."""
+    return staged(
         t["pl_parameter"]
         .join(wanted, c("elob_pl_resultid") == c("wanted_id"), "left_semi")
         .select("elob_pl_resultid", F.lower("elob_name").alias("elob_name"), "elob_parametervalue")
     )
+
+
+def services(attributes: DataFrame) -> DataFrame:
+    """Service rows with the suffix that ties their attributes to them."""
     named = attributes.where(eav.any_like(c("elob_name"), fv.SERVICE_PATTERNS)).select(
         c("elob_pl_resultid").alias("service_of"),
         text.suffix_after_underscore(text.remap_values(c("elob_name"), fv.SERVICE_RENAMES)).alias("service_suffix"),
@@ -67,14 +68,16 @@ def build(t: Tables, p: Params) -> DataFrame:
         .join(figures, c("elob_plstatistic") == c("elob_plresultid"))
         .join(sold, c("elob_pandl_id") == c("sold_id"))
     )
-    out = calculations.join(services(t, calculations.select(c("sold_id").alias("wanted_id"))), c("sold_id") == c("service_of"), "left")
+    attributes = attributes_of(t, calculations.select(c("sold_id").alias("wanted_id")))
+    found = Tables({"pl_parameter": attributes})
+    out = calculations.join(services(attributes), c("sold_id") == c("service_of"), "left")
     for name, column, like in (
         (fv.COMMISSION_MARGIN, "commission", True),
         (fv.COMPETENCE_PARAMETER, "competence", False),
         (fv.SALES_CHANNEL, "channel", False),
         (fv.CASH_MARGIN, "cash_margin", False),
     ):
-        out = out.join(calculation_attributes(t, name, column, like), c("sold_id") == c(f"{column}_of"), "left")
+        out = out.join(calculation_attributes(found, name, column, like), c("sold_id") == c(f"{column}_of"), "left")
 
     def family_number(name: str):
         return numbers.to_number_or_zero(c(f"v_{name}")).alias(name)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from siftload.functions import dates, numbers, text
 from siftload.operators import ranking
 from siftload.plans import fixed_values as fv
-from siftload.plans.common import blank, c, calculation_attributes, label, user
+from siftload.plans.common import blank, c, label, user
 from siftload.plans.params import Params
 from siftload.sources.tables import Tables
 
@@ -37,6 +37,28 @@ def chosen_calculations(t: Tables) -> DataFrame:
     return calculations.where(c("elob_project").isNotNull()).groupBy(c("elob_project").alias("project")).agg(best.alias("best_id"))
 
 
+def mobile_amounts(t: Tables) -> DataFrame:
+    """Sum and number of the two mobile revenue attributes per calculation result, in one pass.
+
+    Joined one after the other, n invoices and m operator amounts give n * m rows; those sums follow from the
+    four figures, so the rows are never made.
+    """
+    name = F.lower("elob_name")
+    invoice, operators = name.like(fv.INVOICE_REVENUE), name.like(fv.OPERATOR_REVENUE)
+    amount = numbers.to_number_or_zero(c("elob_parametervalue"))
+    sums = t["pl_parameter"].where(invoice | operators).groupBy(c("elob_pl_resultid").alias("amounts_of")).agg(
+        F.sum(F.when(invoice, amount).otherwise(0.0)).alias("invoiced"),
+        F.greatest(F.count(F.when(invoice, F.lit(1))), F.lit(1)).alias("invoices"),
+        F.sum(F.when(operators, amount).otherwise(0.0)).alias("passed_on"),
+        F.greatest(F.count(F.when(operators, F.lit(1))), F.lit(1)).alias("operators"),
+    )
+    return sums.select(
+        "amounts_of",
+        (c("invoices") * c("operators")).alias("amount_rows"),
+        (c("invoiced") * c("operators") + c("passed_on") * c("invoices")).alias("amount_total"),
+    )
+
+
 def calculation_totals(t: Tables) -> DataFrame:
     """Margin and revenue of the chosen calculation per project, added up before the projects are joined."""
     activities = t["activity_pointer"].select("activityid", c("statuscode").alias("calculation_status"))
@@ -52,18 +74,18 @@ def calculation_totals(t: Tables) -> DataFrame:
         .join(calculations, c("best_id") == c("elob_pl_id"))
         .join(figures, c("elob_plstatistic") == c("elob_plresultid"), "left")
         .join(sold, c("elob_pandl_id") == c("sold_id"), "left")
-        .join(calculation_attributes(t, fv.INVOICE_REVENUE, "invoiced", like=True), c("sold_id") == c("invoiced_of"), "left")
-        .join(calculation_attributes(t, fv.OPERATOR_REVENUE, "operators", like=True), c("sold_id") == c("operators_of"), "left")
+        .join(mobile_amounts(t), c("sold_id") == c("amounts_of"), "left")
     )
     is_fixed = c("elob_pltype") == fv.FIX_CALCULATION
-    mobile_revenue = numbers.to_number_or_zero(c("invoiced")) + numbers.to_number_or_zero(c("operators"))
+    each = F.coalesce(c("amount_rows"), F.lit(1))
+    mobile_revenue = F.coalesce(c("amount_total"), F.lit(0.0)) / each
     margin = numbers.margin_formula(
         c("elob_mobilediscountedcashmargin"), is_fixed, c("elob_fix_margin_on_contract"), c("elob_fix_total_revenue_new"),
         c("elob_mobile_contributionmargin"), mobile_revenue,
     )
     revenue = F.when(is_fixed, numbers.number_or_zero(c("elob_fix_total_revenue_new"))).otherwise(mobile_revenue)
     return rows.groupBy("project", "elob_pl_id", "elob_finalpl", "calculation_status", "elob_mobilediscountedcashmargin").agg(
-        F.sum(margin).alias("margin"), F.sum(revenue).alias("revenue"), F.count(F.lit(1)).alias("calculation_rows")
+        F.sum(margin * each).alias("margin"), F.sum(revenue * each).alias("revenue"), F.sum(each).alias("calculation_rows")
     )
 
 
