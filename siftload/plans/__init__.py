@@ -8,6 +8,7 @@ from importlib import import_module
 from types import ModuleType
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from siftload.plans.params import Params
 from siftload.sinks.audit import RunAudit
@@ -27,6 +28,8 @@ class Plan:
     insert_only: Sequence[str] = ()
     constants: Mapping[str, object] = field(default_factory=dict)
     derived: str = ""
+    # Text columns of the target that another plan sets.
+    unset: Sequence[str] = ()
 
     @property
     def module(self) -> ModuleType:
@@ -52,7 +55,7 @@ class Plan:
         elif self.mode == KEYED_UPDATE:
             target.update(df, self.keys, self.update)
         else:
-            target.full_refresh(df)
+            target.full_refresh(df.withColumns({name: F.lit(None).cast("string") for name in self.unset}))
         if self.derived:
             targets[self.derived].refresh_from(target, self.module.DERIVED)
 
@@ -62,6 +65,8 @@ def _activity_plan(key: str) -> Plan:
     return Plan(key, UPSERT, keys=m.KEYS, update=m.UPDATE, insert_only=m.INSERT_ONLY, constants=m.CONSTANTS)
 
 
+USER_COLUMNS = ["USER_ICT_1", "USER_ICT_2", "USER_ICT_3", "USER_ICT_4"]
+
 # In run order: project users are set on the loaded projects.
 PLANS: dict[str, Plan] = {
     plan.key: plan
@@ -74,8 +79,8 @@ PLANS: dict[str, Plan] = {
         _activity_plan("phone_calls"),
         _activity_plan("appointments"),
         Plan("contracts", derived="contracts_distinct"),
-        Plan("projects"),
-        Plan("project_users", KEYED_UPDATE, target="projects", keys=["PROJECT_NUMBER"], update=["USER_ICT_1", "USER_ICT_2", "USER_ICT_3", "USER_ICT_4"]),
+        Plan("projects", unset=USER_COLUMNS),
+        Plan("project_users", KEYED_UPDATE, target="projects", keys=["PROJECT_NUMBER"], update=USER_COLUMNS),
         Plan("project_products"),
         Plan("project_product_params"),
         Plan("projects_contracts"),

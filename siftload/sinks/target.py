@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from siftload.sinks import merge
@@ -49,6 +50,12 @@ class ParquetTarget:
             return self.spark.createDataFrame([], self.schema)
         return reader.parquet(self.path)
 
+    def _read_or_empty(self, like: DataFrame, constants: Mapping[str, object] | None = None) -> DataFrame:
+        """Current content; before the first load no rows with the columns the load brings."""
+        if self.schema is not None or self.exists():
+            return self.read()
+        return like.limit(0).withColumns({name: F.lit(value) for name, value in (constants or {}).items()})
+
     def _write(self, df: DataFrame, path: str, mode: str, **options: str) -> None:
         writer = df.write.mode(mode).options(**options)
         if self.partition_by:
@@ -76,7 +83,7 @@ class ParquetTarget:
         self._swap_in(df)
 
     def replace_window(self, new_rows: DataFrame, window: Column) -> None:
-        self._swap_in(merge.replace_window(self.read(), new_rows, window))
+        self._swap_in(merge.replace_window(self._read_or_empty(new_rows), new_rows, window))
 
     def replace_partitions(self, new_rows: DataFrame) -> None:
         """Replaces the partitions that ``new_rows`` has rows in, and touches no other."""
@@ -89,13 +96,14 @@ class ParquetTarget:
         return rows, rows.count()
 
     def merge(self, source: DataFrame, keys: Sequence[str], **how) -> int:
-        staged, rows = self.stage(source)
-        self._swap_in(merge.merge_upsert(self.read(), staged, keys, source_rows=rows, **how))
+        staged_rows, rows = self.stage(source)
+        current = self._read_or_empty(staged_rows, how.get("constants"))
+        self._swap_in(merge.merge_upsert(current, staged_rows, keys, source_rows=rows, **how))
         return rows
 
     def update(self, source: DataFrame, keys: Sequence[str], update: Sequence[str], order: Sequence[str] = ()) -> int:
-        staged, rows = self.stage(source)
-        self._swap_in(merge.keyed_update(self.read(), staged, keys, update, order))
+        staged_rows, rows = self.stage(source)
+        self._swap_in(merge.keyed_update(self.read(), staged_rows, keys, update, order))
         return rows
 
     def refresh_from(self, loaded: ParquetTarget, columns: Sequence[str]) -> None:
