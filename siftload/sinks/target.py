@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from siftload.sinks import merge
 from siftload.sources.staging import staged
+from siftload.sources.tables import checked_broadcast
 
 JDBC_BATCH = 15_000
 
@@ -96,11 +97,34 @@ class ParquetTarget:
         return rows, rows.count()
 
     def merge(self, source: DataFrame, keys: Sequence[str], **how) -> int:
+        """Upsert. A partitioned target rewrites only the partitions the source touches."""
         staged_rows, rows = self.stage(source)
         current = self._read_or_empty(staged_rows, how.get("constants"))
-        self._swap_in(merge.merge_upsert(current, staged_rows, keys, source_rows=rows, **how))
+        if self.partition_by and self.exists():
+            self._merge_partitions(current, staged_rows, keys, rows, **how)
+        else:
+            self._swap_in(merge.merge_upsert(current, staged_rows, keys, source_rows=rows, **how))
         return rows
 
+    def _merge_partitions(self, current: DataFrame, staged_rows: DataFrame, keys: Sequence[str], rows: int, **how) -> None:
+        """Partitions of the rows to update and of the rows to insert. A row must keep its partition, as one
+        that moved could leave an empty partition behind, which a partition overwrite does not clear."""
+        update = how.get("update")
+        if update is None:
+            update = [c for c in staged_rows.columns if c not in {*keys, *how.get("insert_only", ())}]
+        moving = sorted(set(update) & set(self.partition_by))
+        if moving:
+            raise ValueError(f"partition columns {moving} may be set on insert only")
+        source_keys = checked_broadcast(staged_rows.select(*keys).distinct())
+        places = current.join(source_keys, list(keys), "left_semi").select(*self.partition_by)
+        given = [c for c in self.partition_by if c in staged_rows.columns]
+        if given == self.partition_by:
+            places = places.unionByName(staged_rows.select(*self.partition_by))
+        touched = staged(places.distinct())
+        affected = current.join(checked_broadcast(touched), self.partition_by, "left_semi").select(*current.columns)
+        merged = merge.merge_upsert(affected, staged_rows, keys, source_rows=rows, **how)
+        self._write(merged, self.path, "overwrite", partitionOverwriteMode="dynamic")
+
     def update(self, source: DataFrame, keys: Sequence[str], update: Sequence[str], order: Sequence[str] = ()) -> int:
         staged_rows, rows = self.stage(source)
         self._swap_in(merge.keyed_update(self.read(), staged_rows, keys, update, order))

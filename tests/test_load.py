@@ -88,6 +88,18 @@ def test_partitions_without_new_rows_stay(spark, frame):
     assert [r["id"] for r in target.read().orderBy("id").collect()] == [1, 3]
 
 
+def test_merge_rewrites_touched_partitions_only(spark, frame):
+    target = ParquetTarget(spark, work_dir(spark) + "/p", partition_by=["made"])
+    target.full_refresh(frame([(1, "a", "p1", 0), (2, "b", "p1", 0), (3, "c", "p2", 0), (4, "d", "p3", 0)], SCHEMA))
+    untouched = set(spark.read.parquet(target.path + "/made=p2").inputFiles())
+    target.merge(frame([(2, "b2", "p3"), (9, "z", "p3"), (8, "y", "p4")], "id int, name string, made string"), ["id"], update=["name"], insert_only=["made"])
+    got = sorted(tuple(r) for r in target.read().select("id", "name", "made").collect())
+    assert got == [(1, "a", "p1"), (2, "b2", "p1"), (3, "c", "p2"), (4, "d", "p3"), (8, "y", "p4"), (9, "z", "p3")]
+    assert set(spark.read.parquet(target.path + "/made=p2").inputFiles()) == untouched
+    with pytest.raises(ValueError):
+        target.merge(frame([(2, "b2", "p3")], "id int, name string, made string"), ["id"])
+
+
 def test_derived_refresh(spark, frame, target):
     target.append(frame([(1, "a", "x", 0), (2, "a", "x", 0)], SCHEMA))
     derived = ParquetTarget(spark, work_dir(spark) + "/d")
