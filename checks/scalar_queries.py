@@ -21,10 +21,8 @@ SCALARS = {
     "str_replace": ("part", ["p_partkey"], {
         "out": (lambda: text.str_replace(c("p_name"), "e", "--"), "replace(p_name, 'e', '--')")}),
     "strip_control_chars": ("pages", ["page_id"], {
-        "out": (lambda: F.length(text.strip_control_chars(c("html"))).cast("bigint"),
-                "CAST(length(replace(replace(replace(replace(replace(html, chr(10), ''), chr(12), ''), chr(13), ''), ';', ''), '^', '')) AS BIGINT)"),
-        "head": (lambda: F.substring(text.strip_control_chars(c("html")), 1, 200),
-                 "substr(translate(html, chr(10) || chr(12) || chr(13) || ';^', ''), 1, 200)")}),
+        "out": (lambda: text.strip_control_chars(c("html")), "translate(html, chr(10) || chr(12) || chr(13) || ';^', '')"),
+        "lines": (lambda: text.strip_control_chars(c("html"), text.LINE_BREAKS), "replace(replace(html, chr(10), ''), chr(13), '')")}),
     "substring_fixed": ("part", ["p_partkey"], {
         "inside": (lambda: text.substring_fixed(c("p_type"), 2, 3), "substr(p_type, 2, 3)"),
         "from_zero": (lambda: text.substring_fixed(c("p_name"), 0, 6), "substr(p_name, 1, 5)")}),

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siftload.plans.params import Params
+from siftload.session import work_area
 from siftload.sinks.audit import RunAudit
 from siftload.sinks.target import ParquetTarget
 from siftload.sources.tables import Tables
@@ -97,5 +98,6 @@ PLANS: dict[str, Plan] = {
 
 
 def run(plan: Plan, tables: Tables, params: Params, targets: Mapping[str, ParquetTarget], audit: RunAudit) -> int:
-    """One audited load; returns the rows written."""
-    return audit.run(plan.key, lambda: plan.build(tables, params), lambda df: plan.load(df, targets, params))
+    """One audited load; returns the rows written. Its intermediate tables are removed afterwards."""
+    with work_area(audit.spark):
+        return audit.run(plan.key, lambda: plan.build(tables, params), lambda df: plan.load(df, targets, params))

@@ -46,25 +46,30 @@ def results(t: Tables) -> DataFrame:
     )
 
 
-def mobile_orders(t: Tables, p: Params) -> DataFrame:
-    """Orders of a project with their products and contract. The creation date test is made here for the
-    orders that exist; projects without one are kept by the left join in ``build``."""
+def with_orders(rows: DataFrame, t: Tables, p: Params) -> DataFrame:
+    """Adds the orders of a sale with products and contract. Orders before the cut-off go at once, sales
+    without an order stay; only then are the large product and contract tables joined."""
+    orders = t["mobile_order"].select(
+        "elob_mobileorderid", "elob_order", "elob_contract", "elob_mobileordernumber", c("statuscode").alias("order_statuscode"),
+        "elob_mobileordertype", "stageid", c("createdon").alias("ordered_on"),
+    )
+    rows = rows.join(orders, c("salesorderid") == c("elob_order"), "left")
+    rows = rows.where(filters.or_null(c("ordered_on") >= dates.ntz(p.mobile_orders_from), c("ordered_on")))
+    rows = label(rows, t, "order_statuscode", "order_status", fv.MOBILE_ORDER_STATUS)
+    rows = label(rows, t, "elob_mobileordertype", "order_type", fv.MOBILE_ORDER_TYPE)
+    stages = t.lookup("process_stage").select("processstageid", "stagename")
     products = t["mobile_order_product"].withColumnsRenamed({"elob_name": "product_name", "elob_mobileorder": "product_of"})
     contracts = t["contract"].select(
         "contractid", "contractnumber", c("statuscode").alias("contract_status"), "elob_contracttype", "elob_signedbycustomeron",
         "elob_revisiondate", "elob_durationtimeinmonths",
     )
-    contracts = label(contracts, t, "contract_status", "contract_state", fv.CONTRACT_STATUS)
-    contracts = label(contracts, t, "elob_contracttype", "contract_type", fv.CONTRACT_TYPE)
-    stages = t.lookup("process_stage").select("processstageid", "stagename")
-    orders = t["mobile_order"].join(stages, c("stageid") == c("processstageid"), "left")
-    orders = label(orders, t, "statuscode", "order_status", fv.MOBILE_ORDER_STATUS)
-    orders = label(orders, t, "elob_mobileordertype", "order_type", fv.MOBILE_ORDER_TYPE)
-    return (
-        orders.join(products, c("elob_mobileorderid") == c("product_of"), "left")
+    rows = (
+        rows.join(stages, c("stageid") == c("processstageid"), "left")
+        .join(products, c("elob_mobileorderid") == c("product_of"), "left")
         .join(contracts, c("elob_contract") == c("contractid"), "left")
-        .withColumnRenamed("createdon", "ordered_on")
     )
+    rows = label(rows, t, "contract_status", "contract_state", fv.CONTRACT_STATUS)
+    return label(rows, t, "elob_contracttype", "contract_type", fv.CONTRACT_TYPE)
 
 
 def build(t: Tables, p: Params) -> DataFrame:
@@ -87,9 +92,8 @@ def build(t: Tables, p: Params) -> DataFrame:
         calculations.join(projects, c("elob_project") == c("opportunityid"))
         .join(accounts, c("customerid") == c("accountid"))
         .join(sales, c("opportunityid") == c("sold_on"), "left")
-        .join(mobile_orders(t, p), c("salesorderid") == c("elob_order"), "left")
     )
-    out = out.where(filters.or_null(c("ordered_on") >= dates.ntz(p.mobile_orders_from), c("ordered_on")))
+    out = with_orders(out, t, p)
     out = out.join(results(t), c("elob_plstatistic") == c("elob_plresultid"), "left").join(
         old_margins, c("elob_pl_id") == c("margin_of"), "left"
     )

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -30,11 +33,33 @@ def build_session(app: str = "siftload", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+_area: ContextVar[str | None] = ContextVar("siftload_work_area", default=None)
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def work_area(spark: SparkSession) -> Iterator[str]:
+    """Work folders made inside the block lie in one folder, which is removed at its end."""
+    folder = work_dir(spark)
+    token = _area.set(folder)
+    try:
+        yield folder
+    finally:
+        _area.reset(token)
+        delete_folder(spark, folder)
+
+
 def work_dir(spark: SparkSession) -> str:
     """A new folder under the shared folder the cluster names in ``spark.checkpoint.dir``.
 
     Only a local master may fall back to a folder of this machine.
     """
+    if area := _area.get():
+        return f"{area}/{uuid.uuid4().hex}"
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         if not spark.sparkContext.master.startswith("local"):

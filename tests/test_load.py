@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from siftload.plans import PLANS, run
 from siftload.plans.params import Params
-from siftload.session import work_dir
+from siftload.session import work_area, work_dir
 from siftload.sinks import merge
 from siftload.sinks.audit import RunAudit
 from siftload.sinks.target import ParquetTarget, jdbc_write_options
+from siftload.sources.staging import staged
 from siftload.sources.tables import Tables, checked_broadcast, jdbc_options
 
 c = F.col
@@ -100,6 +101,16 @@ def test_merge_rewrites_touched_partitions_only(spark, frame):
         target.merge(frame([(2, "b2", "p3")], "id int, name string, made string"), ["id"])
 
 
+def test_work_area_is_removed(spark, frame):
+    import os
+
+    with work_area(spark) as folder:
+        inside = staged(frame([(1,)], "id int"))
+        assert inside.count() == 1 and all(folder in f for f in inside.inputFiles())
+    assert not os.path.exists(folder)
+    assert not work_dir(spark).startswith(folder)
+
+
 def test_derived_refresh(spark, frame, target):
     target.append(frame([(1, "a", "x", 0), (2, "a", "x", 0)], SCHEMA))
     derived = ParquetTarget(spark, work_dir(spark) + "/d")
