@@ -192,7 +192,7 @@ CRM: dict[str, str] = {
     "sold_product_parameter": f"""SELECT concat('SPC', {LINE_ID}) AS elob_soldproduct, concat('PPM', l_suppkey % 11) AS elob_parameter, {named('l_suppkey', ['liczba urządzeń UTM', 'inne', 'rodzaj'])} AS elob_name,
         {pick('l_partkey', ["'19'", "'4'", "'11'", "'7'", None])} AS elob_parametervalue FROM {{lineitem}}""",
     "product_parameter": _keyed_by_nation(elob_productparametersid=f"concat('PPM', {N})", elob_name=named(N, ["Migrowane numery od OA (wykaz) A", "Numer zlecenia powiązanego", "rodzaj"])),
-    "product_parameter_value": _keyed_by_nation(elob_parameter="'PPM2'", elob_index=f"CAST({N} AS STRING)", elob_value=f"concat('rodzaj ', {N})"),
+    "product_parameter_value": _keyed_by_nation(elob_parameter=f"concat('PPM', CASE WHEN {N} % 15 IN (4, 11) THEN 2 ELSE {N} % 3 END)", elob_index=f"CAST({N} AS STRING)", elob_value=f"concat('rodzaj ', {N})"),
     "product_process": _keyed_by_nation(elob_productprocessid=f"concat('PP', {N})", elob_name=f"concat('process ', {N})"),
     "opportunity_product": f"""SELECT concat('O', {L}) AS opportunityid, concat('PR', l_partkey) AS productid, concat('SPR', {L}) AS elob_soldproduct, CAST(l_extendedprice AS DECIMAL(14, 2)) AS baseamount,
         CASE WHEN l_linenumber = 2 THEN NULL ELSE CAST(l_quantity AS DECIMAL(14, 2)) END AS elob_totalmonthlyfee, CAST(l_suppkey AS DECIMAL(14, 2)) AS elob_finalupfrontpayment, CAST({pick('l_partkey', ['100', '12', '24', None, '120'])} AS INT) AS elob_contractduration,
