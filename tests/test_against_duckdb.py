@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from checks import base
 from checks.run import compare, duck
 
 FOLDER = "/root/testdata/sf0.001"
@@ -14,10 +15,15 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(base.QUERIES) == set(base.ORACLE)
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+def test_entry_lists_the_checked_queries():
+    assert set(base.QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+@pytest.mark.parametrize("key", sorted(base.QUERIES))
 def test_query(spark, con, key):
     problem, _ = compare(con, entry.oracle_sql()[key], entry.queries()[key](spark, FOLDER))
     assert problem is None
