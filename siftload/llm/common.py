@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import string
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (loads pa.compute)
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +16,13 @@ WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers find this package where the driver found it, whatever folder they start in."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -44,8 +52,6 @@ def slices_of(texts: pa.Array, most_bytes: int) -> Iterator[tuple[int, int]]:
 
 def text_runs(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut into runs of bounded text, so that what a task builds beside them is bounded, too."""
-    import pyarrow.compute  # noqa: F401  (loads pa.compute)
-
     for batch in batches:
         for start, length in slices_of(batch.column(column), most_bytes):
             yield batch.slice(start, length)

@@ -4,27 +4,83 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from siftload.llm import decontaminate, jump_shards, license_scan
+from siftload.llm import (
+    decontaminate,
+    jaccard_join,
+    jump_shards,
+    license_scan,
+    perspectives,
+    piece_viterbi,
+    pseudonyms,
+    quality_trees,
+    token_shards,
+    toxic_segments,
+)
 from siftload.llm.common import table
 
+# A real collection passes a secret of its own here.
+PSEUDONYM_KEY = "check key"
+
+
+def op1_token_shards(spark: SparkSession, folder: str) -> DataFrame:
+    return token_shards.token_digests(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+
 
 def op2_jump_shards(spark: SparkSession, folder: str) -> DataFrame:
     return jump_shards.shard_documents(table(spark, folder, "documents"), shards=24)
 
 
+def op3_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    return pseudonyms.pseudonymise(table(spark, folder, "documents").select("doc_id", "text"), PSEUDONYM_KEY)
+
+
+def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, folder, "documents"), words_per_shingle=4, percent=85)
+
+
 def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"), width=10)
 
 
+def op6_quality_trees(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return quality_trees.rate_quality(docs, quality_trees.fit_quality(docs, table(spark, folder, "labels")))
+
+
 def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.scan_licenses(table(spark, folder, "documents")).drop("found")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_jump_shards, op5_decontaminate, op7_license_scan)
-}
+def op8_perspectives(spark: SparkSession, folder: str) -> DataFrame:
+    return perspectives.rotate_perspectives(table(spark, folder, "conversations"))
+
+
+def op9_toxic_segments(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = toxic_segments.fit_toxicity(docs, table(spark, folder, "labels"))
+    return toxic_segments.score_toxicity(docs, model).select(
+        "doc_id",
+        toxic_segments.held_out().alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.3).cast("int").alias("predicted"),
+        F.size("toxic_segments").alias("n_segments"),
+    )
+
+
+def op10_piece_viterbi(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return piece_viterbi.encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model")).drop("text")
+
+
+_ALL = (
+    op1_token_shards, op2_jump_shards, op3_pseudonyms, op4_jaccard_join, op5_decontaminate, op6_quality_trees,
+    op7_license_scan, op8_perspectives, op9_toxic_segments, op10_piece_viterbi,
+)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 
 # Words as the contract has them, and the windows of the items.
 _WORDS = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"
