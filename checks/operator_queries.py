@@ -529,7 +529,14 @@ def _(s):
 @query("rank_within_group", f"""
 SELECT {LINE_SQL}, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY {', '.join(LINE_ORDER)}) AS INTEGER) AS rn FROM lineitem""")
 def _(s):
-    numbered = ranking.rank_split_groups(s.lineitem, ["l_orderkey"], F.floor(c("l_partkey") / 500), [c(k) for k in LINE_ORDER])
+    return ranking.rank_within_group(s.lineitem, ["l_orderkey"], [c(k) for k in LINE_ORDER]).select(*LINE_KEYS, "rn")
+
+
+@query("rank_split_groups", f"""
+SELECT {LINE_SQL}, CAST(row_number() OVER (PARTITION BY l_returnflag ORDER BY {', '.join(LINE_ORDER)}, l_orderkey) AS INTEGER) AS rn FROM lineitem""")
+def _(s):
+    order = [*[c(k) for k in LINE_ORDER], c("l_orderkey")]
+    numbered = ranking.rank_split_groups(s.lineitem, ["l_returnflag"], F.floor(c("l_partkey") / 500), order)
     return numbered.select(*LINE_KEYS, "rn")
 
 
@@ -635,6 +642,27 @@ def _(s):
     return merge.merge_upsert(target, sets.union_all(*rows, added), ["c_custkey"], update=["c_name", "c_acctbal"], order=["seq"])
 
 
+@query("merge_upsert_partitioned", """
+SELECT l_orderkey * 10 + l_linenumber AS id, CASE WHEN l_orderkey % 3 = 0 THEN l_quantity + 100 ELSE l_quantity END AS quantity,
+       CASE WHEN l_returnflag = 'N' THEN NULL ELSE l_returnflag END AS flag FROM lineitem
+UNION ALL SELECT -1 - o_orderkey, 1.0, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE 'new ' || o_orderstatus END FROM orders""")
+def _(s):
+    """Rows of the null partition are kept, updated and added like those of any other."""
+    line = s.lineitem.select(
+        (c("l_orderkey") * 10 + c("l_linenumber")).alias("id"), c("l_quantity").alias("quantity"),
+        F.when(c("l_returnflag") != "N", c("l_returnflag")).alias("flag"), "l_orderkey",
+    )
+    target = new_target(s, partition_by=["flag"])
+    target.full_refresh(line.drop("l_orderkey"))
+    changed = line.where("l_orderkey % 3 = 0").select("id", (c("quantity") + 100).alias("quantity"), "flag")
+    added = s.orders.select(
+        (-1 - c("o_orderkey")).alias("id"), F.lit(1.0).alias("quantity"),
+        F.when(c("o_orderstatus") != "P", F.concat(F.lit("new "), c("o_orderstatus"))).alias("flag"),
+    )
+    target.merge(sets.union_all(changed, added), ["id"], update=["quantity"], insert_only=["flag"])
+    return target.read()
+
+
 @query("merge_insert_only_cols", """
 SELECT o_orderkey, CASE WHEN o_orderdate < TIMESTAMP '2000-01-01' THEN o_orderdate ELSE o_orderdate + INTERVAL 1 DAY END AS o_orderdate, o_totalprice + 1 AS o_totalprice FROM orders""")
 def _(s):

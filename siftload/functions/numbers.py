@@ -31,8 +31,11 @@ def to_number_or_zero(c: Column, to: str = "double") -> Column:
 
 
 def round_or_zero(c: Column, digits: int = 2) -> Column:
-    """Rounded amount, 0 for the no-amount texts. Rounds the shown decimal value half up."""
-    return F.when(c.isin(*NO_AMOUNT), F.lit(0.0)).otherwise(F.round(number_from_text(c), digits))
+    """Rounded amount, 0 for the no-amount texts. Rounds the shown decimal value half up. Null stays null; any other
+    text that is no number stops the load, as the source's own conversion does."""
+    number = number_from_text(c)
+    wrong = F.raise_error(F.concat(F.lit("not an amount: "), c)).cast("double")
+    return F.when(c.isin(*NO_AMOUNT), F.lit(0.0)).when(c.isNotNull() & number.isNull(), wrong).otherwise(F.round(number, digits))
 
 
 def number_or_zero(c: Column, to: str = "double") -> Column:

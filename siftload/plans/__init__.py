@@ -44,6 +44,16 @@ class Plan:
     def columns(self) -> Sequence[str]:
         return self.module.TARGET
 
+    @property
+    def needs(self) -> Sequence[str]:
+        """Params without which the extract would be empty or incomplete."""
+        return getattr(self.module, "NEEDS", ())
+
+    def check(self, params: Params) -> None:
+        missing = [name for name in self.needs if not getattr(params, name)]
+        if missing:
+            raise ValueError(f"plan {self.key} needs params {missing}")
+
     def build(self, tables: Tables, params: Params) -> DataFrame:
         return self.module.build(tables, params)
 
@@ -98,6 +108,10 @@ PLANS: dict[str, Plan] = {
 
 
 def run(plan: Plan, tables: Tables, params: Params, targets: Mapping[str, ParquetTarget], audit: RunAudit) -> int:
-    """One audited load; returns the rows written. Its intermediate tables are removed afterwards."""
+    """One audited load; returns the rows written. Its intermediate tables are removed afterwards.
+
+    Params that the plan needs are checked before anything is built or any target is touched.
+    """
+    plan.check(params)
     with work_area(audit.spark):
         return audit.run(plan.key, lambda: plan.build(tables, params), lambda df: plan.load(df, targets, params))

@@ -13,6 +13,7 @@ from siftload.sources.tables import Tables
 SOURCES = (
     "campaign", "system_user", "activity_pointer", "campaign_activity", "phone_call", "string_map", "campaign_answer", "queue_item", "queue", "lead", "account",
 )
+NEEDS = ("campaign_creators", "campaign_queues")
 TARGET = [
     "nazwa_kampanii", "id_kampanii", "data_utw_kampanii", "dzialanie", "data_utworzenia", "temat_rozmowy", "data_utworzenia_rozmowy",
     "nazwa_kolejki", "data_wejscia_na_kolejke", "data_pobrania_z_kolejki", "podjete_z_kolejki_przez", "ostatnia_data_modyfikacji",

@@ -12,6 +12,7 @@ from siftload.sources.tables import Tables
 SOURCES = (
     "contract", "category", "account", "excluded_customers", "fixed_order", "mobile_order", "mobile_order_item", "string_map", "contract_archive",
 )
+NEEDS = ("fix_category", "mobile_category")
 TARGET = ["CONTRACT_NUMBER", "CONTRACT_STATUS", "CONTRACT_TYPE", "ORDER_NUMBER", "CONTRACT_ID", "VERIFICATION_DATE", "ARCH_DATE"]
 DERIVED = ["CONTRACT_ID", "CONTRACT_NUMBER", "VERIFICATION_DATE", "CONTRACT_STATUS"]
 

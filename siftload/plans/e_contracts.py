@@ -9,6 +9,7 @@ from siftload.plans.params import Params
 from siftload.sources.tables import Tables
 
 SOURCES = ("fixed_order", "string_map", "account", "excluded_customers", "sold_product", "contract", "system_user")
+NEEDS = ("sites",)
 TARGET = [
     "ORDER_NUMBER", "NIP", "ID_SOW", "CONTRACT_NUMBER", "CONTRACT_STATUS", "CONTRACT_TYPE", "DOC_TYPE", "SENT_TO_CUSTOMER_DATE",
     "ECONTRACT_STATUS", "CUSTOMER_SIGNED_DATE", "MODIFIED_ON",

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 from siftload.functions import codes, dates, numbers, text
 from siftload.operators import ranking
 from siftload.plans import fixed_values as fv
-from siftload.plans.common import blank, c, calculation_attributes, label, named, user, without_test_customers
+from siftload.plans.common import blank, c, label, named, user, without_test_customers
 from siftload.plans.params import Params
+from siftload.sources.staging import staged
 from siftload.sources.tables import Tables
 
 SOURCES = (
@@ -16,6 +17,7 @@ SOURCES = (
     "address", "city", "street", "zip_connection", "building", "product_process", "system_user", "contributor", "contract_archive",
     "activity_pointer", "work_order",
 )
+NEEDS = ("fix_category", "service_kind_parameter")
 TARGET = [
     "IDSOW_KLIENTA", "NIP_KLIENTA", "SEGMENT_KLIENTA", "WLASCICIEL_KLIENTA", "LOGIN_WLASCICIELA_KLIENTA", "KOD_BSCS", "NUMER_UMOWY",
     "WLASCICIEL_UMOWY", "LOGIN_WLASCICIELA_UM", "KOD_BSCS_WL_UM", "STATUS_UMOWY", "TYP_UMOWY", "KATEGORIA_UMOWY", "PODKATEGORIA_UMOWY",
@@ -34,32 +36,57 @@ TARGET = [
 LOGIN_LENGTH = 100
 
 
-def calculations(t: Tables) -> DataFrame:
-    """Price calculations with figures and attributes: the one shape the plan joins in four roles.
+def is_final_fix() -> Column:
+    return (c("elob_finalpl") == 1) & (c("elob_pltype") == fv.FIX_CALCULATION)
 
-    The commission margin can have several values, each of which is a row; of the two offer attributes
-    only the presence counts.
-    """
-    sold = t["pl_sales_result"].select(c("elob_pandl_id").alias("sold_id")).distinct()
-    offers = (
-        named(t["pl_parameter"], "elob_name", fv.READY_OFFER_PARAMETER, fv.COMPETENCE_PARAMETER_PLAIN)
-        .groupBy(c("elob_pl_resultid").alias("offers_of"))
-        .agg(
-            F.max(F.lower("elob_name") == fv.READY_OFFER_PARAMETER).alias("ready_offer"),
-            F.max(F.lower("elob_name") == fv.COMPETENCE_PARAMETER_PLAIN).alias("competence_map"),
-        )
+
+def wanted_calculations(t: Tables, contracts: DataFrame, projects: DataFrame) -> DataFrame:
+    """Calculations that some contract can show: final fixed-line ones of its projects, its own and its attached one."""
+    def keys(df: DataFrame, name: str, out: str) -> DataFrame:
+        return df.select(c(name).alias(out)).where(c(out).isNotNull()).distinct()
+
+    return (
+        t["pl"].select("activityid", "elob_pl_id", "elob_project", "elob_pltype", "elob_finalpl", "elob_plstatistic")
+        .join(keys(projects, "project", "by_project"), is_final_fix() & (c("elob_project") == c("by_project")), "left")
+        .join(keys(contracts, "elob_plnumber", "by_own"), c("activityid") == c("by_own"), "left")
+        .join(keys(contracts, "elob_attachedplnumber", "by_attached"), c("elob_pl_id") == c("by_attached"), "left")
+        .where(c("by_project").isNotNull() | c("by_own").isNotNull() | c("by_attached").isNotNull())
+        .drop("by_project", "by_own", "by_attached")
     )
-    commission = calculation_attributes(t, fv.COMMISSION_MARGIN, "commission").distinct()
-    figures = (
+
+
+def calculations(t: Tables, chosen: DataFrame) -> DataFrame:
+    """The chosen calculations with figures and attributes: the one shape the plan joins in four roles.
+
+    The attributes are read once, and only those of the chosen calculations are kept. The commission margin can have
+    several values, each of which is a row; of the two offer attributes only the presence counts.
+    """
+    results = staged(
         t["pl_result"]
         .select("elob_plresultid", "elob_pandl_id", "elob_fix_margin_on_contract", "elob_fix_total_revenue_new")
-        .join(sold, c("elob_pandl_id") == c("sold_id"), "left")
+        .join(chosen.select("elob_plstatistic").distinct(), c("elob_plresultid") == c("elob_plstatistic"), "left_semi")
+    )
+    ids = results.select("elob_pandl_id").distinct()
+    sold = t["pl_sales_result"].select(c("elob_pandl_id").alias("sold_id")).join(ids, c("sold_id") == c("elob_pandl_id"), "left_semi").distinct()
+    names = (fv.READY_OFFER_PARAMETER, fv.COMPETENCE_PARAMETER_PLAIN, fv.COMMISSION_MARGIN)
+    attributes = staged(
+        named(t["pl_parameter"], "elob_name", *names)
+        .join(ids, c("elob_pl_resultid") == c("elob_pandl_id"), "left_semi")
+        .select("elob_pl_resultid", F.lower("elob_name").alias("attribute"), c("elob_parametervalue").alias("value"))
+    )
+    offers = attributes.groupBy(c("elob_pl_resultid").alias("offers_of")).agg(
+        F.max(c("attribute") == fv.READY_OFFER_PARAMETER).alias("ready_offer"),
+        F.max(c("attribute") == fv.COMPETENCE_PARAMETER_PLAIN).alias("competence_map"),
+    )
+    commission = named(attributes, "attribute", fv.COMMISSION_MARGIN).select(
+        c("elob_pl_resultid").alias("commission_of"), c("value").alias("commission")
+    ).distinct()
+    figures = (
+        results.join(sold, c("elob_pandl_id") == c("sold_id"), "left")
         .join(commission, c("sold_id") == c("commission_of"), "left")
         .join(offers, c("sold_id") == c("offers_of"), "left")
     )
-    return t["pl"].select("activityid", "elob_pl_id", "elob_project", "elob_pltype", "elob_finalpl", "elob_plstatistic").join(
-        figures, c("elob_plstatistic") == c("elob_plresultid"), "left"
-    )
+    return chosen.join(figures, c("elob_plstatistic") == c("elob_plresultid"), "left")
 
 
 CALCULATION_FIELDS = {
@@ -77,8 +104,7 @@ def as_role(df: DataFrame, prefix: str, *keys: str, commission: bool = True) ->
 
 def final_fix_role(priced: DataFrame, prefix: str) -> DataFrame:
     """Final fixed-line calculations by project."""
-    final_fix = (c("elob_finalpl") == 1) & (c("elob_pltype") == fv.FIX_CALCULATION)
-    return as_role(priced.where(final_fix), prefix, "elob_project")
+    return as_role(priced.where(is_final_fix()), prefix, "elob_project")
 
 
 def offer_label(prefix: str) -> Column:
@@ -142,18 +168,25 @@ def service_kinds(t: Tables, p: Params) -> DataFrame:
     return chosen.join(labels, at, "left").select("kind_of", "service_kind").distinct()
 
 
-def orders(t: Tables, p: Params, priced: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Numbered orders of the wanted contracts with project, address, parameters, service kind and latest decision.
-
-    The orders are cut down to those contracts before anything is joined to them.
-    """
-    rows = t["fixed_order"].where(c("elob_ordernumber").isNotNull()).join(
+def wanted_orders(t: Tables, wanted: DataFrame) -> DataFrame:
+    """Numbered orders of the wanted contracts."""
+    return t["fixed_order"].where(c("elob_ordernumber").isNotNull()).join(
         wanted, c("elob_contract") == c("contractid"), "left_semi"
     ).select(
         "elob_sokxorder2id", "elob_ordernumber", c("elob_contract").alias("order_of"), "elob_project", "elob_soldproduct", "elob_location",
         c("statuscode").alias("order_statuscode"), "elob_operation", "elob_path", "elob_process", c("ownerid").alias("order_owner"),
         "elob_salesadministrationuser", "elob_doublebooking", "elob_testcompletiondate",
     )
+
+
+def orders(t: Tables, p: Params, priced: DataFrame, rows: DataFrame) -> DataFrame:
+    """The wanted orders (``rows``) with project, address, parameters, service kind and latest decision."""
+    order_ids = rows.select("elob_sokxorder2id").distinct()
+    parameters = staged(
+        named(t["order_parameter"], "elob_name", fv.CONSENT_NUMBER, fv.SPECIAL_OFFER)
+        .join(order_ids, c("elob_sokxorder") == c("elob_sokxorder2id"), "left_semi")
+        .select("elob_sokxorder", "elob_name", "elob_value")
+    )
     rows = label(rows, t, "order_statuscode", "order_status", fv.ORDER_STATUS)
     rows = label(rows, t, "elob_operation", "operation", fv.ORDER_OPERATION)
     rows = label(rows, t, "elob_path", "path", fv.ORDER_PATH)
@@ -183,7 +216,7 @@ def orders(t: Tables, p: Params, priced: DataFrame, wanted: DataFrame) -> DataFr
     )
 
     def parameter(name: str, out: str) -> DataFrame:
-        found = named(t["order_parameter"], "elob_name", name)
+        found = named(parameters, "elob_name", name)
         return found.select(c("elob_sokxorder").alias(f"{out}_of"), c("elob_value").alias(out)).distinct()
 
     key = c("elob_sokxorder2id")
@@ -198,8 +231,7 @@ def orders(t: Tables, p: Params, priced: DataFrame, wanted: DataFrame) -> DataFr
 
 
 def build(t: Tables, p: Params) -> DataFrame:
-    priced = calculations(t)
-    contracts = t["contract"].where(
+    contracts = staged(t["contract"].where(
         (c("elob_categoryid") == p.fix_category)
         & dates.from_year(c("elob_revisiondate"), p.verified_from_year)
         & c("statuscode").isin(*fv.ACTIVE_CONTRACT_STATUSES)
@@ -207,7 +239,7 @@ def build(t: Tables, p: Params) -> DataFrame:
         "contractid", "contractnumber", "customerid", c("ownerid").alias("contract_owner"), c("statuscode").alias("contract_statuscode"), "elob_contracttype",
         "elob_contractratetype", "elob_categoryid", "elob_subcategory", "elob_signedbycustomeron", "elob_revisiondate",
         c("modifiedon").alias("contract_modified"), "elob_plnumber", "elob_attachedplnumber",
-    )
+    ))
     # The earliest active entry of a contract joined back on its own time adds no row and no other column.
     first_active = t["status_history"].where(c("elob_statusreasonid").isin(*fv.ACTIVE_CONTRACT_REASONS)).groupBy(
         c("elob_contractid").alias("history_of")
@@ -232,15 +264,18 @@ def build(t: Tables, p: Params) -> DataFrame:
     out = user(out, t, "contract_owner", "holder", "fullname", "domainname", "elob_salespersonid", how="inner")
 
     wanted = contracts.select("contractid")
-    direct = t["opportunity"].join(wanted, c("elob_contract") == c("contractid"), "left_semi").select(
+    direct = staged(t["opportunity"].join(wanted, c("elob_contract") == c("contractid"), "left_semi").select(
         c("elob_contract").alias("direct_of"), c("opportunityid").alias("direct_key"), c("elob_opportunityid").alias("direct_number"),
         c("elob_coronavirus").alias("direct_flag"),
-    )
+    ))
+    ordered = staged(wanted_orders(t, wanted))
+    projects = direct.select(c("direct_key").alias("project")).unionByName(ordered.select(c("elob_project").alias("project")))
+    chosen = staged(wanted_calculations(t, contracts, projects))
+    priced = staged(calculations(t, chosen))
     direct = direct.join(final_fix_role(priced, "linked"), c("direct_key") == c("linked_elob_project"), "left")
 
     owners = t["activity_pointer"].select(c("activityid").alias("owned"), c("ownerid").alias("calculation_owner"))
     owned = user(priced.join(owners, c("activityid") == c("owned"), "left"), t, "calculation_owner", "pricer", "domainname")
-    # The same columns under both roles, as under "linked" and "final", so that Spark works the rows out once.
     own = as_role(owned, "own", "activityid", "pricer_domainname", commission=False)
     attached = as_role(owned, "attached", "activityid", "pricer_domainname", commission=False)
 
@@ -253,7 +288,7 @@ def build(t: Tables, p: Params) -> DataFrame:
     key = c("contractid")
     out = (
         out.join(direct, key == c("direct_of"), "left")
-        .join(orders(t, p, priced, wanted), key == c("order_of"), "left")
+        .join(orders(t, p, priced, ordered), key == c("order_of"), "left")
         .join(helpers, key == c("helped"), "left")
         .join(archive, key == c("archived"), "left")
         .join(own, c("elob_plnumber") == c("own_activityid"), "left")

@@ -8,12 +8,14 @@ from siftload.plans import fixed_values as fv
 from siftload.plans.common import blank, c, known, label, without_test_customers
 from siftload.plans.e_contracts import orders_of_sites
 from siftload.plans.params import Params
+from siftload.sources.staging import staged
 from siftload.sources.tables import Tables
 
 SOURCES = (
     "fixed_order", "string_map", "account", "excluded_customers", "sold_product", "product", "contract", "work_order", "sold_product_parameter",
     "product_parameter", "product_parameter_value", "billing_account", "system_user", "business_unit",
 )
+NEEDS = ("sites", "service_kind_parameter")
 TARGET = [
     "ID_SOW", "ORDER_NUMBER", "CREATED_ON", "MODIFIED_ON", "ORDER_STATUS", "SERVICE", "SERVICE_TYPE", "REALIZATION_TYPE", "CONTRACT_SIGNED_BY",
     "CONTRACT_IS_ECONTRACT", "CONTRACT_IS_ECONTRACT_AUTO", "CONTRACT_NUMBER", "CONTRACT_THREE_SIDED", "CONTRACT_TYPE", "TRANSFER_DOC_TYPE",
@@ -99,8 +101,8 @@ def barriers(f: Facts) -> Column:
     ])
 
 
-def service_facts(t: Tables, p: Params) -> DataFrame:
-    """Per sold product, in one pass over its parameters: the answers to "is there a value?" for two parameters,
+def service_facts(t: Tables, p: Params, wanted: DataFrame) -> DataFrame:
+    """Per wanted sold product (service_id), in one pass over its parameters: the answers to "is there a value?" for two parameters,
     and the labels of its service kind.
 
     The sets are bounded: two answers each, and the labels of three indexes. They are put together before the
@@ -119,6 +121,7 @@ def service_facts(t: Tables, p: Params) -> DataFrame:
     rows = t["sold_product_parameter"].select("elob_soldproduct", "elob_parameter", "elob_parametervalue").join(
         asked, c("elob_parameter") == c("asked_id")
     )
+    rows = rows.join(wanted, c("elob_soldproduct") == c("service_id"), "left_semi")
     rows = rows.join(labels, c("asks_kind") & (c("elob_parametervalue") == c("label_index")), "left")
     filled = c("elob_parametervalue").isNotNull()
     sets = rows.groupBy(c("elob_soldproduct").alias("facts_of")).agg(
@@ -185,9 +188,9 @@ def build(t: Tables, p: Params) -> DataFrame:
     upkeep = c("product_number") == fv.UPKEEP_PRODUCT
     facts = Facts()
     upkeep_progress = codes.classify([(facts.running, fv.UPKEEP_RUNNING), (facts.done, fv.UPKEEP_DONE)])
+    orders = staged(base_orders(t, p))
     rows = (
-        base_orders(t, p)
-        .join(service_facts(t, p), c("service_id") == c("facts_of"), "left")
+        orders.join(service_facts(t, p, orders.select("service_id").distinct()), c("service_id") == c("facts_of"), "left")
         .where(~upkeep | c("service_kind").isNotNull())
     )
     return rows.select(

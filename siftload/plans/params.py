@@ -9,7 +9,7 @@ from dataclasses import dataclass
 @dataclass(frozen=True)
 class Params:
     # The moment "now" stands for; rolling windows count back from it.
-    as_of: str = "2025-06-06 00:00:00"
+    as_of: str
 
     # Cut-off dates.
     activities_from: str = "2020-03-13"
@@ -29,7 +29,7 @@ class Params:
     history_days: int = 30
     last_calculation_days: int = 90
 
-    # Ids of the installation.
+    # Ids of the installation. A plan names those it can't do without (NEEDS); ``run`` refuses to load without them.
     service_account: str = ""
     fix_category: str = ""
     mobile_category: str = ""

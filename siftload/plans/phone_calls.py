@@ -15,6 +15,7 @@ KEYS = ["APPOINTMENT_ID"]
 UPDATE = ["TOPIC", "TOPIC_TYPE", "ID_SOW", "CUSTOMER", "STATE", "EXTENDED_STATUS", "OWNER", "MODIFIED_BY"]
 INSERT_ONLY = ["MODIFICATION_DATE", "SCHEDULED_START", "SCHEDULED_END", "CREATE_DATE", "CREATED_BY"]
 CONSTANTS = {"ACTIVE": 1}
+NEEDS = ("service_account",)
 TARGET = [
     "APPOINTMENT_ID", "TOPIC", "TOPIC_TYPE", "ID_SOW", "CUSTOMER", "MODIFICATION_DATE", "STATE", "EXTENDED_STATUS", "OWNER",
     "SCHEDULED_START", "SCHEDULED_END", "CREATE_DATE", "CREATED_BY", "MODIFIED_BY", "ACTIVE",

@@ -60,7 +60,7 @@ def build(t: Tables, p: Params) -> DataFrame:
         "elob_plresultid", "elob_pandl_id", "elob_acceptance_code", "elob_acceptancepath", "elob_fix_margin_on_contract", "elob_fix_total_revenue_new"
     )
     sold = t["pl_sales_result"].select(c("elob_pandl_id").alias("sold_id"))
-    calculations = (
+    calculations = staged(
         t["pl"]
         .select("activityid", "elob_pl_id", "elob_project", "elob_pltype", "elob_finalpl", "elob_plstatistic", "elob_acceptancelevel")
         .join(activities, "activityid")

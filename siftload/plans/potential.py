@@ -8,6 +8,7 @@ from siftload.plans.params import Params
 from siftload.sources.tables import Tables
 
 SOURCES = ("competitor_product", "account", "portfolio", "system_user")
+NEEDS = ("potential_products",)
 TARGET = [
     "CUSTOMER", "EOP", "ID_SOW", "INCOME", "OPERATOR", "PORTFOLIO", "PRODUCT", "PRODUCT_BRANCH", "QUANTITY", "POTENTIAL_COMMENT", "OS_MODYFIKUJACA",
 ]

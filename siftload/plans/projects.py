@@ -8,6 +8,7 @@ from siftload.operators import ranking
 from siftload.plans import fixed_values as fv
 from siftload.plans.common import blank, c, label, user
 from siftload.plans.params import Params
+from siftload.sources.staging import staged
 from siftload.sources.tables import Tables
 
 SOURCES = (
@@ -23,10 +24,15 @@ SEGMENTS = [1, 2, 3, 4]
 NO_CALCULATION = "null"
 
 
-def chosen_calculations(t: Tables) -> DataFrame:
-    """Per project the final calculation, else the accepted, else the calculated one, in one aggregation."""
+def calculations_with_status(t: Tables) -> DataFrame:
+    """Price calculations and their status, staged: the plan chooses among them and then reads the chosen ones."""
     activities = t["activity_pointer"].select("activityid", c("statuscode").alias("calculation_status"))
-    calculations = t["pl"].select("activityid", "elob_pl_id", "elob_project", "elob_finalpl").join(activities, "activityid", "left")
+    rows = t["pl"].select("activityid", "elob_pl_id", "elob_project", "elob_pltype", "elob_finalpl", "elob_plstatistic")
+    return staged(rows.join(activities, "activityid", "left"))
+
+
+def chosen_calculations(calculations: DataFrame) -> DataFrame:
+    """Per project the final calculation, else the accepted, else the calculated one, in one aggregation."""
     final, draft = c("elob_finalpl") == 1, c("elob_finalpl") == 0
     ranked = [
         final,
@@ -37,8 +43,8 @@ def chosen_calculations(t: Tables) -> DataFrame:
     return calculations.where(c("elob_project").isNotNull()).groupBy(c("elob_project").alias("project")).agg(best.alias("best_id"))
 
 
-def mobile_amounts(t: Tables) -> DataFrame:
-    """Sum and number of the two mobile revenue attributes per calculation result, in one pass.
+def mobile_amounts(t: Tables, wanted: DataFrame) -> DataFrame:
+    """Sum and number of the two mobile revenue attributes per wanted calculation result (sold_id), in one pass.
 
     Joined one after the other, n invoices and m operator amounts give n * m rows; those sums follow from the
     four figures, so the rows are never made.
@@ -46,7 +52,8 @@ def mobile_amounts(t: Tables) -> DataFrame:
     name = F.lower("elob_name")
     invoice, operators = name.like(fv.INVOICE_REVENUE), name.like(fv.OPERATOR_REVENUE)
     amount = numbers.to_number_or_zero(c("elob_parametervalue"))
-    sums = t["pl_parameter"].where(invoice | operators).groupBy(c("elob_pl_resultid").alias("amounts_of")).agg(
+    attributes = t["pl_parameter"].where(invoice | operators).join(wanted, c("elob_pl_resultid") == c("sold_id"), "left_semi")
+    sums = attributes.groupBy(c("elob_pl_resultid").alias("amounts_of")).agg(
         F.sum(F.when(invoice, amount).otherwise(0.0)).alias("invoiced"),
         F.greatest(F.count(F.when(invoice, F.lit(1))), F.lit(1)).alias("invoices"),
         F.sum(F.when(operators, amount).otherwise(0.0)).alias("passed_on"),
@@ -61,21 +68,21 @@ def mobile_amounts(t: Tables) -> DataFrame:
 
 def calculation_totals(t: Tables) -> DataFrame:
     """Margin and revenue of the chosen calculation per project, added up before the projects are joined."""
-    activities = t["activity_pointer"].select("activityid", c("statuscode").alias("calculation_status"))
-    calculations = t["pl"].select("activityid", "elob_pl_id", "elob_pltype", "elob_finalpl", "elob_plstatistic").join(activities, "activityid", "left")
+    calculations = calculations_with_status(t)
     figures = t["pl_result"].select(
         "elob_plresultid", "elob_pandl_id", "elob_fix_margin_on_contract", "elob_fix_total_revenue_new",
         "elob_mobile_contributionmargin", "elob_mobilediscountedcashmargin",
     )
     sold = t["pl_sales_result"].select(c("elob_pandl_id").alias("sold_id"))
-    rows = (
-        chosen_calculations(t)
+    chosen = staged(
+        chosen_calculations(calculations)
         .where(c("best_id").isNotNull())
         .join(calculations, c("best_id") == c("elob_pl_id"))
         .join(figures, c("elob_plstatistic") == c("elob_plresultid"), "left")
         .join(sold, c("elob_pandl_id") == c("sold_id"), "left")
-        .join(mobile_amounts(t), c("sold_id") == c("amounts_of"), "left")
     )
+    wanted = chosen.select("sold_id").distinct()
+    rows = chosen.join(mobile_amounts(t, wanted), c("sold_id") == c("amounts_of"), "left")
     is_fixed = c("elob_pltype") == fv.FIX_CALCULATION
     each = F.coalesce(c("amount_rows"), F.lit(1))
     mobile_revenue = F.coalesce(c("amount_total"), F.lit(0.0)) / each

@@ -38,7 +38,7 @@ class RunAudit:
             rows = seen.get["rows"]
         except Exception as error:
             ended = _now()
-            self._append(name, started, ended, None, (ended - started).total_seconds(), None, str(error)[:2000])
+            self._append(name, started, ended, None, (ended - started).total_seconds(), None, str(error))
             raise
         ended = _now()
         self._append(name, started, ended, rows, (ended - started).total_seconds(), None, None)

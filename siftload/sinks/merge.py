@@ -60,7 +60,7 @@ def merge_upsert(
     target columns keep their value and start as null. A repeated source key counts as applied in ``order``.
     A source row with a null key matches nothing and is inserted.
 
-    With a counted ``source_rows`` within the broadcast bound the target is not shuffled at all; otherwise
+    Rows without a key go around the join on either side. With a counted ``source_rows`` within the broadcast bound the target is not shuffled at all; otherwise
     both sides are shuffled once by key.
     """
     constants = constants or {}
@@ -113,9 +113,10 @@ def merge_upsert(
         known = target.select(*keys).join(F.broadcast(src), same, "left_semi").distinct()
         fresh = once.join(F.broadcast(known), list(keys), "left_anti")
         return updated.unionByName(inserted(fresh)).unionByName(inserted(keyless))
-    marked = target.withColumn("__in_target", F.lit(True))
-    both = marked.join(src, same, "full_outer")
-    return both.select(*[merged(c, F.col("__in_target").isNotNull()) for c in target.columns]).unionByName(inserted(keyless))
+    # Target rows with a null key match nothing; in the outer join they would all meet in one task.
+    marked = target.where(~null_key).withColumn("__in_target", F.lit(True))
+    both = marked.join(src, same, "full_outer").select(*[merged(c, F.col("__in_target").isNotNull()) for c in target.columns])
+    return both.unionByName(target.where(null_key)).unionByName(inserted(keyless))
 
 
 def keyed_update(

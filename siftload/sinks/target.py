@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from siftload.sinks import merge
+from siftload.sinks.folder import VersionedFolder
 from siftload.sources.staging import staged
 from siftload.sources.tables import checked_broadcast
 
@@ -19,9 +19,10 @@ JDBC_BATCH = 15_000
 class ParquetTarget:
     """A target table in one folder.
 
-    Whole-table loads write a new folder next to the table and swap it in by rename, so a failed job
-    leaves the old content. With ``partition_by`` a window or slice load rewrites only the partitions it
-    has rows for.
+    Whole-table loads write a new version and switch to it in one step (``VersionedFolder``), so a job that stops at any
+    moment leaves the old content or the new one. With ``partition_by``, window loads, upserts and keyed updates
+    rewrite only the partitions they touch. Such a rewrite is a dynamic partition overwrite: if it stops half-way, some
+    partitions are new and some old, and repeating the load sets all of them right.
     """
 
     def __init__(
@@ -31,25 +32,23 @@ class ParquetTarget:
         self.path = path.rstrip("/")
         self.schema = schema
         self.partition_by = list(partition_by)
+        self.versions = VersionedFolder(spark, self.path)
 
-    def _fs(self):
-        jvm = self.spark._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(self.path)
-        return folder.getFileSystem(self.spark._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
+    def folder(self) -> str | None:
+        """Where the current content lies; None before the first load."""
+        return self.versions.current()
 
     def exists(self) -> bool:
-        fs, path = self._fs()
-        return fs.exists(path(self.path))
+        return self.folder() is not None
 
     def read(self) -> DataFrame:
-        reader = self.spark.read
-        if self.schema is not None:
-            reader = reader.schema(self.schema)
-        if not self.exists():
+        folder = self.folder()
+        if folder is None:
             if self.schema is None:
                 raise FileNotFoundError(f"{self.path} has no content yet and no schema was given")
             return self.spark.createDataFrame([], self.schema)
-        return reader.parquet(self.path)
+        reader = self.spark.read if self.schema is None else self.spark.read.schema(self.schema)
+        return reader.parquet(folder)
 
     def _read_or_empty(self, like: DataFrame, constants: Mapping[str, object] | None = None) -> DataFrame:
         """Current content; before the first load no rows with the columns the load brings."""
@@ -57,40 +56,45 @@ class ParquetTarget:
             return self.read()
         return like.limit(0).withColumns({name: F.lit(value) for name, value in (constants or {}).items()})
 
-    def _write(self, df: DataFrame, path: str, mode: str, **options: str) -> None:
+    def _write(self, df: DataFrame, folder: str, mode: str, **options: str) -> None:
         writer = df.write.mode(mode).options(**options)
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
-        writer.parquet(path)
+        writer.parquet(folder)
 
     def _swap_in(self, df: DataFrame) -> None:
-        fs, path = self._fs()
-        new, old = f"{self.path}__new_{uuid.uuid4().hex}", f"{self.path}__old_{uuid.uuid4().hex}"
-        self._write(df, new, "errorifexists")
-        had_content = fs.exists(path(self.path))
-        if had_content and not fs.rename(path(self.path), path(old)):
-            raise OSError(f"could not move {self.path} aside")
-        if not fs.rename(path(new), path(self.path)):
-            if had_content:
-                fs.rename(path(old), path(self.path))
-            raise OSError(f"could not put the new content at {self.path}")
-        if had_content:
-            fs.delete(path(old), True)
+        version = self.versions.new_version()
+        self._write(df, version, "errorifexists")
+        self.versions.commit(version)
 
     def append(self, df: DataFrame) -> None:
-        self._write(df, self.path, "append")
+        folder = self.folder()
+        if folder is None:
+            self._swap_in(df)
+        else:
+            self._write(df, folder, "append")
 
     def full_refresh(self, df: DataFrame) -> None:
         self._swap_in(df)
 
     def replace_window(self, new_rows: DataFrame, window: Column) -> None:
-        self._swap_in(merge.replace_window(self._read_or_empty(new_rows), new_rows, window))
+        """Replaces the rows inside ``window`` by ``new_rows``; of a partitioned target only partitions with either."""
+        if not self.partition_by or not self.exists():
+            self._swap_in(merge.replace_window(self._read_or_empty(new_rows), new_rows, window))
+            return
+        current, staged_rows = self.read(), staged(new_rows)
+        touched = self._places(current.where(window), staged_rows)
+        self._rewrite(current, touched, lambda affected: merge.replace_window(affected, staged_rows, window))
 
     def replace_partitions(self, new_rows: DataFrame) -> None:
         """Replaces the partitions that ``new_rows`` has rows in, and touches no other."""
         if not self.partition_by:
             raise ValueError("the target is not partitioned")
-        self._write(new_rows, self.path, "overwrite", partitionOverwriteMode="dynamic")
+        folder = self.folder()
+        if folder is None:
+            self._swap_in(new_rows)
+        else:
+            self._write(new_rows, folder, "overwrite", partitionOverwriteMode="dynamic")
 
     def stage(self, df: DataFrame) -> tuple[DataFrame, int]:
         rows = staged(df)
@@ -107,29 +111,66 @@ class ParquetTarget:
         return rows
 
     def _merge_partitions(self, current: DataFrame, staged_rows: DataFrame, keys: Sequence[str], rows: int, **how) -> None:
-        """Partitions of the rows to update and of the rows to insert. A row must keep its partition, as one
-        that moved could leave an empty partition behind, which a partition overwrite does not clear."""
+        """Partitions of the rows to update and of the rows to insert. A row must keep its partition."""
         update = how.get("update")
         if update is None:
             update = [c for c in staged_rows.columns if c not in {*keys, *how.get("insert_only", ())}]
-        moving = sorted(set(update) & set(self.partition_by))
-        if moving:
-            raise ValueError(f"partition columns {moving} may be set on insert only")
+        self._refuse_moves(update)
         source_keys = checked_broadcast(staged_rows.select(*keys).distinct())
-        places = current.join(source_keys, list(keys), "left_semi").select(*self.partition_by)
-        given = [c for c in self.partition_by if c in staged_rows.columns]
-        if given == self.partition_by:
-            places = places.unionByName(staged_rows.select(*self.partition_by))
-        touched = staged(places.distinct())
-        affected = current.join(checked_broadcast(touched), self.partition_by, "left_semi").select(*current.columns)
-        merged = merge.merge_upsert(affected, staged_rows, keys, source_rows=rows, **how)
-        self._write(merged, self.path, "overwrite", partitionOverwriteMode="dynamic")
+        # A column the source lacks starts as null, and so does the partition of the rows it inserts.
+        given = [F.col(c) if c in staged_rows.columns else F.lit(None).alias(c) for c in self.partition_by]
+        touched = self._places(current.join(source_keys, list(keys), "left_semi"), staged_rows.select(*given))
+        self._rewrite(current, touched, lambda affected: merge.merge_upsert(affected, staged_rows, keys, source_rows=rows, **how))
 
     def update(self, source: DataFrame, keys: Sequence[str], update: Sequence[str], order: Sequence[str] = ()) -> int:
+        """Sets columns of known keys. A partitioned target rewrites only the partitions that hold one."""
         staged_rows, rows = self.stage(source)
-        self._swap_in(merge.keyed_update(self.read(), staged_rows, keys, update, order))
+        current = self.read()
+        if not self.partition_by or not self.exists():
+            self._swap_in(merge.keyed_update(current, staged_rows, keys, update, order))
+            return rows
+        self._refuse_moves(update)
+        source_keys = checked_broadcast(staged_rows.select(*keys).distinct())
+        touched = self._places(current.join(source_keys, list(keys), "left_semi"))
+        self._rewrite(current, touched, lambda affected: merge.keyed_update(affected, staged_rows, keys, update, order))
         return rows
 
+    def _refuse_moves(self, update: Sequence[str]) -> None:
+        moving = sorted(set(update) & set(self.partition_by))
+        if moving:
+            raise ValueError(f"partition columns {moving} may be set on insert only")
+
+    def _places(self, *frames: DataFrame) -> DataFrame:
+        """The partitions with rows in any of the frames, once each."""
+        types = self.read().schema
+        places = [f.select(*[F.col(c).cast(types[c].dataType).alias(c) for c in self.partition_by]) for f in frames]
+        all_places = places[0]
+        for more in places[1:]:
+            all_places = all_places.unionByName(more)
+        return staged(all_places.distinct())
+
+    def _in(self, df: DataFrame, places: DataFrame, how: str) -> DataFrame:
+        """Rows in ``places`` (left_semi) or not (left_anti). The null partition is one like any other."""
+        named = checked_broadcast(places.select(*[F.col(c).alias(f"__p_{c}") for c in self.partition_by]))
+        same = F.lit(True)
+        for c in self.partition_by:
+            same = same & F.col(c).eqNullSafe(F.col(f"__p_{c}"))
+        return df.join(named, same, how)
+
+    def _rewrite(self, current: DataFrame, touched: DataFrame, change) -> None:
+        """New content for the touched partitions. One that ends up empty is removed, as an overwrite leaves it."""
+        affected = self._in(current, touched, "left_semi")
+        content = staged(change(affected.select(*current.columns)))
+        emptied = staged(self._in(touched, content.select(*self.partition_by).distinct(), "left_anti"))
+        folders: list[str] = []
+        if not emptied.isEmpty():
+            file = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("folder")
+            # At most as many names as there are partitions to remove.
+            folders = [r["folder"] for r in self._in(current.select("*", file), emptied, "left_semi").select("folder").distinct().collect()]
+        self._write(content, self.folder(), "overwrite", partitionOverwriteMode="dynamic")
+        for folder in folders:
+            self.versions.delete(folder)
+
     def refresh_from(self, loaded: ParquetTarget, columns: Sequence[str]) -> None:
         self.full_refresh(merge.derived_distinct(loaded.read(), columns))
 

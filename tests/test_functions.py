@@ -74,6 +74,12 @@ def test_round_or_zero(spark, value, expected):
     assert one(spark, numbers.round_or_zero(c("x")), value) == expected
 
 
+def test_round_or_zero_stops_at_other_text(spark):
+    assert one(spark, numbers.round_or_zero(c("x")), None) is None
+    with pytest.raises(Exception, match="not an amount: abc"):
+        one(spark, numbers.round_or_zero(c("x")), "abc")
+
+
 @pytest.mark.parametrize("value, kind, expected", [("12.9", "int", 12), ("x", "int", 0), (None, "double", 0.0), ("1e3", "double", 1000.0), ("--1", "double", 0.0), (" 5 ", "double", 5.0)])
 def test_to_number(spark, value, kind, expected):
     assert one(spark, numbers.to_number_or_zero(c("x"), kind), value) == expected

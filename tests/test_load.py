@@ -92,15 +92,137 @@ def test_partitions_without_new_rows_stay(spark, frame):
 def test_merge_rewrites_touched_partitions_only(spark, frame):
     target = ParquetTarget(spark, work_dir(spark) + "/p", partition_by=["made"])
     target.full_refresh(frame([(1, "a", "p1", 0), (2, "b", "p1", 0), (3, "c", "p2", 0), (4, "d", "p3", 0)], SCHEMA))
-    untouched = set(spark.read.parquet(target.path + "/made=p2").inputFiles())
+    untouched = set(spark.read.parquet(target.folder() + "/made=p2").inputFiles())
     target.merge(frame([(2, "b2", "p3"), (9, "z", "p3"), (8, "y", "p4")], "id int, name string, made string"), ["id"], update=["name"], insert_only=["made"])
     got = sorted(tuple(r) for r in target.read().select("id", "name", "made").collect())
     assert got == [(1, "a", "p1"), (2, "b2", "p1"), (3, "c", "p2"), (4, "d", "p3"), (8, "y", "p4"), (9, "z", "p3")]
-    assert set(spark.read.parquet(target.path + "/made=p2").inputFiles()) == untouched
+    assert set(spark.read.parquet(target.folder() + "/made=p2").inputFiles()) == untouched
     with pytest.raises(ValueError):
         target.merge(frame([(2, "b2", "p3")], "id int, name string, made string"), ["id"])
 
 
+NULLS = [(1, "a", None, 0), (2, "b", None, 0), (3, "c", "x", 0)]
+
+
+def files_of(target, spark, partition):
+    return set(spark.read.parquet(f"{target.folder()}/made={partition}").inputFiles())
+
+
+def test_merge_keeps_the_null_partition(spark, frame):
+    target = ParquetTarget(spark, work_dir(spark) + "/n", partition_by=["made"])
+    target.full_refresh(frame(NULLS, SCHEMA))
+    target.merge(frame([(9, "new", None), (2, "b2", "unused")], "id int, name string, made string"), ["id"], update=["name"], insert_only=["made"])
+    got = sorted((tuple(r) for r in target.read().select("id", "name", "made").collect()), key=str)
+    assert got == [(1, "a", None), (2, "b2", None), (3, "c", "x"), (9, "new", None)]
+
+
+def test_merge_without_the_partition_column_inserts_into_the_null_partition(spark, frame):
+    target = ParquetTarget(spark, work_dir(spark) + "/n", partition_by=["made"])
+    target.full_refresh(frame(NULLS, SCHEMA))
+    target.merge(frame([(9, "new"), (3, "c2")], "id int, name string"), ["id"], update=["name"])
+    got = sorted((tuple(r) for r in target.read().select("id", "name", "made").collect()), key=str)
+    assert got == [(1, "a", None), (2, "b", None), (3, "c2", "x"), (9, "new", None)]
+
+
+def test_window_of_a_partitioned_target(spark, frame):
+    target = ParquetTarget(spark, work_dir(spark) + "/w", partition_by=["made"])
+    target.full_refresh(frame([*NULLS, (4, "d", "y", 0), (5, "e", "z", 0)], SCHEMA))
+    untouched = files_of(target, spark, "x")
+    target.replace_window(frame([(6, "new", "z", 0)], SCHEMA), (c("id") == 4) | (c("id") == 2))
+    got = sorted((tuple(r) for r in target.read().select("id", "name", "made").collect()), key=str)
+    assert got == [(1, "a", None), (3, "c", "x"), (5, "e", "z"), (6, "new", "z")]
+    assert files_of(target, spark, "x") == untouched
+    target.replace_window(frame([], SCHEMA), c("made").isNull())
+    assert sorted(r["id"] for r in target.read().collect()) == [3, 5, 6]
+
+
+def test_update_of_a_partitioned_target(spark, frame):
+    target = ParquetTarget(spark, work_dir(spark) + "/u", partition_by=["made"])
+    target.full_refresh(frame([*NULLS, (4, "d", "y", 0)], SCHEMA))
+    untouched = files_of(target, spark, "x")
+    target.update(frame([(2, "b2"), (4, None), (99, "no")], "id int, name string"), ["id"], ["name"])
+    got = sorted((tuple(r) for r in target.read().select("id", "name", "made").collect()), key=str)
+    assert got == [(1, "a", None), (2, "b2", None), (3, "c", "x"), (4, None, "y")]
+    assert files_of(target, spark, "x") == untouched
+    with pytest.raises(ValueError):
+        target.update(frame([(1, "p")], "id int, made string"), ["id"], ["made"])
+
+
+@pytest.mark.parametrize("step", ["create", "delete", "write"])
+def test_a_load_that_stops_leaves_old_or_new_content(spark, frame, monkeypatch, step):
+    target = ParquetTarget(spark, work_dir(spark) + "/s", SCHEMA)
+    target.full_refresh(frame([(1, "a", "x", 0)], SCHEMA))
+    target.full_refresh(frame([(1, "a", "x", 0), (2, "b", "y", 0)], SCHEMA))
+    real = target.versions._fs()
+
+    class Stopping:
+        def __getattr__(self, name):
+            if name == step:
+                raise OSError("stopped")
+            return getattr(real, name)
+
+    if step == "write":
+        # A pointer that was begun and never finished.
+        monkeypatch.setattr(target.versions, "commit", lambda version: real.create(target.versions._path("_pointers", "0000000009"), False).close())
+    else:
+        monkeypatch.setattr(target.versions, "_fs", Stopping)
+    source = frame([(2, "z", "y", 0)], SCHEMA)
+    try:
+        target.merge(source, ["id"])
+    except OSError:
+        pass
+    monkeypatch.undo()
+    left = rows(target.read())
+    assert left == ([(1, "a", "x", 0), (2, "z", "y", 0)] if step == "delete" else [(1, "a", "x", 0), (2, "b", "y", 0)])
+    target.merge(source, ["id"])
+    assert rows(target.read()) == [(1, "a", "x", 0), (2, "z", "y", 0)]
+
+
+def test_two_loads_at_once_do_not_both_commit(spark, frame):
+    target = ParquetTarget(spark, work_dir(spark) + "/c", SCHEMA)
+    target.full_refresh(frame([(1, "a", "x", 0)], SCHEMA))
+    number = target.versions._pointers()[-1][0]
+    real = target.versions._fs()
+    real.create(target.versions._path("_pointers", f"{number + 1:010d}"), False).close()
+    assert rows(target.read()) == [(1, "a", "x", 0)]
+    with pytest.raises(Exception):
+        real.create(target.versions._path("_pointers", f"{number + 1:010d}"), False)
+
+
+def test_a_folder_of_another_kind_is_refused(spark, frame):
+    path = work_dir(spark) + "/f"
+    frame([(1, "a", "x", 0)], SCHEMA).write.parquet(path)
+    with pytest.raises(FileExistsError):
+        ParquetTarget(spark, path, SCHEMA).read()
+
+
+def test_target_rows_without_a_key_go_around_the_join(spark, frame):
+    target = frame([(None, "old", None, 0)] * 3 + [(1, "a", None, 0)], SCHEMA)
+    out = merge.merge_upsert(target, frame([(1, "a2"), (2, "b")], "id int, name string"), ["id"], update=["name"])
+    assert rows(out) == [(1, "a2", None, 0), (2, "b", None, None), *[(None, "old", None, 0)] * 3]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "isnotnull(id" in plan and "FullOuter" in plan
+
+
+def test_a_missing_param_stops_before_the_target_is_touched(spark):
+    audit = RunAudit(spark, work_dir(spark))
+    with pytest.raises(ValueError, match="campaign_creators"):
+        run(PLANS["campaigns"], Tables(), Params(as_of="2025-06-06 00:00:00"), {}, audit)
+    with pytest.raises(TypeError):
+        Params()
+    for plan in PLANS.values():
+        for name in plan.needs:
+            with pytest.raises(ValueError, match=name):
+                plan.check(Params(as_of="2025-06-06 00:00:00"))
+
+
+def test_audit_keeps_the_whole_error(spark, frame):
+    audit = RunAudit(spark, work_dir(spark))
+    with pytest.raises(ValueError):
+        audit.run("bad", lambda: frame([], SCHEMA), lambda df: (_ for _ in ()).throw(ValueError("x" * 5000)))
+    assert len(audit.read().first()["error"]) == 5000
+
+
 def test_work_area_is_removed(spark, frame):
     import os
 
@@ -139,7 +261,7 @@ def test_plan_runs_with_load_and_audit(spark, frame):
     schema = "PROJECT_NUMBER string, USER_ICT_1 string, USER_ICT_2 string, USER_ICT_3 string, USER_ICT_4 string"
     projects.full_refresh(frame([("P1", *none), ("P2", *none), ("P3", "kept", None, None, None)], schema))
     audit = RunAudit(spark, work_dir(spark))
-    assert run(PLANS["project_users"], tables, Params(), {"projects": projects}, audit) == 1
+    assert run(PLANS["project_users"], tables, Params(as_of="2025-06-06 00:00:00"), {"projects": projects}, audit) == 1
     assert rows(projects.read()) == [("P1", "user1", "user2", "user3", "user4"), ("P2", *none), ("P3", "kept", None, None, None)]
 
 
