@@ -88,7 +88,7 @@ def find_hits(docs: DataFrame, anchors: DataFrame, small: bool) -> DataFrame:
 def decontaminate(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFrame:
     """What of each document stands in a benchmark item: one row per document row.
 
-    Returns doc_id, n_words, n_hit (words inside an occurrence of a window), n_items, items_sha256 (of the item ids,
+    Returns doc_id, text_hash (xxhash64), n_words, n_hit (words inside an occurrence of a window), n_items, items_sha256 (of the item ids,
     sorted as text, comma-joined; of empty text when there is none), contaminated. Null and empty texts have no words;
     repeated rows come back repeated; rows with equal ids and different texts stay apart. A null item_id is not listed
     but its words are hit. Without items nothing is contaminated. Extra columns are not read.
@@ -107,7 +107,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFra
     covered = F.flatten(F.transform("spans", lambda s: F.sequence(s["start"], s["start"] + s["length"] - 1)))
     names = F.array_sort(F.transform("items", lambda i: i.cast("string")))
     return found.select(
-        "doc_id", "n_words",
+        "doc_id", "text_hash", "n_words",
         F.size(F.array_distinct(covered)).cast("long").alias("n_hit"),
         F.size(names).cast("long").alias("n_items"),
         F.sha2(F.array_join(names, ","), 256).alias("items_sha256"),

@@ -97,7 +97,8 @@ def added_up(chunks: DataFrame) -> np.ndarray:
 
 
 def read_sets(docs: DataFrame, words_per_shingle: int) -> tuple[DataFrame, np.ndarray]:
-    """doc_id, n and set (id of the element set) of every row, and how often each slot's elements occur in all rows."""
+    """doc_id, text_hash, n and set (id of the element set) of every row, and how often each slot's elements occur in all."""
+    names = ["doc_id", "text_hash", "n", "set", "chunk", "counts"]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(SLOTS, np.uint32)
@@ -109,22 +110,21 @@ def read_sets(docs: DataFrame, words_per_shingle: int) -> tuple[DataFrame, np.nd
             n = len(sets)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0).cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_id(s) for s in sets], pa.int64()),
-                    pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()),
+                    batch.column(0).cast(pa.int64()), batch.column(2), pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([set_id(s) for s in sets], pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()),
                 ],
-                ["doc_id", "n", "set", "chunk", "counts"],
+                names,
             )
         rows = list(chunk_rows(counts))
         none = pa.nulls(len(rows), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [none, none, none, pa.array([c for c, _ in rows], pa.int32()), pa.array([b for _, b in rows], pa.binary())],
-            ["doc_id", "n", "set", "chunk", "counts"],
+            [none, none, none, none, pa.array([c for c, _ in rows], pa.int32()), pa.array([b for _, b in rows], pa.binary())], names
         )
 
-    schema = "doc_id long, n long, set long, chunk int, counts binary"
-    found = staged(docs.select("doc_id", "text").mapInArrow(read, schema))
+    schema = "doc_id long, text_hash long, n long, set long, chunk int, counts binary"
+    found = staged(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(read, schema))
     counts = added_up(found.where("chunk IS NOT NULL").select("chunk", "counts"))
-    return found.where("chunk IS NULL").select("doc_id", "n", "set"), counts
+    return found.where("chunk IS NULL").select("doc_id", "text_hash", "n", "set"), counts
 
 
 def prefix_tokens(docs: DataFrame, counts: np.ndarray, words_per_shingle: int, percent: int) -> DataFrame:
@@ -381,7 +381,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, words_per_shingle: int = 4, percent: int = 85) -> DataFrame:
-    """doc_id, n_shingles and component_id of every document row.
+    """doc_id, text_hash (xxhash64), n_shingles and component_id of every document row.
 
     Documents whose shingle sets have a Jaccard similarity of ``percent`` / 100 or more are linked; component_id is the
     smallest doc_id reachable by links. A shorter text is one shingle; null and empty texts have none and are linked with
@@ -400,7 +400,7 @@ def jaccard_components(docs: DataFrame, words_per_shingle: int = 4, percent: int
     named = sets.join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set"))
     smallest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     by_set = named.select("set", "root").join(smallest, "root").select("set", "component_id")
-    linked = rows.where("n > 0").join(by_set, "set").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    alone = rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    own = ["doc_id", "text_hash", F.col("n").alias("n_shingles")]
+    linked = rows.where("n > 0").join(by_set, "set").select(*own, "component_id")
+    alone = rows.where("n = 0").select(*own, F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone)
-

@@ -39,11 +39,12 @@ def op3_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
-    return jaccard_join.jaccard_components(table(spark, folder, "documents"), words_per_shingle=4, percent=85)
+    return jaccard_join.jaccard_components(table(spark, folder, "documents"), words_per_shingle=4, percent=85).drop("text_hash")
 
 
 def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
-    return decontaminate.decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"), width=10)
+    found = decontaminate.decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"), width=10)
+    return found.drop("text_hash")
 
 
 def op6_quality_trees(spark: SparkSession, folder: str) -> DataFrame:

@@ -23,10 +23,10 @@ MOST_ENTRIES = 50_000
 FOLDS, HELD_OUT = 4, 2
 # A word is looked up whole and by its first characters, so that inflected forms share evidence.
 STEMS = (4, 5, 6)
-# Weight of the prior: pseudo-documents with the mixture of all labelled documents.
-PRIOR_DOCS = 20.0
-# Significance a log-odds needs (standard deviations), and the largest score of one token.
-LEAST_Z, MOST_SCORE = 4.0, 6.0
+# Weight of the prior: pseudo-documents with the mixture of all labelled documents, as a share of these.
+PRIOR_SHARE = 0.15
+# What a token's log-odds must reach, in standard deviations and by itself, and the largest score of one token.
+LEAST_Z, LEAST_DELTA, MOST_SCORE = 4.0, 2.0, 6.0
 # What every other token costs.
 DRIFT = 0.05
 # A segment is reported when this many or fewer are expected by chance in its document.
@@ -98,9 +98,9 @@ def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
 def log_odds(df: DataFrame, toxic_docs: int, clean_docs: int) -> DataFrame:
     """token, delta and z from token, toxic and clean (documents that hold it), under an informative Dirichlet prior:
     pseudo-documents spread like all labelled documents."""
-    every = float(toxic_docs + clean_docs)
-    prior = (F.col("toxic") + F.col("clean")) * (PRIOR_DOCS / every)
-    odds = lambda seen, n: F.log((F.col(seen) + prior) / (F.lit(n + PRIOR_DOCS) - F.col(seen) - prior + 1.0))
+    prior = (F.col("toxic") + F.col("clean")) * PRIOR_SHARE
+    prior_docs = (toxic_docs + clean_docs) * PRIOR_SHARE
+    odds = lambda seen, n: F.log((F.col(seen) + prior) / (F.lit(n + prior_docs) - F.col(seen) - prior + 1.0))
     delta = odds("toxic", toxic_docs) - odds("clean", clean_docs)
     spread = F.sqrt(1 / (F.col("toxic") + prior) + 1 / (F.col("clean") + prior))
     return df.select("token", delta.alias("delta"), (delta / spread).alias("z"))
@@ -131,9 +131,11 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED)
     stems = [F.when(F.length("word") >= n, F.substring("word", 1, n)) for n in STEMS]
     each = tokens.select("toxic", F.explode(F.array(F.concat(F.lit("="), "word"), *stems)).alias("token")).where("token IS NOT NULL")
     counts = each.groupBy("token").agg(F.count_if(F.col("toxic") == 1).alias("toxic"), F.count_if(F.col("toxic") == 0).alias("clean"))
-    significant = log_odds(counts.where("toxic >= 3"), toxic_docs, clean_docs).where((F.col("z") >= LEAST_Z) & (F.col("delta") > 0))
+    significant = log_odds(counts.where("toxic >= 3"), toxic_docs, clean_docs).where((F.col("z") >= LEAST_Z) & (F.col("delta") >= LEAST_DELTA))
     kept = significant.orderBy(F.desc("z"), "token").limit(MOST_ENTRIES).collect()
     scores = {r["token"]: min(MOST_SCORE, r["delta"]) for r in kept}
+    if not scores:
+        return Model({}, 1.0, 1.0, -20.0, 0.0)
 
     def peak(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = TokenScores(scores)
@@ -156,7 +158,11 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED)
     # Of the clean documents: how often a token scores, and how much.
     hits, mass, tokens_read = (float(sum(r[c] for r in seen if r["toxic"] == 0)) for c in ("hits", "mass", "n"))
     decay = decay_rate((hits + 0.5) / (tokens_read + 1), mass / hits if hits else MOST_SCORE / 2)
-    scale = max(1e-12, float(np.exp(decay * peaks[clean]).mean() / n[clean].mean()) if clean.any() else 1.0)
+    # K from how many clean documents reach a middling chance peak: K * exp(-decay * peak) * words is what is expected.
+    chance = peaks[clean & (peaks > 0)]
+    middling = float(np.median(chance)) if len(chance) else min(scores.values())
+    reached = max(0.5, float((chance >= middling).sum()))
+    scale = reached * math.exp(min(600.0, decay * middling)) / float(n[clean].sum())
     x = evidence(peaks, n, decay, scale)
     intercept, slope = logistic(x, y)
     return Model(scores, decay, scale, intercept, slope)
