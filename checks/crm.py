@@ -161,7 +161,7 @@ CRM: dict[str, str] = {
         CAST(1 + {div(O, 2)} % 4 AS INT) AS elob_contracttype, CASE WHEN {div(O, 4)} % 9 = 0 THEN NULL ELSE {LATER} + INTERVAL 1 DAY END AS elob_revisiondate,
         CASE WHEN {O} % 4 = 0 THEN NULL ELSE {LATER} + INTERVAL 23 HOUR END AS elob_signedbycustomeron, CASE WHEN {O} % 8 = 0 THEN NULL ELSE {LATER} + INTERVAL 9 HOUR END AS elob_senttocustomeron,
         CAST({pick(div(O, 3), ['743940002', '743940003', '1', None, None, None, None])} AS INT) AS elob_transferdocumenttype, CAST({O} % 4 AS INT) AS elob_econtractstatus, CAST({pick(O, ['0', '1', '2', None, None, None, None])} AS INT) AS elob_acceptancefornoncontractmode,
-        CASE WHEN {O} % 3 = 0 THEN NULL ELSE concat('BA', o_custkey) END AS elob_billingaccount, CASE WHEN {div(O, 5)} % 3 = 1 THEN NULL ELSE concat('L', {O} + 4) END AS elob_plnumber,
+        CASE WHEN {O} % 3 = 0 THEN NULL ELSE concat('BA', o_custkey) END AS elob_billingaccount, CASE WHEN {div(O, 5)} % 3 = 1 THEN NULL ELSE concat('L', {O} + 4 + {div(O, 7)} % 3) END AS elob_plnumber,
         CASE WHEN {O} % 4 = 1 THEN NULL ELSE CAST({O} + 90001 AS STRING) END AS elob_attachedplnumber, CAST({div(O, 4)} % 3 AS INT) AS elob_contractratetype, CAST({pick(O, ['12', '24', None])} AS INT) AS elob_durationtimeinmonths FROM {{orders}}""",
     "contract_archive": f"""SELECT CASE WHEN {div(O, 5)} % 3 = 0 THEN concat('X', {O}) ELSE concat('C', {O}) END AS elob_contract, CASE WHEN {O} % 5 = 0 THEN NULL ELSE {LATER} + INTERVAL 40 DAY END AS elob_archivingdate,
         {pick(div(O, 7), ["'null'", None, f"concat('BC', {O})"])} AS elob_barcode, {named(div(O, 3), ['ZARCHIWIZOWANO w teczce', 'inne'])} AS elob_comments, CAST({div(O, 11)} % 3 AS INT) AS elob_tigerstatus FROM {{orders}}""",

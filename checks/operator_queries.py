@@ -224,9 +224,9 @@ def supervised(s: Star) -> DataFrame:
 
 @query("filter_two_level_scope", f"""
 SELECT l_orderkey, l_suppkey FROM lineitem JOIN {SUPERVISED} p ON p.id = l_suppkey LEFT JOIN {SUPERVISED} u1 ON u1.id = p.boss LEFT JOIN {SUPERVISED} u2 ON u2.id = u1.boss
-WHERE u1.nm IN (SELECT s_name FROM supplier WHERE s_nationkey = 3) OR u2.nm IN (SELECT s_name FROM supplier WHERE s_nationkey = 3)""")
+WHERE u1.nm IN (SELECT s_name FROM supplier WHERE s_suppkey % 3 = 1) OR u2.nm IN (SELECT s_name FROM supplier WHERE s_suppkey % 3 = 1)""")
 def _(s):
-    allowed = s.supplier.where("s_nationkey = 3").select("s_name")
+    allowed = s.supplier.where("s_suppkey % 3 = 1").select("s_name")
     people = supervised(s)
     scope = lookup.hierarchy_two_up(people, people, "s_suppkey", "boss", "s_name")
     scope = lookup.flag_keys(lookup.flag_keys(scope, "up1_name", allowed, "s_name", "in1"), "up2_name", allowed, "s_name", "in2")
@@ -643,23 +643,20 @@ def _(s):
 
 
 @query("merge_upsert_partitioned", """
-SELECT l_orderkey * 10 + l_linenumber AS id, CASE WHEN l_orderkey % 3 = 0 THEN l_quantity + 100 ELSE l_quantity END AS quantity,
-       CASE WHEN l_returnflag = 'N' THEN NULL ELSE l_returnflag END AS flag FROM lineitem
-UNION ALL SELECT -1 - o_orderkey, 1.0, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE 'new ' || o_orderstatus END FROM orders""")
+SELECT o_orderkey AS id, CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice + 100 ELSE o_totalprice END AS price, CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS status FROM orders
+UNION ALL SELECT -1 - c_custkey, c_acctbal, CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE c_mktsegment END FROM customer""")
 def _(s):
     """Rows of the null partition are kept, updated and added like those of any other."""
-    line = s.lineitem.select(
-        (c("l_orderkey") * 10 + c("l_linenumber")).alias("id"), c("l_quantity").alias("quantity"),
-        F.when(c("l_returnflag") != "N", c("l_returnflag")).alias("flag"), "l_orderkey",
+    rows = s.orders.select(
+        c("o_orderkey").alias("id"), c("o_totalprice").alias("price"), F.when(c("o_orderstatus") != "P", c("o_orderstatus")).alias("status")
     )
-    target = new_target(s, partition_by=["flag"])
-    target.full_refresh(line.drop("l_orderkey"))
-    changed = line.where("l_orderkey % 3 = 0").select("id", (c("quantity") + 100).alias("quantity"), "flag")
-    added = s.orders.select(
-        (-1 - c("o_orderkey")).alias("id"), F.lit(1.0).alias("quantity"),
-        F.when(c("o_orderstatus") != "P", F.concat(F.lit("new "), c("o_orderstatus"))).alias("flag"),
+    target = new_target(s, partition_by=["status"])
+    target.full_refresh(rows)
+    changed = rows.where("id % 3 = 0").select("id", (c("price") + 100).alias("price"), "status")
+    added = s.customer.select(
+        (-1 - c("c_custkey")).alias("id"), c("c_acctbal").alias("price"), F.when(c("c_mktsegment") != "BUILDING", c("c_mktsegment")).alias("status")
     )
-    target.merge(sets.union_all(changed, added), ["id"], update=["quantity"], insert_only=["flag"])
+    target.merge(sets.union_all(changed, added), ["id"], update=["price"], insert_only=["status"])
     return target.read()
 
 

@@ -10,7 +10,7 @@ from siftload.session import work_dir
 from siftload.sinks.audit import RunAudit
 from siftload.sinks.target import ParquetTarget
 
-FOLDER = "/root/testdata/sf0.001"
+FOLDER = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="module")
@@ -27,6 +27,7 @@ def test_every_plan_is_audited(loaded):
     _, _, audit, counts = loaded
     seen = {r["name"]: r["rows"] for r in audit.read().collect()}
     assert seen == counts and set(seen) == set(PLANS)
+    assert all(n > 0 for n in counts.values())
 
 
 @pytest.mark.parametrize("key", [k for k, p in PLANS.items() if not p.target])
