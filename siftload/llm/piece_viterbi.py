@@ -40,7 +40,8 @@ def read_pieces(model_file: str) -> Pieces:
 
     A model of type unigram keeps its log probabilities. The scores of a BPE model are ranks of merges, not
     log probabilities, so ranks become costs by Zipf's law: a piece of rank r costs 1 + ln(r + 1) / ln(pieces), that is,
-    fewer pieces come first, then more frequent ones.
+    fewer pieces come first, then more frequent ones. The best segmentation under these costs is not always the one
+    that merging in order of rank ends with.
     """
     from sentencepiece import SentencePieceProcessor
 
@@ -49,11 +50,11 @@ def read_pieces(model_file: str) -> Pieces:
     names = [model.id_to_piece(i) for i in range(n)]
     raw = np.array([model.get_score(i) for i in range(n)])
     plain = [i for i in range(n) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))]
-    ranks = -raw[plain]
-    by_rank = len(plain) > 1 and np.array_equal(ranks, ranks.astype(np.int64)) and len(np.unique(ranks)) == len(plain)
     scores = raw.copy()
-    if by_rank:
-        scores[plain] = -1 - np.log(ranks - ranks.min() + 1) / np.log(len(plain) + 1)
+    if np.array_equal(raw, np.round(raw)):
+        # Whole numbers are ranks. Pieces that no merge makes have a rank beyond all others.
+        ranks = np.argsort(np.argsort(-raw[plain], kind="stable"))
+        scores[plain] = -1 - np.log(ranks + 1) / np.log(len(plain) + 1)
     longest = max(len(names[i]) for i in plain)
     hashes, ids, by_length = [np.array([], np.uint64)], [np.array([], np.int32)], [np.array([])]
     for length in range(1, longest + 1):
@@ -99,8 +100,7 @@ def viterbi(codes: np.ndarray, pieces: Pieces) -> list[bytes]:
     n, width = codes.shape
     hashed = prefix_hashes(codes)
     powers = np.ones(len(pieces.hashes) + 1, np.uint64)
-    for m in range(1, len(powers)):
-        powers[m] = powers[m - 1] * BASE
+    powers[1:] = np.cumprod(np.full(len(powers) - 1, BASE, np.uint64))
     best = np.full((n, width + 1), -np.inf)
     best[:, 0] = 0.0
     length_at = np.ones((n, width + 1), np.int16)
