@@ -106,8 +106,8 @@ CRM: dict[str, str] = {
         concat('Boss ', {div(S, 5)}) AS parentsystemuseridname, concat('S', {S} % 5) AS siteid, concat('B', {S} % 27) AS businessunitid,
         {named(S, ["ICT Sales", "Other"])} AS businessunitidname FROM {{supplier}}""",
     "business_unit": _keyed_by_nation(businessunitid=f"concat('B', {N})"),
-    "excluded_customers": f"SELECT concat('K', {S} * 8 + 3) AS elob_sowid FROM {{supplier}}",
-    "allowed_managers": f"SELECT concat('Boss ', {N} * 3) AS full_name FROM {{nation}}",
+    "excluded_customers": f"SELECT CASE WHEN {S} % 2 = 0 THEN concat('K', {S} * 8 + 3) ELSE concat('k', {S} * 8 + 3, ' ') END AS elob_sowid FROM {{supplier}}",
+    "allowed_managers": f"SELECT CASE WHEN {N} % 2 = 0 THEN concat('Boss ', {N} * 3) ELSE concat('BOSS ', {N} * 3, '  ') END AS full_name FROM {{nation}}",
     "portfolio": _keyed_by_nation(elob_portfolioid=f"concat('P', {N})", elob_name=f"concat({named(N, ['KKB ', 'KKB-', 'XKB '])}, n_name)"),
     "opportunity": f"""SELECT concat('O', {O}) AS opportunityid, concat('PRJ-', {O}) AS elob_opportunityid, concat('Project ', {O}) AS name, {LATER} + INTERVAL 23 HOUR AS createdon,
         concat('U', {O} % 89) AS createdby, concat('U', {O} % 97) AS ownerid, concat('Owner ', {O} % 97) AS owneridname, concat('A', o_custkey) AS customerid, concat('A', o_custkey) AS accountid,
@@ -131,9 +131,9 @@ CRM: dict[str, str] = {
         UNION ALL SELECT concat('Z', {L}), {named('l_suppkey', GENERAL_NAMES)}, CASE WHEN l_suppkey % {len(GENERAL_NAMES)} = 2 THEN concat(repeat('intro ', 29), '& ', chr(39), 'a', chr(39), chr(10), l_partkey) ELSE CAST(l_linenumber AS STRING) END FROM {{lineitem}}""",
     "settlement_value": f"""SELECT CASE WHEN l_linenumber = 7 THEN 'n/a' ELSE CAST({L} AS STRING) END AS sfa_pil_id, concat('MOBILE|', l_returnflag, '|', l_linestatus) AS field_code,
         {pick('l_partkey', ["concat(CAST(CAST(l_quantity AS INT) AS STRING), ' 234,50 zł')", "'#N/A'", "'abc'", None, "concat('''', l_suppkey)"])} AS field_value, concat('k', l_suppkey) AS field_key FROM {{lineitem}}""",
-    "misc_field": f"""SELECT CAST({O} + 90000 AS STRING) AS sfa_pil_id,
+    "misc_field": f"""SELECT sfa_pil_id, field_code, CASE WHEN field_code LIKE '%DISCOUNTED_CASH_FLOW%' AND field_value LIKE 'odsp%' THEN '' ELSE field_value END AS field_value, field_key FROM (SELECT CAST({O} + 90000 AS STRING) AS sfa_pil_id,
         {named(div(O, 7), ['MOBILE|SIMfree|rozliczenie|deklaracja_wykorzystanie', 'MOBILE|SIMfree|rozliczenie|BSCS_terminal_1', 'MOBILE|WSKAZNIKI|WARTOSC|KWOTA_PROWIZJI_KLUCZ_LUB_KORPO', 'MOBILE|SIMfree|rozliczenie|deklaracja_wykorzystanie_2', 'MOBILE_M2M|TOTAL|CF|TOTAL_CF_ZL_DISCOUNTED_CASH_FLOW_DPV', 'MOBILE_M2M|TOTAL|CF|TOTAL_CF_ZL_DISCOUNTED_CASH_FLOW_DPV_old'])} AS field_code,
-        {pick(div(O, 12), ["'odsprzedaż zł'", f"CAST({O} AS STRING)", "'#N/A'", f"concat({O}, '.25')"])} AS field_value, concat('m', {O}) AS field_key FROM {{orders}}""",
+        {pick(div(O, 12), ["'odsprzedaż zł'", f"CAST({O} AS STRING)", "'#N/A'", f"concat({O}, '.25')"])} AS field_value, concat('m', {O}) AS field_key FROM {{orders}}) m""",
     "activity_pointer": f"""SELECT concat('L', {O}) AS activityid, 10046 AS activitytypecode, CAST(NULL AS STRING) AS regardingobjectid, 'PIL' AS subject, {LATER} AS scheduledstart, {LATER} AS scheduledend,
         {LATER} AS createdon, {LATER} AS modifiedon, 'U1' AS createdby, 'U1' AS createdonbehalfby, 'U1' AS modifiedby, 'U1' AS modifiedonbehalfby, concat('U', {O} % 83) AS ownerid,
         CAST({pick(O, ['1', '2', '743940000', '2'])} AS INT) AS statuscode, 0 AS statecode FROM {{orders}}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -140,5 +140,27 @@ def sentinel_to_null(c: Column, sentinel: str = "null") -> Column:
     return F.nullif(c, F.lit(sentinel))
 
 
+def folded(c: Column) -> Column:
+    """The form in which the source compares text: case and trailing blanks do not count."""
+    return F.lower(F.rtrim(c))
+
+
+def fold(value: str) -> str:
+    return value.rstrip(" ").lower()
+
+
 def equals_ignore_case(a: Column, b: Column) -> Column:
-    return F.lower(F.rtrim(a)) == F.lower(F.rtrim(b))
+    return folded(a) == folded(b)
+
+
+def is_text(c: Column, value: str) -> Column:
+    return folded(c) == fold(value)
+
+
+def is_one_of(c: Column, values: Iterable[str]) -> Column:
+    return folded(c).isin(*[fold(v) for v in values])
+
+
+def fits(c: Column, pattern: str) -> Column:
+    """``LIKE`` as the source compares; blanks at the end of the pattern count, as there."""
+    return F.lower(c).like(pattern.lower())

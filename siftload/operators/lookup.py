@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siftload.functions.text import folded
+
 
 def dictionary_slice(
     dictionary: DataFrame, attribute: str, entity: int | None = None, lang: int | None = None
@@ -73,23 +75,28 @@ def join_role(
     return df.join(role(table, prefix, key, columns), on == F.col(f"{prefix}_{key}"), how)
 
 
+def compared(df: DataFrame, key: str) -> Column:
+    """A key as the source compares it: text without case and trailing blanks, anything else as it is."""
+    return folded(F.col(key)) if dict(df.dtypes)[key] == "string" else F.col(key)
+
+
 def exclude_keys(df: DataFrame, key: str, excluded: DataFrame, excluded_key: str) -> DataFrame:
     """``NOT IN`` a table of keys: a null key is dropped as well."""
-    drop = excluded.select(F.col(excluded_key).alias("__drop"))
-    return df.where(F.col(key).isNotNull()).join(drop, F.col(key) == F.col("__drop"), "left_anti")
+    drop = excluded.select(compared(excluded, excluded_key).alias("__drop"))
+    return df.where(F.col(key).isNotNull()).join(drop, compared(df, key) == F.col("__drop"), "left_anti")
 
 
 def keep_keys(df: DataFrame, key: str, allowed: DataFrame, allowed_key: str) -> DataFrame:
     """``IN`` a table of keys."""
-    keep = allowed.select(F.col(allowed_key).alias("__keep"))
-    return df.join(keep, F.col(key) == F.col("__keep"), "left_semi")
+    keep = allowed.select(compared(allowed, allowed_key).alias("__keep"))
+    return df.join(keep, compared(df, key) == F.col("__keep"), "left_semi")
 
 
 def flag_keys(df: DataFrame, key: str, listed: DataFrame, listed_key: str, flag: str) -> DataFrame:
     """Adds a true/false column: is the key listed? Keeps every row once."""
-    marks = listed.select(F.col(listed_key).alias("__listed")).where("__listed is not null").distinct()
+    marks = listed.select(compared(listed, listed_key).alias("__listed")).where("__listed is not null").distinct()
     return (
-        df.join(marks, F.col(key) == F.col("__listed"), "left")
+        df.join(marks, compared(df, key) == F.col("__listed"), "left")
         .withColumn(flag, F.col("__listed").isNotNull())
         .drop("__listed")
     )

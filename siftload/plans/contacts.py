@@ -19,7 +19,7 @@ SEGMENTS_LEFT_OUT = [1, 2]
 def build(t: Tables, p: Params) -> DataFrame:
     accounts = t["account"].where((c("statecode") == 0) & ~c("elob_businesssegment").isin(*SEGMENTS_LEFT_OUT)).drop("statecode", "name")
     accounts = without_test_customers(accounts, t)
-    portfolios = t.lookup("portfolio").where(c("elob_name").like(fv.PORTFOLIO_PATTERN)).select(
+    portfolios = t.lookup("portfolio").where(text.fits(c("elob_name"), fv.PORTFOLIO_PATTERN)).select(
         "elob_portfolioid", c("elob_name").alias("PORTFEL")
     )
     accounts = label(accounts, t, "elob_businesssegment", "SEGMENT_KLIENTA", fv.SEGMENT, "inner").join(

@@ -32,7 +32,7 @@ def order_numbers(t: Tables, p: Params) -> DataFrame:
 
 def build(t: Tables, p: Params) -> DataFrame:
     accounts = without_test_customers(t["account"].select("accountid", "elob_sowid"), t).select("accountid")
-    archive = t["contract_archive"].where(c("elob_comments").like(fv.ARCHIVED_PATTERN)).select(
+    archive = t["contract_archive"].where(text.fits(c("elob_comments"), fv.ARCHIVED_PATTERN)).select(
         c("elob_contract").alias("archived"), "elob_archivingdate"
     )
     categories = t.lookup("category").select("elob_categoryid", c("elob_name").alias("category_name"))

@@ -28,7 +28,7 @@ def effective_owner(p: Params):
 
 
 def wanted_topic():
-    return filters.or_null(c("subject") != fv.ORDERS_TOPIC_LEFT_OUT, c("subject"))
+    return filters.or_null(~text.is_text(c("subject"), fv.ORDERS_TOPIC_LEFT_OUT), c("subject"))
 
 
 def full_name(prefix: str):

@@ -17,7 +17,7 @@ TARGET = [
 def build(t: Tables, p: Params) -> DataFrame:
     wanted_name = c("elob_name").contains("-")
     if p.potential_products:
-        wanted_name = wanted_name | c("elob_name").isin(*p.potential_products)
+        wanted_name = wanted_name | text.is_one_of(c("elob_name"), p.potential_products)
     has_amount = c("elob_quantity").isNotNull() | (c("elob_income") != 0)
     products = t["competitor_product"].where(wanted_name & has_amount & (c("statecode") == 0)).drop("statecode")
     accounts = t["account"].where(c("statecode") == 0).select(

@@ -18,7 +18,7 @@ def build(t: Tables, p: Params) -> DataFrame:
     projects = t["opportunity"].where(
         c("createdon").between(dates.ntz(p.project_users_from), dates.ntz(p.project_users_to))
     ).select("opportunityid", c("elob_opportunityid").alias("PROJECT_NUMBER"))
-    people = t.lookup("system_user").where(c("businessunitidname") == fv.USERS_BUSINESS_UNIT).select(USER_KEY, "domainname")
+    people = t.lookup("system_user").where(text.is_text(c("businessunitidname"), fv.USERS_BUSINESS_UNIT)).select(USER_KEY, "domainname")
     links = t["opportunity_user"].select("opportunityid", USER_KEY).join(people, USER_KEY).join(projects, "opportunityid")
     logins = links.withColumn("login", text.login_without_domain(c("domainname")))
     first = ranking.pivot_ranked(logins, ["PROJECT_NUMBER"], [c("domainname"), c(USER_KEY)], "login", USERS)

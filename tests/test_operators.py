@@ -92,3 +92,17 @@ def test_unions(frame):
     a, b = frame([(1, "x"), (1, "x")], "i int, s string"), frame([("x", 1), ("y", 2)], "s string, i int")
     assert rows(sets.union_all(a, b)) == [(1, "x"), (1, "x"), (1, "x"), (2, "y")]
     assert rows(sets.union_distinct(a, frame([(1, "x"), (3, "z")], "other int, names string"))) == [(1, "x"), (3, "z")]
+
+
+def test_text_keys_compare_as_at_the_source(frame):
+    rows = frame([("R1R002", 1), ("r1r002", 2), ("R1R002 ", 3), ("R1R003", 4), (None, 5)], "k string, i int")
+    listed = frame([("r1R002  ",), (None,)], "name string")
+
+    def ids(df):
+        return sorted(r["i"] for r in df.collect())
+
+    assert ids(lookup.exclude_keys(rows, "k", listed.where("name is not null"), "name")) == [4]
+    assert ids(lookup.keep_keys(rows, "k", listed, "name")) == [1, 2, 3]
+    assert [(r["i"], r["f"]) for r in lookup.flag_keys(rows, "k", listed, "name", "f").orderBy("i").collect()] == [(1, True), (2, True), (3, True), (4, False), (5, False)]
+    numbers = frame([(1,), (2,)], "i int")
+    assert ids(lookup.exclude_keys(numbers, "i", frame([(1,)], "n int"), "n")) == [2]
