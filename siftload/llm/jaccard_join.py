@@ -17,8 +17,11 @@ from siftload.sources.staging import staged
 # Counters of the rarity table, and of the table of documents that take part: fixed sizes, whatever the input.
 SLOTS = 1 << 22
 CHUNK = 1 << 16
-# Sets in one block of a tile, and elements of all sets in it.
+# Sets in one block of a tile, and elements of all sets in it; tiles that hang together are one up to GROUP_ such.
 BLOCK_SETS, BLOCK_ELEMENTS = 1024, 1 << 20
+GROUP_SETS, GROUP_ELEMENTS = 4096, 2 << 20
+# Bytes that are kept of an element where sets are compared, and the most bits of a bitmap.
+ELEMENT_BYTES, MOST_BITS = 5, 1 << 12
 # Words a Python worker keeps the hashes of.
 MOST_KEPT = 1 << 19
 
@@ -61,6 +64,19 @@ def doc_slot(ids: np.ndarray) -> np.ndarray:
     return slot_of(ids.astype(np.int64).view(np.uint64))
 
 
+def packed(elements: np.ndarray) -> bytes:
+    """Elements cut to ELEMENT_BYTES, sorted: two different ones agree once in 2**40 pairs."""
+    short = np.sort(elements & np.uint64((1 << 8 * ELEMENT_BYTES) - 1))
+    return short.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :ELEMENT_BYTES].tobytes()
+
+
+def unpacked(raw: pa.Buffer) -> np.ndarray:
+    short = np.frombuffer(raw, np.uint8).reshape(-1, ELEMENT_BYTES)
+    wide = np.zeros((len(short), 8), np.uint8)
+    wide[:, :ELEMENT_BYTES] = short
+    return wide.view("<u8").ravel()
+
+
 def trim_hashes() -> None:
     if len(_hashes) > MOST_KEPT:
         _hashes.clear()
@@ -175,7 +191,7 @@ def elements_of(docs: DataFrame, wanted: np.ndarray, words_per_shingle: int) ->
             take = np.array(ids.is_null()) | marked[doc_slot(ids.fill_null(0).cast(pa.int64()).to_numpy())]
             sets = [shingle_set(t, words_per_shingle) for t in batch.column(1).filter(pa.array(take)).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([set_id(s) for s in sets], pa.int64()), pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())], ["set", "elements"]
+                [pa.array([set_id(s) for s in sets], pa.int64()), pa.array([packed(s) for s in sets], pa.binary())], ["set", "elements"]
             )
 
     each = docs.select("doc_id", "text").mapInArrow(read, "set long, elements binary")
@@ -246,10 +262,8 @@ def blocks_of(sizes: np.ndarray) -> list[tuple[int, int]]:
 
 
 def tiles_of(tokens: DataFrame, percent: int) -> DataFrame:
-    """tile and set: the sets of a token, in bands of size, cut into blocks; a tile is a block, or two that can link.
-
-    Tokens with the same sets give the same tile once. Sets that share many tokens therefore meet few times.
-    """
+    """tile, set and first (the tile's smallest set): the sets of a token, in bands of size, cut into blocks; a tile is a
+    block, or two that can link. Tokens with the same sets give the same tile once."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -284,12 +298,29 @@ def tiles_of(tokens: DataFrame, percent: int) -> DataFrame:
                 yield _tile_rows(made)
 
     ordered = tokens.repartition("token").sortWithinPartitions("token", "n", "set")
-    return ordered.mapInArrow(make, "tile long, set long").distinct()
+    return ordered.mapInArrow(make, "tile long, set long, first long").distinct()
 
 
 def _tile_rows(made: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
-    tiles = np.repeat(np.array([t for t, _ in made], np.int64), [len(m) for _, m in made])
-    return pa.RecordBatch.from_arrays([pa.array(tiles), pa.array(np.concatenate([m for _, m in made]))], ["tile", "set"])
+    lengths = [len(m) for _, m in made]
+    tiles = np.repeat(np.array([t for t, _ in made], np.int64), lengths)
+    first = np.repeat(np.array([m.min() for _, m in made], np.int64), lengths)
+    return pa.RecordBatch.from_arrays([pa.array(tiles), pa.array(np.concatenate([m for _, m in made])), pa.array(first)], ["tile", "set", "first"])
+
+
+def joined_tiles(tiles: DataFrame, sizes: DataFrame) -> DataFrame:
+    """tile and set, where tiles that hang together by common sets are one tile as long as that is small.
+
+    The sets of a group of near duplicates share many tokens, and every token's tile is another part of the group; as
+    one tile each set is sent once. What hangs together beyond GROUP_SETS or GROUP_ELEMENTS stays in its own tiles.
+    ``sizes`` has set and n.
+    """
+    roots = staged(components(tiles.select(F.col("set").alias("a"), F.col("first").alias("b"))))
+    groups = roots.join(sizes, roots["node"] == sizes["set"]).groupBy("root").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("elements"))
+    large = groups.where((F.col("sets") > GROUP_SETS) | (F.col("elements") > GROUP_ELEMENTS)).select("root")
+    small = roots.join(large, "root", "left_anti").select(F.col("root").alias("tile"), F.col("node").alias("set"))
+    apart = roots.join(large, "root", "left_semi").select(F.col("node").alias("set"))
+    return staged(small.unionByName(tiles.join(apart, "set", "left_semi").select("tile", "set")))
 
 
 def links_in_tile(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -299,7 +330,7 @@ def links_in_tile(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]
     bit the other set lacks is in no overlap), and what is left by intersecting the sorted arrays.
     """
     sizes = np.array([len(s) for s in sets], np.int64)
-    bits = 1 << max(6, int(sizes.max() - 1).bit_length())
+    bits = min(MOST_BITS, 1 << max(6, int(sizes.max() - 1).bit_length()))
     maps = np.zeros((len(sets), bits // 64), np.uint64)
     for i, s in enumerate(sets):
         at = (s & np.uint64(bits - 1)).astype(np.int64)
@@ -340,7 +371,7 @@ def link_sets(tiles: DataFrame, elements: DataFrame, percent: int) -> DataFrame:
             raw = rows.column("elements")
             a, b = [], []
             for start, end in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
-                sets = [np.frombuffer(raw[i].as_buffer(), "<u8") for i in range(start, end)]
+                sets = [unpacked(raw[i].as_buffer()) for i in range(start, end)]
                 for i, j in links_in_tile(sets, percent):
                     a.append(ids[start + i])
                     b.append(ids[start + j])
@@ -394,6 +425,7 @@ def jaccard_components(docs: DataFrame, words_per_shingle: int = 4, percent: int
     rows, counts = read_sets(docs, words_per_shingle)
     sets = rows.where("n > 0").groupBy("set").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
     tiles = staged(tiles_of(prefix_tokens(docs, counts, words_per_shingle, percent), percent))
+    tiles = joined_tiles(tiles, rows.where("n > 0").select("set", "n").distinct())
     taking_part = tiles.select("set").distinct().join(sets, "set").select(F.col("first_id").alias("doc_id"))
     elements = elements_of(docs, marked_slots(taking_part), words_per_shingle)
     roots = staged(components(link_sets(tiles, elements, percent)))
