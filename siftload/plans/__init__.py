@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from siftload.plans.params import Params
 from siftload.session import work_area
 from siftload.sinks.audit import RunAudit
-from siftload.sinks.target import ParquetTarget
+from siftload.sinks.remote import Target
 from siftload.sources.tables import Tables
 
 FULL_REFRESH, REPLACE_WINDOW, UPSERT, KEYED_UPDATE = "full_refresh", "replace_window", "upsert", "keyed_update"
@@ -57,7 +57,7 @@ class Plan:
     def build(self, tables: Tables, params: Params) -> DataFrame:
         return self.module.build(tables, params)
 
-    def load(self, df: DataFrame, targets: Mapping[str, ParquetTarget], params: Params) -> None:
+    def load(self, df: DataFrame, targets: Mapping[str, Target], params: Params) -> None:
         target = targets[self.target or self.key]
         if self.mode == REPLACE_WINDOW:
             target.replace_window(df, self.module.window(params))
@@ -107,7 +107,7 @@ PLANS: dict[str, Plan] = {
 }
 
 
-def run(plan: Plan, tables: Tables, params: Params, targets: Mapping[str, ParquetTarget], audit: RunAudit) -> int:
+def run(plan: Plan, tables: Tables, params: Params, targets: Mapping[str, Target], audit: RunAudit) -> int:
     """One audited load; returns the rows written. Its intermediate tables are removed afterwards.
 
     Params that the plan needs are checked before anything is built or any target is touched.

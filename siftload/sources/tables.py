@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 # Largest row count that may be sent to every executor. Code dictionaries, users and product lists
 # stay far below; a table beyond it is joined by shuffle instead.
 MAX_BROADCAST_ROWS = 500_000
+# And its largest size: rows times what a row of the schema takes, longer texts counted as they are.
+MAX_BROADCAST_BYTES = 256 << 20
 
 
 def estimated_small(df: DataFrame) -> bool:
@@ -22,8 +24,13 @@ def estimated_small(df: DataFrame) -> bool:
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Counts at most ``max_rows + 1`` rows, so the check stays cheap on a table that is too big."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Counts and measures at most ``max_rows + 1`` rows, so the check stays cheap on a table that is too big."""
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema.fields if f.dataType.simpleString() in ("string", "binary")]
+    size = F.lit(16 * len(df.columns) + 16)
+    for text in texts:
+        size = size + text
+    seen = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).first()
+    return seen["rows"] <= max_rows and seen["bytes"] <= MAX_BROADCAST_BYTES
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
@@ -94,6 +101,7 @@ def jdbc_options(
     bounds: tuple[object, object] | None = None,
     num_partitions: int = 64,
     fetch_size: int = 15_000,
+    single_task: bool = False,
     **extra: str,
 ) -> dict[str, str]:
     """Options of a JDBC read. With a partition column the read is split over executors.
@@ -104,6 +112,8 @@ def jdbc_options(
         raise ValueError("give either a query or a table")
     options = {"url": url, "fetchsize": str(fetch_size), "preferTimestampNTZ": "true", **extra}
     if partition_column is None:
+        if not single_task:
+            raise ValueError("name a partition column, or say single_task=True for a read in one task")
         options.update({"query": query} if query else {"dbtable": table})
         return options
     if bounds is None:

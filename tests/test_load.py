@@ -285,7 +285,9 @@ def test_lookup_beyond_its_bound_is_not_broadcast(spark, frame):
 def test_jdbc_options():
     read = jdbc_options("jdbc:x", query="select 1", partition_column="id", bounds=(0, 10), num_partitions=4)
     assert read["dbtable"] == "(select 1) src" and read["numPartitions"] == "4" and "query" not in read
-    assert jdbc_options("jdbc:x", query="select 1")["query"] == "select 1"
+    assert jdbc_options("jdbc:x", query="select 1", single_task=True)["query"] == "select 1"
+    with pytest.raises(ValueError):
+        jdbc_options("jdbc:x", query="select 1")
     with pytest.raises(ValueError):
         jdbc_options("jdbc:x")
     assert jdbc_write_options("jdbc:x", "t")["batchsize"] == "15000"
