@@ -238,7 +238,7 @@ def crm_sql(names: Sequence[str], query: str) -> str:
         sql = CRM[name]
         for t in _sources(sql):
             sql = sql.replace("{" + t + "}", t)
-        parts.append(f"{name} AS ({sql})")
+        parts.append(f"{name} AS MATERIALIZED ({sql})")
     body = query.strip()
     if body.upper().startswith("WITH "):
         return f"WITH {', '.join(parts)}, {body[5:]}"
