@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame
 
+from siftload.functions import text
 from siftload.plans import fixed_values as fv
 from siftload.plans.common import c
 from siftload.plans.params import Params
@@ -12,7 +13,7 @@ TARGET = ["SFA_PIL_ID", "VALUE", "PROJECT_ID"]
 
 
 def build(t: Tables, p: Params) -> DataFrame:
-    entries = t["pl_parameter"].where(c("elob_parametervalue").like(fv.CAMPUS_PATTERN)).select(
+    entries = t["pl_parameter"].where(text.fits(c("elob_parametervalue"), fv.CAMPUS_PATTERN)).select(
         c("elob_pl_resultid").alias("SFA_PIL_ID"), c("elob_parametervalue").alias("VALUE")
     ).distinct()
     sold = t["pl_sales_result"].select(c("elob_pandl_id").alias("sold_id")).distinct()
