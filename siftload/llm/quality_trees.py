@@ -172,7 +172,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -
             rows = [np.array(statistics(t)[1]).tobytes() for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(rows, pa.binary())], ["y", "x"])
 
-    rows = labelled_sample(docs, labels, "quality", most).mapInArrow(features, "y int, x binary").orderBy("x", "y").collect()
+    rows = labelled_sample(docs, labels, "quality", most).mapInArrow(features, "y int, x binary").orderBy("x", "y").limit(most).collect()
     x = np.array([np.frombuffer(r["x"]) for r in rows]).reshape(len(rows), len(FEATURES))
     return fit_trees(x, np.array([r["y"] for r in rows], float), list(FEATURES.values()))
 

@@ -151,7 +151,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED)
                 ["toxic", "peak", "n", "hits", "mass"],
             )
 
-    seen = rows.select("text", "toxic").mapInArrow(peak, "toxic int, peak double, n long, hits long, mass double").orderBy("toxic", "n", "peak", "hits").collect()
+    seen = rows.select("text", "toxic").mapInArrow(peak, "toxic int, peak double, n long, hits long, mass double").orderBy("toxic", "n", "peak", "hits").limit(most).collect()
     y = np.array([r["toxic"] for r in seen], float)
     peaks, n = np.array([r["peak"] for r in seen]), np.array([max(1, r["n"]) for r in seen], float)
     clean = y == 0
