@@ -26,7 +26,7 @@ STEMS = (4, 5, 6)
 # Weight of the prior: pseudo-documents with the mixture of all labelled documents, as a share of these.
 PRIOR_SHARE = 0.15
 # What a token's log-odds must reach, in standard deviations and by itself, and the largest score of one token.
-LEAST_Z, LEAST_DELTA, MOST_SCORE = 4.0, 2.0, 6.0
+LEAST_Z, LEAST_DELTA, MOST_SCORE = 3.0, 2.0, 6.0
 # What every other token costs.
 DRIFT = 0.05
 # A segment is reported when this many or fewer are expected by chance in its document.
@@ -126,10 +126,11 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED)
     toxic_docs, clean_docs = sizes.get(1, 0), sizes.get(0, 0)
     if not toxic_docs or not clean_docs:
         return Model({}, 1.0, 1.0, -20.0, 0.0)
-    words = F.array_distinct(F.split(ascii_lower(F.col("text")), NOT_WORD))
-    tokens = rows.select("toxic", F.explode(F.filter(words, lambda w: w != "")).alias("word"))
-    stems = [F.when(F.length("word") >= n, F.substring("word", 1, n)) for n in STEMS]
-    each = tokens.select("toxic", F.explode(F.array(F.concat(F.lit("="), "word"), *stems)).alias("token")).where("token IS NOT NULL")
+    words = rows.select("toxic", F.array_distinct(F.array_remove(F.split(ascii_lower(F.col("text")), NOT_WORD), "")).alias("words"))
+    whole = F.transform("words", lambda w: F.concat(F.lit("="), w))
+    stems = [F.transform(F.filter("words", lambda w: F.length(w) >= n), lambda w: F.substring(w, 1, n)) for n in STEMS]
+    # A document counts once for a token, however many of its words begin with it.
+    each = words.select("toxic", F.explode(F.array_distinct(F.concat(whole, *stems))).alias("token"))
     counts = each.groupBy("token").agg(F.count_if(F.col("toxic") == 1).alias("toxic"), F.count_if(F.col("toxic") == 0).alias("clean"))
     significant = log_odds(counts.where("toxic >= 3"), toxic_docs, clean_docs).where((F.col("z") >= LEAST_Z) & (F.col("delta") >= LEAST_DELTA))
     kept = significant.orderBy(F.desc("z"), "token").limit(MOST_ENTRIES).collect()
