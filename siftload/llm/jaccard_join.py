@@ -19,7 +19,7 @@ SLOTS = 1 << 22
 CHUNK = 1 << 16
 # Sets in one block of a tile, and elements of all sets in it; tiles that hang together are one up to GROUP_ such.
 BLOCK_SETS, BLOCK_ELEMENTS = 1024, 1 << 20
-GROUP_SETS, GROUP_ELEMENTS = 4096, 2 << 20
+GROUP_SETS, GROUP_ELEMENTS = 1 << 14, 8 << 20
 # Bytes that are kept of an element where sets are compared, and the most bits of a bitmap.
 ELEMENT_BYTES, MOST_BITS = 5, 1 << 12
 # Words a Python worker keeps the hashes of.
@@ -77,6 +77,14 @@ def unpacked(raw: pa.Buffer) -> np.ndarray:
     return wide.view("<u8").ravel()
 
 
+def bitmap(elements: np.ndarray) -> bytes:
+    """One bit per element by its hash; about as many bits as elements, a power of two, MOST_BITS at most."""
+    bits = min(MOST_BITS, 1 << max(6, int(len(elements) - 1).bit_length()))
+    held = np.zeros(bits, bool)
+    held[(elements & np.uint64(bits - 1)).astype(np.int64)] = True
+    return np.packbits(held, bitorder="little").tobytes()
+
+
 def trim_hashes() -> None:
     if len(_hashes) > MOST_KEPT:
         _hashes.clear()
@@ -113,8 +121,8 @@ def added_up(chunks: DataFrame) -> np.ndarray:
 
 
 def read_sets(docs: DataFrame, words_per_shingle: int) -> tuple[DataFrame, np.ndarray]:
-    """doc_id, text_hash, n and set (id of the element set) of every row, and how often each slot's elements occur in all."""
-    names = ["doc_id", "text_hash", "n", "set", "chunk", "counts"]
+    """doc_id, text_hash, n, set (id of the element set) and bitmap of every row, and how often each slot's elements occur in all."""
+    names = ["doc_id", "text_hash", "n", "set", "bitmap", "chunk", "counts"]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(SLOTS, np.uint32)
@@ -127,20 +135,20 @@ def read_sets(docs: DataFrame, words_per_shingle: int) -> tuple[DataFrame, np.nd
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).cast(pa.int64()), batch.column(2), pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([set_id(s) for s in sets], pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()),
+                    pa.array([set_id(s) for s in sets], pa.int64()), pa.array([bitmap(s) for s in sets], pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()),
                 ],
                 names,
             )
         rows = list(chunk_rows(counts))
         none = pa.nulls(len(rows), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [none, none, none, none, pa.array([c for c, _ in rows], pa.int32()), pa.array([b for _, b in rows], pa.binary())], names
+            [none, none, none, none, pa.nulls(len(rows), pa.binary()), pa.array([c for c, _ in rows], pa.int32()), pa.array([b for _, b in rows], pa.binary())], names
         )
 
-    schema = "doc_id long, text_hash long, n long, set long, chunk int, counts binary"
+    schema = "doc_id long, text_hash long, n long, set long, bitmap binary, chunk int, counts binary"
     found = staged(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(read, schema))
     counts = added_up(found.where("chunk IS NOT NULL").select("chunk", "counts"))
-    return found.where("chunk IS NULL").select("doc_id", "text_hash", "n", "set"), counts
+    return found.where("chunk IS NULL").select("doc_id", "text_hash", "n", "set", "bitmap"), counts
 
 
 def prefix_tokens(docs: DataFrame, counts: np.ndarray, words_per_shingle: int, percent: int) -> DataFrame:
@@ -262,8 +270,9 @@ def blocks_of(sizes: np.ndarray) -> list[tuple[int, int]]:
 
 
 def tiles_of(tokens: DataFrame, percent: int) -> DataFrame:
-    """tile, set and first (the tile's smallest set): the sets of a token, in bands of size, cut into blocks; a tile is a
-    block, or two that can link. Tokens with the same sets give the same tile once."""
+    """tile and set: the sets of a token, in bands of size, cut into blocks; a tile is a block, or two that can link.
+
+    Tokens with the same sets give the same tile once."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -298,31 +307,94 @@ def tiles_of(tokens: DataFrame, percent: int) -> DataFrame:
                 yield _tile_rows(made)
 
     ordered = tokens.repartition("token").sortWithinPartitions("token", "n", "set")
-    return ordered.mapInArrow(make, "tile long, set long, first long").distinct()
+    return ordered.mapInArrow(make, "tile long, set long").distinct()
 
 
 def _tile_rows(made: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
     lengths = [len(m) for _, m in made]
     tiles = np.repeat(np.array([t for t, _ in made], np.int64), lengths)
-    first = np.repeat(np.array([m.min() for _, m in made], np.int64), lengths)
-    return pa.RecordBatch.from_arrays([pa.array(tiles), pa.array(np.concatenate([m for _, m in made])), pa.array(first)], ["tile", "set", "first"])
+    return pa.RecordBatch.from_arrays([pa.array(tiles), pa.array(np.concatenate([m for _, m in made]))], ["tile", "set"])
+
+
+def may_link(sizes: np.ndarray, maps: list[bytes], percent: int) -> list[tuple[int, int]]:
+    """Pairs (i, j) that join all sets whose sizes and bitmaps leave open that they are linked. ``sizes`` ascend.
+
+    An element whose bit the other set lacks is in no overlap, so the overlap is at most a set's size less its bits that
+    the other lacks. Maps of different lengths are compared at the shorter one, the longer folded onto it.
+    """
+    widths = np.array([len(m) // 8 for m in maps])
+    at_width: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    for width in np.unique(widths).tolist():
+        table = np.zeros((len(maps), width), np.uint64)
+        for i in np.flatnonzero((widths == width) | (widths == 2 * width)).tolist():
+            own = np.frombuffer(maps[i], "<u8")
+            table[i] = own if len(own) == width else own[:width] | own[width:]
+        at_width[width] = table, np.bitwise_count(table).sum(1, dtype=np.int64)
+    pairs: list[tuple[int, int]] = []
+    left = np.arange(len(maps))
+    while len(left) > 1:
+        reached, left = [int(left[0])], left[1:]
+        while reached and len(left):
+            p = reached.pop()
+            low, high = np.searchsorted(sizes[left], [-(-percent * sizes[p] // 100), 100 * sizes[p] // percent + 1])
+            near = left[low:high]
+            found = []
+            for width in (int(widths[p]) // 2, int(widths[p])):
+                # The shorter map's width: that of the other set if it is shorter, else that of this one.
+                same = near[(widths[near] == width) if width < widths[p] else (widths[near] >= width)]
+                if not len(same) or width not in at_width:
+                    continue
+                table, bits = at_width[width]
+                shared = np.bitwise_count(table[same] & table[p]).sum(1, dtype=np.int64)
+                most = np.minimum(sizes[p] - (bits[p] - shared), sizes[same] - (bits[same] - shared))
+                found.append(same[(100 + percent) * most >= percent * (sizes[p] + sizes[same])])
+            joined = np.concatenate(found) if found else np.zeros(0, np.int64)
+            if len(joined):
+                pairs.extend((p, i) for i in joined.tolist())
+                reached.extend(joined.tolist())
+                left = left[~np.isin(left, joined)]
+    return pairs
+
+
+def likely_links(tiles: DataFrame, sized: DataFrame, percent: int) -> DataFrame:
+    """a and b: pairs that join, in every tile, the sets that bitmaps can't keep apart. ``sized`` has set, n, bitmap."""
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for starts, rows in runs(batches, "tile"):
+            ids, n, maps = rows.column("set").to_numpy(), rows.column("n").to_numpy(), rows.column("bitmap").to_pylist()
+            a, b = [], []
+            for start, end in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+                for i, j in may_link(n[start:end], maps[start:end], percent):
+                    a.append(ids[start + i])
+                    b.append(ids[start + j])
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    full = tiles.join(sized, "set").select("tile", "set", "n", "bitmap")
+    return full.repartition("tile").sortWithinPartitions("tile", "n").mapInArrow(link, "a long, b long").distinct()
 
 
-def joined_tiles(tiles: DataFrame, sizes: DataFrame) -> DataFrame:
-    """tile and set, where tiles that hang together by common sets are one tile as long as that is small.
+def joined_tiles(tiles: DataFrame, sized: DataFrame, percent: int) -> DataFrame:
+    """tile and set, where all that bitmaps can't keep apart is one tile as long as it is not too large.
 
     The sets of a group of near duplicates share many tokens, and every token's tile is another part of the group; as
-    one tile each set is sent once. What hangs together beyond GROUP_SETS or GROUP_ELEMENTS stays in its own tiles.
-    ``sizes`` has set and n.
+    one tile each set is sent once. What hangs together beyond GROUP_SETS or GROUP_ELEMENTS stays in its tokens' tiles.
     """
-    roots = staged(components(tiles.select(F.col("set").alias("a"), F.col("first").alias("b"))))
-    groups = roots.join(sizes, roots["node"] == sizes["set"]).groupBy("root").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("elements"))
+    roots = staged(components(likely_links(tiles, sized, percent)))
+    groups = roots.join(sized.select("set", "n"), roots["node"] == F.col("set")).groupBy("root").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("elements"))
     large = groups.where((F.col("sets") > GROUP_SETS) | (F.col("elements") > GROUP_ELEMENTS)).select("root")
     small = roots.join(large, "root", "left_anti").select(F.col("root").alias("tile"), F.col("node").alias("set"))
     apart = roots.join(large, "root", "left_semi").select(F.col("node").alias("set"))
     return staged(small.unionByName(tiles.join(apart, "set", "left_semi").select("tile", "set")))
 
 
+def overlaps(own: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """Common elements of one sorted array with each of several."""
+    every = np.concatenate(others)
+    owner = np.repeat(np.arange(len(others)), [len(o) for o in others])
+    at = np.minimum(np.searchsorted(own, every), len(own) - 1)
+    return np.bincount(owner[own[at] == every], minlength=len(others))
+
+
 def links_in_tile(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     """Links (i, j) that join what is linked in the tile; links between sets already joined are left out.
 
@@ -350,10 +422,7 @@ def links_in_tile(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]
             near = near[(100 + percent) * most >= percent * (sizes[p] + sizes[near])]
             if not len(near):
                 continue
-            others = np.concatenate([sets[i] for i in near])
-            at = np.minimum(np.searchsorted(sets[p], others), sizes[p] - 1)
-            owner = np.repeat(np.arange(len(near)), sizes[near])
-            overlap = np.bincount(owner[sets[p][at] == others], minlength=len(near))
+            overlap = np.concatenate([overlaps(sets[p], [sets[i] for i in near[c:d]]) for c, d in blocks_of(sizes[near])])
             found = near[(100 + percent) * overlap >= percent * (sizes[p] + sizes[near])]
             if len(found):
                 links.extend((p, i) for i in found.tolist())
@@ -412,10 +481,10 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, words_per_shingle: int = 4, percent: int = 85) -> DataFrame:
-    """doc_id, text_hash (xxhash64), n_shingles and component_id of every document row.
+    """doc_id, text_hash (xxhash64), n_shingles, component and component_id of every document row.
 
     Documents whose shingle sets have a Jaccard similarity of ``percent`` / 100 or more are linked; component_id is the
-    smallest doc_id reachable by links. A shorter text is one shingle; null and empty texts have none and are linked with
+    smallest doc_id reachable by links, component a key of its own (ids can repeat). A shorter text is one shingle; null and empty texts have none and are linked with
     nothing (each row keeps its own id). Rows with a null doc_id take part and get the component's smallest id, null if
     there is none. Repeated rows come back repeated. Extra columns are not read.
 
@@ -425,14 +494,15 @@ def jaccard_components(docs: DataFrame, words_per_shingle: int = 4, percent: int
     rows, counts = read_sets(docs, words_per_shingle)
     sets = rows.where("n > 0").groupBy("set").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
     tiles = staged(tiles_of(prefix_tokens(docs, counts, words_per_shingle, percent), percent))
-    tiles = joined_tiles(tiles, rows.where("n > 0").select("set", "n").distinct())
+    sized = rows.where("n > 0").groupBy("set", "n").agg(F.first("bitmap").alias("bitmap"))
+    tiles = joined_tiles(tiles, sized, percent)
     taking_part = tiles.select("set").distinct().join(sets, "set").select(F.col("first_id").alias("doc_id"))
     elements = elements_of(docs, marked_slots(taking_part), words_per_shingle)
     roots = staged(components(link_sets(tiles, elements, percent)))
     named = sets.join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set"))
     smallest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    by_set = named.select("set", "root").join(smallest, "root").select("set", "component_id")
+    by_set = named.select("set", "root").join(smallest, "root").select("set", F.col("root").alias("component"), "component_id")
     own = ["doc_id", "text_hash", F.col("n").alias("n_shingles")]
-    linked = rows.where("n > 0").join(by_set, "set").select(*own, "component_id")
-    alone = rows.where("n = 0").select(*own, F.col("doc_id").alias("component_id"))
+    linked = rows.where("n > 0").join(by_set, "set").select(*own, "component", "component_id")
+    alone = rows.where("n = 0").select(*own, F.lit(None).cast("long").alias("component"), F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone)

@@ -39,7 +39,7 @@ def op3_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
-    return jaccard_join.jaccard_components(table(spark, folder, "documents"), words_per_shingle=4, percent=85).drop("text_hash")
+    return jaccard_join.jaccard_components(table(spark, folder, "documents"), words_per_shingle=4, percent=85).drop("text_hash", "component")
 
 
 def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:

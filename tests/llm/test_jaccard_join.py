@@ -48,7 +48,7 @@ def texts(seed, n):
 
 def run(spark, rows, k=4, percent=85):
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS n", "2 AS component_id")
-    got = jaccard_join.jaccard_components(df, k, percent).drop("text_hash").collect()
+    got = jaccard_join.jaccard_components(df, k, percent).drop("text_hash", "component").collect()
     return sorted(map(tuple, got), key=str)
 
 
@@ -90,6 +90,28 @@ def test_links_in_tile_match_all_pairs():
         assert got == groups
 
 
+def test_bitmaps_never_part_a_linked_pair():
+    rng = np.random.default_rng(8)
+    for _ in range(30):
+        base = rng.integers(0, 1 << 62, 700).astype(np.uint64)
+        sets = sorted((np.unique(np.concatenate([base[: rng.integers(40, 700)], rng.integers(0, 1 << 62, rng.integers(0, 9)).astype(np.uint64)])) for _ in range(40)), key=len)
+        sizes = np.array([len(s) for s in sets])
+        joined = {i: i for i in range(40)}
+
+        def root(i, joined=joined):
+            while joined[i] != i:
+                i = joined[i]
+            return i
+
+        for i, j in jaccard_join.may_link(sizes, [jaccard_join.bitmap(s) for s in sets], 85):
+            joined[root(i)] = root(j)
+        for i in range(40):
+            for j in range(i):
+                inter = len(np.intersect1d(sets[i], sets[j]))
+                if 100 * inter >= 85 * (sizes[i] + sizes[j] - inter):
+                    assert root(i) == root(j)
+
+
 def test_components_of_a_long_chain(spark):
     links = [(i, i + 1) for i in range(200)] + [(1000, 1001), (1001, 1002), (1000, 1002)]
     got = {r["node"]: r["root"] for r in jaccard_join.components(spark.createDataFrame(links, "a long, b long")).collect()}
