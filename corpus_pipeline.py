@@ -42,12 +42,11 @@ def jaccard_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """
     importable(spark)
     rows = jaccard_join.jaccard_components(docs, WORDS_PER_SHINGLE, PERCENT).where("n_shingles > 0")
-    texts = staged(rows.groupBy("component_id", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("rows")))
-    first = F.min(F.struct("doc_id", "text_hash"))
-    kept = texts.groupBy("component_id").agg(first.alias("kept"))
-    joined = texts.join(kept, texts["component_id"].eqNullSafe(kept["component_id"])).select(texts["doc_id"], "text_hash", "rows", "kept")
-    is_kept = F.col("doc_id").eqNullSafe(F.col("kept.doc_id")) & (F.col("text_hash") == F.col("kept.text_hash"))
-    decided = staged(joined.select("doc_id", "text_hash", "rows", is_kept.alias("kept")))
+    texts = staged(rows.groupBy("component", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("rows")))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
+    kept = texts.groupBy("component").agg(F.min_by(F.struct("doc_id", "text_hash"), order).alias("first"))
+    is_first = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
+    decided = staged(texts.join(kept, "component").select("doc_id", "text_hash", "rows", is_first.alias("kept")))
     repeated = decided.where("kept AND rows > 1")
     if repeated.isEmpty():
         return without(docs, decided.where("NOT kept"))
