@@ -15,7 +15,7 @@ from pyspark.sql.types import StructType
 from siftload.llm.common import NOT_WORD, ascii_lower, text_runs
 from siftload.sources.staging import staged
 
-# Labelled rows the model is learned from at most: those with the smallest hashes of their ids.
+# Labelled texts the model is learned from at most: those with the smallest hashes.
 MOST_LABELLED = 20_000
 # Lexicon entries at most: the most significant ones.
 MOST_ENTRIES = 50_000
@@ -107,16 +107,21 @@ def log_odds(df: DataFrame, toxic_docs: int, clean_docs: int) -> DataFrame:
 
 
 def learning_rows(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
-    """text and toxic of the sample; equal texts count once, as toxic if any of them is."""
+    """text and toxic of the sample; equal texts count once, as toxic if any of them is.
+
+    Of all labelled texts the ``most`` with the smallest hashes are taken. The bound is on texts, not on ids, so it holds
+    where ids repeat, and it doesn't see the label. Texts themselves are read only once they are chosen.
+    """
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    rows = docs.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")
+    hashed = docs.where("text IS NOT NULL").select("doc_id", F.xxhash64("text").alias("hash"))
+    chosen = hashed.join(known, "doc_id").groupBy("hash").agg(F.max("toxic").alias("toxic")).orderBy("hash").limit(most)
+    rows = docs.where("text IS NOT NULL").select("text", F.xxhash64("text").alias("hash")).join(F.broadcast(chosen), "hash")
     return rows.groupBy("text").agg(F.max("toxic").alias("toxic"))
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Model:
-    """Learns from at most ``most`` labelled rows that are not held out; labels and texts are all it reads.
+    """Learns from at most ``most`` labelled texts that are not held out; labels and texts are all it reads.
 
     Token counts are added up by Spark; only significant tokens (at most MOST_ENTRIES) and one row per sample document
     come to the driver. Without labels of both kinds nothing is toxic.
@@ -152,7 +157,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED)
                 ["toxic", "peak", "n", "hits", "mass"],
             )
 
-    seen = rows.select("text", "toxic").mapInArrow(peak, "toxic int, peak double, n long, hits long, mass double").orderBy("toxic", "n", "peak", "hits").limit(most).collect()
+    # All rows of the sample, which is bounded; in one order, so that sums of floats are the same in every run.
+    seen = sorted(rows.select("text", "toxic").mapInArrow(peak, "toxic int, peak double, n long, hits long, mass double").collect())
     y = np.array([r["toxic"] for r in seen], float)
     peaks, n = np.array([r["peak"] for r in seen]), np.array([max(1, r["n"]) for r in seen], float)
     clean = y == 0

@@ -57,6 +57,21 @@ def test_without_labels_nothing_is_toxic(spark):
     assert toxic_segments.score_toxicity(docs.where("false"), model).collect() == []
 
 
+def test_the_bound_holds_where_a_labelled_id_repeats(spark):
+    importable(spark)
+    rows = [(3, f"calm words of one id number {i}") for i in range(400)] + [(1000 + i, f"plain good words here number {i}") for i in range(120)]
+    rows += [(2000 + i, f"you vilefoo and vilebar words number {i}") for i in range(160)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = docs.select("doc_id").distinct().selectExpr("doc_id", "1 AS quality", "int(doc_id >= 2000) AS toxic")
+    most = 200
+    sample = toxic_segments.learning_rows(docs, labels, most).collect()
+    assert len(sample) == most
+    # About 520 clean texts and three quarters of the 160 toxic ones are labelled and not held out.
+    assert 20 <= sum(r["toxic"] for r in sample) <= 60
+    out = toxic_segments.score_toxicity(docs, toxic_segments.fit_toxicity(docs, labels, most)).collect()
+    assert [r for r in out if (r["toxicity"] >= 0.3) != ("vile" in r["text"])] == []
+
+
 def test_held_out_accuracy(spark):
     importable(spark)
     folder = "/root/testdata/sf0.1"
