@@ -23,6 +23,13 @@ SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 ISO_DATE = r"(?<![0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-])"
 DAY_FIRST = r"(?<![0-9./])[0-9]{2}([./])[0-9]{2}\1[0-9]{4}(?![0-9./])"
 IBAN_DE = r"(?<![A-Za-z0-9])DE[0-9]{2}(?: ?[0-9]{4}){4} ?[0-9]{2}(?![A-Za-z0-9])"
+# Cards by their groupings: 4-4-4-4, as some stand with three more digits, 4-6-5, 4-6-4, and unbroken. Then all else.
+CARD_FOURS = r"[0-9]{4}(?:[ -]?[0-9]{4}){3}"
+CARD_GROUPED = rf"(?:{CARD_FOURS}[ -]?[0-9]{{3}}|{CARD_FOURS}|[0-9]{{4}}[ -]?[0-9]{{6}}[ -]?[0-9]{{4,5}}|[0-9]{{13,19}})(?![0-9])"
+# A place where a card in one of these groupings may begin; it takes no character, so places may lie within each other's cards.
+CARD_START = rf"(?<![0-9])(?={CARD_GROUPED})"
+# 16 digits whatever their check digit; in fours, only where the number ends with them (an account number may go on).
+CARD_SIXTEEN = rf"(?<![0-9])(?:[0-9]{{16}}(?![0-9])|{CARD_FOURS}(?![ -]?[0-9]))"
 CARD = r"(?<![0-9])(?:[0-9][ -]?){12,18}[0-9](?![0-9])"
 
 
@@ -103,16 +110,23 @@ def luhn_check_digit(payload: Column) -> Column:
     return F.pmod(-total, F.lit(10)).cast("string")
 
 
+def luhn_valid(number: Column) -> Column:
+    return luhn_check_digit(F.substr(number, F.lit(1), F.length(number) - 1)) == F.right(number, F.lit(1))
+
+
 def card(m: Column, key: str) -> Column:
     """13 to 19 digits with a right check digit: the digits before it are permuted and the check digit follows."""
     number = digits(m)
     payload = F.substr(number, F.lit(1), F.length(number) - 1)
-    valid = luhn_check_digit(payload) == F.right(number, F.lit(1))
     moved = permuted_digits(payload, F.length(payload), key, "card")
     checked = filled(m, F.concat(moved, luhn_check_digit(moved)))
     # A number of 16 digits that fails the check is most likely a mistyped card: it is permuted as digits, failing or not.
     plain = filled(m, permuted_digits(number, F.length(number), key, "number"))
-    return F.when(valid, checked).when(F.length(number) == 16, plain).otherwise(m)
+    return F.when(luhn_valid(number), checked).when(F.length(number) == 16, plain).otherwise(m)
+
+
+def is_card(m: Column) -> Column:
+    return luhn_valid(digits(m)) | (F.length(digits(m)) == 16)
 
 
 def phone(m: Column, key: str) -> Column:
@@ -183,7 +197,8 @@ def secret(m: Column, key: str) -> Column:
     return F.substring(F.sha2(F.concat(F.lit(f"{key}|secret|"), m), 256), 1, 40)
 
 
-# name, pattern, what stands in for a match; the first pattern that fits a place is taken.
+# name, pattern, what stands in for a match; the first format that fits a stretch of text is taken. What it takes is
+# closed to the formats after it, so none of them reads into it.
 FORMATS: list[tuple[str, str, Callable[[Column, str], Column]]] = [
     ("email", EMAIL, email),
     ("secret", SECRET, secret),
@@ -197,29 +212,82 @@ FORMATS: list[tuple[str, str, Callable[[Column, str], Column]]] = [
 ]
 
 
-def replaced(text: Column, pattern: str, change: Callable[[Column], Column]) -> Column:
-    """``text`` with every match of ``pattern`` put through ``change``."""
+def stretch(text: Column, name: Column) -> Column:
+    """A stretch of a text and the format that took it, or null."""
+    return F.struct(text.alias("text"), name.cast("string").alias("format"))
+
+
+def apart(text: Column, pattern: str, name: str, change: Callable[[Column], Column], taken: Callable[[Column], Column] | None = None) -> Column:
+    """The stretches of ``text``: every match of ``pattern``, put through ``change``, and what lies between."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pieces = F.split(text, pattern)
-    woven = F.transform(found, lambda m, i: F.concat(F.get(pieces, i), change(m)))
-    return F.concat(F.array_join(woven, ""), F.element_at(pieces, -1))
+
+    def both(piece: Column, m: Column) -> Column:
+        kind = F.lit(name) if taken is None else F.when(taken(m), F.lit(name))
+        return F.when(m.isNull(), F.array(stretch(piece, F.lit(None)))).otherwise(F.array(stretch(piece, F.lit(None)), stretch(change(m), kind)))
+
+    return F.flatten(F.zip_with(F.split(text, pattern), found, both))
+
+
+def apart_by_check(text: Column, change: Callable[[Column], Column]) -> Column:
+    """The stretches of ``text``: cards in their usual groupings whose check digit is right, and what lies between.
+
+    Every place where one may begin is tried, also within another's digits, and the first right ones are taken. Where
+    both 19 and 16 digits fit, the 19 are tried first.
+    """
+    pieces = F.split(text, CARD_START)
+    longest = F.regexp_extract_all(text, F.lit(rf"(?<![0-9])(?=({CARD_GROUPED}))"), F.lit(1))
+    fours = F.regexp_extract_all(text, F.lit(rf"(?<![0-9])(?={CARD_GROUPED})(?=({CARD_FOURS}(?![0-9]))?)"), F.lit(1))
+    right = lambda c: (c != "") & luhn_valid(digits(c))
+    best = F.zip_with(longest, fours, lambda a, b: F.when(right(a), a).when(right(b), b).otherwise(F.lit("")))
+    # The pieces begin where a card may; before the first place there is one more, unless the text begins with it.
+    starts = F.when(F.size(pieces) > F.size(longest), F.concat(F.array(F.lit("")), best)).otherwise(best)
+    none = F.array().cast("array<struct<text:string,format:string>>")
+    begin = F.struct(none.alias("out"), F.lit(0).alias("over"))
+
+    def put(s: Column, x: Column) -> Column:
+        # ``over``: how many characters of this piece and those after it the last card holds.
+        piece, found, over = x["piece"], x["found"], s["over"]
+        rest = lambda n: stretch(F.substr(piece, n + 1), F.lit(None))
+        inside = F.struct(F.concat(s["out"], F.array(rest(over))).alias("out"), F.greatest(F.lit(0), over - F.length(piece)).alias("over"))
+        new = F.concat(s["out"], F.array(stretch(change(found), F.lit("card")), rest(F.length(found))))
+        taken = F.struct(new.alias("out"), F.greatest(F.lit(0), F.length(found) - F.length(piece)).alias("over"))
+        return F.when((over > 0) | (found == ""), inside).otherwise(taken)
+
+    each = F.zip_with(pieces, starts, lambda p, f: F.struct(p.alias("piece"), f.alias("found")))
+    return F.aggregate(each, begin, put, lambda s: s["out"])
+
+
+def still_open(cut: Callable[[Column], Column], s: Column) -> Column:
+    """A stretch cut further, unless a format took it."""
+    return F.when(s["format"].isNotNull(), F.array(s)).otherwise(cut(s["text"]))
 
 
 def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """The rows with personal data in ``text`` replaced, and n_<format> columns: how many values of each format were found.
 
     A value that fails its format's check (octets, calendar, check digits) stays, but 16 digits are permuted
-    all the same. Null texts stay null with zero counts; empty texts stay empty. Columns of the names of the counts are
+    all the same; a run of digits that is neither is no card and isn't counted as one. Cards are looked for in their usual
+    groupings with a right check digit first, then with 16 digits, then in any grouping as the longest run.
+    Null texts stay null with zero counts; empty texts stay empty. Columns of the names of the counts are
     replaced; all others pass. Rows are handled one by one, so ties and repeated rows don't matter; nothing is shuffled.
     """
     counts = [f"n_{name}" for name, _, _ in FORMATS]
-    out = docs.drop(*counts)
-    order = [c for c in out.columns]
+    kept = docs.drop(*counts)
+    out = kept.withColumn("__cut", F.lit(None).cast("array<struct<text:string,format:string>>"))
+    steps: list[tuple[str, str, Callable[[Column], Column]]] = []
     for name, pattern, change in FORMATS:
+        put = partial(change, key=key)
+        if name == "card":
+            steps.append((name, CARD_START, partial(apart_by_check, change=put)))
+            steps.append((name, CARD_SIXTEEN, partial(apart, pattern=CARD_SIXTEEN, name=name, change=put)))
+        steps.append((name, pattern, partial(apart, pattern=pattern, name=name, change=put, taken=is_card if name == "card" else None)))
+    for name, pattern, cut in steps:
         # Each pattern is looked for only where a sign of it stands: a cheap test that saves most texts the regex.
         sign = F.contains(F.col(text), F.lit("@")) if name == "email" else F.rlike(F.col(text), F.lit("[0-9]"))
         has = F.coalesce(sign & F.rlike(F.col(text), F.lit(pattern)), F.lit(False))
-        n = F.when(has, F.regexp_count(F.col(text), F.lit(pattern))).otherwise(0).alias(f"n_{name}")
-        new = F.when(has, replaced(F.col(text), pattern, partial(change, key=key))).otherwise(F.col(text))
-        out = out.select(*[F.col(c) for c in out.columns if c != text], n, new.alias(text))
-    return out.select(*order, *counts)
+        so_far = F.coalesce(F.col("__cut"), F.array(stretch(F.col(text), F.lit(None))))
+        new = F.flatten(F.transform(so_far, partial(still_open, cut)))
+        out = out.withColumn("__cut", F.when(has, F.filter(new, lambda s: s["text"] != "")).otherwise(F.col("__cut")))
+    done = F.when(F.col("__cut").isNull(), F.col(text)).otherwise(F.array_join(F.transform("__cut", lambda s: s["text"]), ""))
+    count = lambda name: F.when(F.col("__cut").isNull(), 0).otherwise(F.size(F.filter("__cut", lambda s: s["format"].eqNullSafe(F.lit(name)))))
+    return out.select(*[done.alias(c) if c == text else F.col(c) for c in kept.columns], *[count(name).alias(f"n_{name}") for name, _, _ in FORMATS])

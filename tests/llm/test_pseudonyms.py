@@ -67,6 +67,30 @@ def test_formats(spark):
     assert new[10:] == texts[10:] and out[11]["n_card"] == 0
 
 
+def test_cards_beside_other_numbers(spark):
+    ip, date, card16, mistyped = "97.51.17.173", "2021-03-04", "4111 1111 1111 1111", "9807915762804490"
+    texts = [
+        f"ip {ip} {mistyped}", f"order 12 {card16}", f"on {date} {card16}", f"{card16} {date}", f"31.12.1999 {card16} 123", f"in 2021 {card16}",
+        f"{card16} 4111-1111-1111-1111 {card16}", "7 3782 822463 10005 9", "12 6011 1111 1111 1117 000", "id 5 4111 1111 1111 1112", f"12345678901234567 {card16}", "12 34567 89012 34567",
+    ]
+    values = [ip, date, card16, "31.12.1999", mistyped]
+    moved = dict(zip(values, [r["text"] for r in change(spark, values)], strict=True))
+    out = change(spark, texts)
+    new = [r["text"] for r in out]
+    assert moved[mistyped] != mistyped and new[0] == f"ip {moved[ip]} {moved[mistyped]}"
+    assert new[1] == f"order 12 {moved[card16]}" and new[5] == f"in 2021 {moved[card16]}"
+    assert new[2] == f"on {moved[date]} {moved[card16]}" and new[3] == f"{moved[card16]} {moved[date]}"
+    assert new[4] == f"{moved['31.12.1999']} {moved[card16]} 123"
+    assert new[6] == f"{moved[card16]} {moved[card16].replace(' ', '-')} {moved[card16]}" and out[6]["n_card"] == 3
+    amex = re.fullmatch(r"7 ([0-9]{4} [0-9]{6} [0-9]{5}) 9", new[7])[1]
+    assert amex != "3782 822463 10005" and luhn(amex.replace(" ", ""))
+    assert new[8].startswith("12 ") and "6011 1111 1111 1117" not in new[8] and out[8]["n_card"] == 1
+    assert re.fullmatch(r"id 5 [0-9]{4} [0-9]{4} [0-9]{4} [0-9]{4}", new[9]) and new[9] != texts[9]
+    assert new[10] == f"12345678901234567 {moved[card16]}" and out[10]["n_card"] == 1
+    assert (new[11] == texts[11]) == (out[11]["n_card"] == 0)
+    assert [r["n_card"] for r in out[:6]] == [1] * 6
+
+
 def test_empty_and_repeated_rows(spark):
     assert change(spark, []) == []
     a, b = change(spark, ["call +1 (017) 555-7713"] * 2)
