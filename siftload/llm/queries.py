@@ -13,6 +13,7 @@ from siftload.llm import (
     jaccard_join,
     jump_shards,
     license_scan,
+    periodic_runs,
     perspectives,
     piece_viterbi,
     pseudonyms,
@@ -77,9 +78,26 @@ def op10_piece_viterbi(spark: SparkSession, folder: str) -> DataFrame:
     return piece_viterbi.encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model")).drop("text")
 
 
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    planted = docs.select("doc_id", periodic_runs.with_planted_period(F.col("doc_id"), F.col("text")).alias("text"))
+    best = periodic_runs.longest_run(F.col("runs"))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return periodic_runs.find_runs(planted).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.floor(1000 * best["length"] / best["period"]).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 _ALL = (
     op1_token_shards, op2_jump_shards, op3_pseudonyms, op4_jaccard_join, op5_decontaminate, op6_quality_trees,
-    op7_license_scan, op8_perspectives, op9_toxic_segments, op10_piece_viterbi,
+    op7_license_scan, op8_perspectives, op9_toxic_segments, op10_piece_viterbi, op12_periodic_runs,
 )
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 
