@@ -13,6 +13,7 @@ from siftload.llm import (
     jaccard_join,
     jump_shards,
     license_scan,
+    line_dedup,
     periodic_runs,
     perspectives,
     piece_viterbi,
@@ -78,6 +79,11 @@ def op10_piece_viterbi(spark: SparkSession, folder: str) -> DataFrame:
     return piece_viterbi.encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model")).drop("text")
 
 
+def op11_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cleaned = line_dedup.line_dedup(table(spark, folder, "documents").select("doc_id", "text"), min_docs=10, min_chars=1)
+    return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     planted = docs.select("doc_id", periodic_runs.with_planted_period(F.col("doc_id"), F.col("text")).alias("text"))
@@ -97,7 +103,7 @@ def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
 
 _ALL = (
     op1_token_shards, op2_jump_shards, op3_pseudonyms, op4_jaccard_join, op5_decontaminate, op6_quality_trees,
-    op7_license_scan, op8_perspectives, op9_toxic_segments, op10_piece_viterbi, op12_periodic_runs,
+    op7_license_scan, op8_perspectives, op9_toxic_segments, op10_piece_viterbi, op11_line_dedup, op12_periodic_runs,
 )
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 
@@ -121,5 +127,18 @@ named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+""",
+    # Documents are told apart by a row number, as ids may repeat.
+    "op11_line_dedup": """
+WITH d AS (SELECT row_number() OVER () AS n, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT n, doc_id, p, lines[p] AS line FROM (SELECT n, doc_id, lines, unnest(range(1, len(lines) + 1)) AS p FROM d)),
+k AS (
+  SELECT n, doc_id, p, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l
+),
+often AS (SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT n) >= 10),
+m AS (SELECT k.*, often.key IS NOT NULL AS dropped FROM k LEFT JOIN often ON k.key = often.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+FROM m GROUP BY n, doc_id
 """,
 }
