@@ -15,9 +15,11 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 import unicodedata
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,8 +39,13 @@ IDS_PER_FILE = 16 << 20
 KEYS_PER_BUCKET = 8192
 # Bits of a level for each key it has to place.
 BITS_PER_KEY = 2
-# Words whose ids a Python worker keeps.
+# Words whose ids a Python worker keeps: so many new ones, and as many from before. Longer words are never kept, which
+# bounds the bytes: scripts without blanks make a word of a whole text.
 MOST_KEPT = 1 << 19
+LONGEST_KEPT = 48
+# Marks that end a word of letters or digits and are split from it by the tokenizer.
+# The pattern begins with them, since a search for one of a few characters is quick.
+ENDING = re.compile(r'[.,;:!?|#$%&*()"-](?<=[^\W_].)[.,;:!?|#$%&*()"-]*(?=\s|$)')
 # The key under which documents with a null id are found.
 NULL_KEY = -(1 << 63)
 
@@ -47,42 +54,52 @@ NULL_KEY = -(1 << 63)
 
 
 class WordEncoder(dict):
-    """Ids of texts under a tokenizer that drops blanks, word by word; a word's ids are worked out once per worker.
+    """Ids of texts under a tokenizer that drops blanks, word by word; a word's ids are worked out once while it is kept.
 
     Such a tokenizer never looks across blanks, so a text's ids are those of its words in a row. Latin letters go
-    straight to the model; every other word goes through the whole tokenizer.
+    straight to the model; marks at a word's end are words of their own; every other word goes through the whole
+    tokenizer. When the kept words are too many, those not asked for since the last such moment are forgotten.
     """
 
-    def __init__(self, tokenizer_file: str, dtype: str):
+    def __init__(self, tokenizer_file: str, dtype: str, most_kept: int = MOST_KEPT):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
+        self.model = self.tokenizer.model
         with open(tokenizer_file, encoding="utf-8") as f:
             spec = json.load(f)
         self.by_word = _drops_blanks(spec)
-        self.dtype = dtype
+        self.code = "H" if dtype == "<u2" else "I"
+        self.most_kept = most_kept
+        self.before: dict[str, bytes] = {}
         marks = [*range(33, 127), *range(161, 173), *range(174, 256)]
         shown = {b: chr(b) for b in marks} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in marks)}
         self.shown = str.maketrans({chr(b): c for b, c in shown.items()})
         self.latin = re.compile("[A-Za-zÀ-ÖØ-öø-į]+").fullmatch
-        self.tail = re.compile("[A-Za-zÀ-ÖØ-öø-į]+[.,;:!?|#$%&*()\"-]+").fullmatch
+
+    def packed(self, ids: list[int]) -> bytes:
+        out = array(self.code, ids)
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
 
     def full(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+        return self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def letters(self, word: str) -> bytes:
-        shown = word.lower().encode().decode("latin-1").translate(self.shown)
-        return np.array([t.id for t in self.tokenizer.model.tokenize(shown)], self.dtype).tobytes()
+        shown = word.lower()
+        if not word.isascii():
+            shown = shown.encode().decode("latin-1").translate(self.shown)
+        return self.packed([t.id for t in self.model.tokenize(shown)])
 
     def __missing__(self, word: str) -> bytes:
-        if self.latin(word):
-            ids = self.letters(word)
-        elif self.tail(word):
-            core = len(word.rstrip(".,;:!?|#$%&*()\"-"))
-            ids = self[word[:core]] + self[word[core:]]
-        else:
-            ids = self.full(word)
-        if len(self) < MOST_KEPT:
+        ids = self.before.get(word)
+        if ids is None:
+            ids = self.letters(word) if self.latin(word) else self.full(word)
+        if len(word) <= LONGEST_KEPT:
+            if len(self) >= self.most_kept:
+                self.before = dict(self)
+                self.clear()
             self[word] = ids
         return ids
 
@@ -94,7 +111,7 @@ class WordEncoder(dict):
             return self.full(text)
         if not text.isascii() and not unicodedata.is_normalized("NFC", text):
             text = unicodedata.normalize("NFC", text)
-        return b"".join(map(self.__getitem__, text.split()))
+        return b"".join(map(self.__getitem__, ENDING.sub(r" \g<0>", text).split()))
 
 
 def _drops_blanks(spec: dict) -> bool:
@@ -202,9 +219,10 @@ def write_shards(docs: DataFrame, folder: str, tokenizer_file: str, end_id: int,
     """Encodes and writes all documents in ascending doc_id order; returns the places: key, shard, first, documents, offset, ids.
 
     Documents are dealt by ranges of their id, and each task writes its range in order, a new file every
-    ``ids_per_file`` ids. Equal ids stand next to each other and are one entry per file, with their number.
-    A range is sorted by id and text, so a repeated task writes the same. What counts is what the returned rows name;
-    files of tasks that were lost are named by none.
+    ``ids_per_file`` ids. Equal ids go by the beginning and hash of their texts, equal rows are dealt at random, so that an
+    id with very many rows is spread over tasks; it is one entry per file, with the number of its documents. A task that is
+    run again writes files of its own. What counts is what the returned rows name; files of tasks that were lost are named
+    by none.
     """
     dtype = id_type(tokenizer_file, end_id)
     end = np.array([end_id], dtype).tobytes()
@@ -217,8 +235,6 @@ def write_shards(docs: DataFrame, folder: str, tokenizer_file: str, end_id: int,
         from pyspark import TaskContext
 
         encoder = _encoders.setdefault((tokenizer_file, dtype), WordEncoder(tokenizer_file, dtype))
-        if len(encoder) >= MOST_KEPT:
-            encoder.clear()
         out = ShardWriter(folder, TaskContext.get().partitionId(), dtype, ids_per_file)
         entry = None  # of the last key: key, shard, first, documents, offset, ids
         for batch in text_runs(batches, "text", 1 << 20):
@@ -240,7 +256,8 @@ def write_shards(docs: DataFrame, folder: str, tokenizer_file: str, end_id: int,
         if entry:
             yield _places([entry])
 
-    ranged = docs.select(key.alias("key"), "text").repartitionByRange("key").sortWithinPartitions("key", "text")
+    order = ["key", F.substring("text", 1, 32), F.xxhash64("text")]
+    ranged = docs.select(key.alias("key"), "text").repartitionByRange(*[F.col("key"), *order[1:], F.rand(7)]).sortWithinPartitions(*order)
     return ranged.mapInArrow(write, "key long, shard string, first long, documents long, offset long, ids long")
 
 

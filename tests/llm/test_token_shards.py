@@ -46,6 +46,31 @@ def test_small_files_and_single_reads(spark):
     assert sorted((r["key"], r["ids"]) for r in got) == want
 
 
+def test_one_id_with_a_third_of_the_rows(spark):
+    """Its rows, many of them equal, are spread over files, and all are found under the one key."""
+    importable(spark)
+    rows = [(7, "the same text", "k")] * 300 + [(7, f"own text {i}", "k") for i in range(100)] + [(i, f"t {i}", "k") for i in range(800)]
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(6)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        shards = token_shards.write_token_shards(frame, FILE)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert shards.places.where("key = 7").select("shard").distinct().count() > 2
+    assert shards.fetch(spark.createDataFrame([(7,)], "key long")).count() == 401
+    got = sorted(map(tuple, token_shards.token_digests(frame, FILE).collect()), key=lambda r: r[1])
+    assert [r[0] for r in got] == sorted(r[0] for r in rows) and got[-1][1] + got[-1][2] == sum(r[2] for r in got)
+    assert sorted((r[0], *r[2:]) for r in got) == sorted((r[0], *r[2:]) for r in expected([r[:2] for r in rows]))
+
+
+def test_forgotten_words_and_long_words():
+    tokenizer = Tokenizer.from_file(FILE)
+    encoder = token_shards.WordEncoder(FILE, "<u2", most_kept=5)
+    for text in ["one two, three. four five six seven", "one two three, 4.0. (eight) nine-ten", "x" * 5000 + ", " + "é" * 200, "one 'quoted'. ½, Ⅷ. é́, ”,"] * 3:
+        assert np.frombuffer(encoder.encode(text), "<u2").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+        assert len(encoder) <= 5 and len(encoder.before) <= 5 and max(map(len, encoder)) <= token_shards.LONGEST_KEPT
+
+
 def test_empty(spark):
     importable(spark)
     assert token_shards.token_digests(spark.createDataFrame([], SCHEMA), FILE).collect() == []
