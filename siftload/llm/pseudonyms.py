@@ -36,6 +36,11 @@ CARD = r"(?<![0-9])(?:[0-9][ -]?){12,18}[0-9](?![0-9])"
 # ---------------------------------------------------------------- the permutation
 
 
+def whole(value: Column, by: Column) -> Column:
+    """Whole division of longs; a division as doubles goes wrong from 16 digits on."""
+    return F.call_function("div", value, by)
+
+
 def feistel(value: Column, key: str, tweak: str, left: int | Column, right: int | Column, rounds: int = ROUNDS) -> Column:
     """A keyed permutation of 0 to left * right - 1.
 
@@ -44,7 +49,7 @@ def feistel(value: Column, key: str, tweak: str, left: int | Column, right: int
     sizes, without walking cycles. ``tweak`` sets the formats apart.
     """
     left, right = (F.lit(x).cast("long") if isinstance(x, int) else x.cast("long") for x in (left, right))
-    start = F.struct((value / right).cast("long").alias("a"), (value % right).alias("b"))
+    start = F.struct(whole(value, right).alias("a"), (value % right).alias("b"))
 
     def drawn(r: Column, c: Column) -> Column:
         # 52 bits of a keyed digest: a long in any mode.
@@ -62,7 +67,7 @@ def feistel(value: Column, key: str, tweak: str, left: int | Column, right: int
 def feistel_back(value: Column, key: str, tweak: str, left: int | Column, right: int | Column, rounds: int = ROUNDS) -> Column:
     """The inverse of ``feistel`` under the same key, for whoever may see the originals."""
     left, right = (F.lit(x).cast("long") if isinstance(x, int) else x.cast("long") for x in (left, right))
-    start = F.struct((value / right).cast("long").alias("a"), (value % right).alias("b"))
+    start = F.struct(whole(value, right).alias("a"), (value % right).alias("b"))
 
     def turn(s: Column, r: Column) -> Column:
         def drawn(c: Column, size: Column) -> Column:
@@ -114,14 +119,27 @@ def luhn_valid(number: Column) -> Column:
     return luhn_check_digit(F.substr(number, F.lit(1), F.length(number) - 1)) == F.right(number, F.lit(1))
 
 
+def moved_failing(number: Column, key: str) -> Column:
+    """16 digits that fail the check, permuted among all that do: 15 digits and how far the last is from the right one."""
+    payload, last = F.substr(number, F.lit(1), F.lit(15)), F.substr(number, F.lit(16), F.lit(1)).cast("int")
+    off = F.pmod(last - luhn_check_digit(payload).cast("int") - 1, F.lit(10))
+    rank = payload.cast("long") * 9 + off
+
+    def digits_of(r: Column) -> Column:
+        front = F.lpad(whole(r, F.lit(9).cast("long")).cast("string"), 15, "0")
+        return F.concat(front, ((luhn_check_digit(front).cast("long") + 1 + r % 9) % 10).cast("string"))
+
+    return F.get(F.transform(F.array(feistel(rank, key, "failing", 9 * 10**7, 10**8)), digits_of), F.lit(0))
+
+
 def card(m: Column, key: str) -> Column:
     """13 to 19 digits with a right check digit: the digits before it are permuted and the check digit follows."""
     number = digits(m)
     payload = F.substr(number, F.lit(1), F.length(number) - 1)
     moved = permuted_digits(payload, F.length(payload), key, "card")
     checked = filled(m, F.concat(moved, luhn_check_digit(moved)))
-    # A number of 16 digits that fails the check is most likely a mistyped card: it is permuted as digits, failing or not.
-    plain = filled(m, permuted_digits(number, F.length(number), key, "number"))
+    # A number of 16 digits that fails the check is most likely a mistyped card: it is permuted among those that fail.
+    plain = filled(m, moved_failing(number, key))
     return F.when(luhn_valid(number), checked).when(F.length(number) == 16, plain).otherwise(m)
 
 
@@ -141,14 +159,25 @@ def ipv4(m: Column, key: str) -> Column:
     valid = F.forall(octets, lambda o: o <= 255)
     number = F.aggregate(octets, F.lit(0).cast("long"), lambda a, o: a * 256 + o)
     moved = feistel(number, key, "ipv4", 1 << 16, 1 << 16)
-    parts = F.transform(F.array(*[F.lit(s) for s in (16777216, 65536, 256, 1)]), lambda s: ((moved / s).cast("long") % 256).cast("string"))
+    parts = F.transform(F.array(*[F.lit(s).cast("long") for s in (16777216, 65536, 256, 1)]), lambda s: (whole(moved, s) % 256).cast("string"))
     return F.when(valid, F.array_join(parts, ".")).otherwise(m)
 
 
 def ssn(m: Column, key: str) -> Column:
-    """Nine digits as 3-2-4 with an area, group and serial that can be: permuted as a whole."""
-    valid = ~m.startswith("000") & ~m.startswith("666") & ~m.startswith("9") & (F.substr(m, F.lit(5), F.lit(2)) != "00") & ~m.endswith("0000")
-    return F.when(valid, filled(m, permuted_digits(digits(m), F.lit(9), key, "ssn"))).otherwise(m)
+    """Nine digits as 3-2-4 with an area, group and serial that can be: permuted among all such numbers."""
+    area, group, serial = (F.substr(m, F.lit(at), F.lit(n)).cast("long") for at, n in ((1, 3), (5, 2), (8, 4)))
+    valid = (area > 0) & (area < 900) & (area != 666) & (group > 0) & (serial > 0)
+    # 898 areas of 99 groups of 9,999 serials.
+    rank = ((area - 1 - F.when(area > 666, 1).otherwise(0)) * 99 + group - 1) * 9999 + serial - 1
+
+    def shown(r: Column) -> Column:
+        block = whole(r, F.lit(9999).cast("long"))
+        place = whole(block, F.lit(99).cast("long")) + 1
+        parts = ((place + F.when(place >= 666, 1).otherwise(0), 3), (block % 99 + 1, 2), (r % 9999 + 1, 4))
+        return F.concat_ws("-", *[F.lpad(v.cast("string"), n, "0") for v, n in parts])
+
+    moved = F.get(F.transform(F.array(feistel(rank, key, "ssn", 898 * 99, 9999)), shown), F.lit(0))
+    return F.when(valid, moved).otherwise(m)
 
 
 def moved_date(day: Column, key: str) -> Column:
@@ -265,8 +294,8 @@ def still_open(cut: Callable[[Column], Column], s: Column) -> Column:
 def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """The rows with personal data in ``text`` replaced, and n_<format> columns: how many values of each format were found.
 
-    A value that fails its format's check (octets, calendar, check digits) stays, but 16 digits are permuted
-    all the same; a run of digits that is neither is no card and isn't counted as one. Cards are looked for in their usual
+    A value that fails its format's check (octets, calendar, check digits) stays, but 16 digits are permuted among
+    those that fail; a run of digits that is neither is no card and isn't counted as one. Cards are looked for in their usual
     groupings with a right check digit first, then with 16 digits, then in any grouping as the longest run.
     Null texts stay null with zero counts; empty texts stay empty. Columns of the names of the counts are
     replaced; all others pass. Rows are handled one by one, so ties and repeated rows don't matter; nothing is shuffled.

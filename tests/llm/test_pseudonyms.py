@@ -1,6 +1,8 @@
 """Pseudonyms: permutations, checks that still hold, and linked values."""
 
 import datetime as dt
+import hashlib
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -34,6 +36,78 @@ def test_days_of_a_century_are_permuted(spark):
         assert {r[0] for r in moved.selectExpr("min(d)").collect()} == {first}
 
 
+def plain_feistel(value, key, tweak, left, right):
+    a, b = divmod(value, right)
+    drawn = lambda r, c: int(hashlib.sha256(f"{key}|{tweak}|{r}|{c}".encode()).hexdigest()[:13], 16)
+    for r in range(pseudonyms.ROUNDS):
+        if r % 2 == 0:
+            a = (a + drawn(r, b)) % left
+        else:
+            b = (b + drawn(r, a)) % right
+    return a * right + b
+
+
+def plain_digits(number, tweak):
+    n = len(number)
+    return str(plain_feistel(int(number), KEY, tweak, 10 ** (n - n // 2), 10 ** (n // 2))).zfill(n)
+
+
+def check_digit(payload):
+    return next(d for d in "0123456789" if luhn(payload + d))
+
+
+def plain_card(number):
+    if luhn(number):
+        moved = plain_digits(number[:-1], "card")
+        return moved + check_digit(moved)
+    off = (int(number[15]) - int(check_digit(number[:15])) - 1) % 10
+    front, off = divmod(plain_feistel(int(number[:15]) * 9 + off, KEY, "failing", 9 * 10**7, 10**8), 9)
+    front = str(front).zfill(15)
+    return front + str((int(check_digit(front)) + 1 + off) % 10)
+
+
+def plain_ssn(number):
+    area, group, serial = map(int, number.split("-"))
+    rank = ((area - 1 - (area > 666)) * 99 + group - 1) * 9999 + serial - 1
+    block, serial = divmod(plain_feistel(rank, KEY, "ssn", 898 * 99, 9999), 9999)
+    area, group = divmod(block, 99)
+    return f"{area + 1 + (area + 1 >= 666):03d}-{group + 1:02d}-{serial + 1:04d}"
+
+
+def plain_iban(account):
+    moved = plain_digits(account, "iban")
+    return f"DE{98 - int(moved + '131400') % 97:02d}{moved}"
+
+
+def test_large_numbers_stay_a_permutation(spark):
+    """Where a division as doubles rounds up: lower halves of nines, both ends and every carry."""
+    half = 10**9
+    values = sorted({v for b in (0, 1, 10, 999, half // 2, half - 2, half - 1) for a in (b - 1, b, b + 1) if 0 <= a < half for v in (a * half, a * half + 1, a * half + half - 2, a * half + half - 1)})
+    for left, right in ((half, half), (10**9, 10**8), (9 * 10**7, 10**8)):
+        inside = [v for v in values if v < left * right]
+        rows = spark.createDataFrame([(v,) for v in inside], "id long").select("id", pseudonyms.feistel(F.col("id"), KEY, "t", left, right).alias("p"))
+        rows = rows.withColumn("back", pseudonyms.feistel_back(F.col("p"), KEY, "t", left, right)).collect()
+        assert all(r["back"] == r["id"] and r["p"] == plain_feistel(r["id"], KEY, "t", left, right) for r in rows)
+        assert len({r["p"] for r in rows}) == len(inside)
+
+
+def test_numbers_against_a_plain_version(spark):
+    rng = random.Random(5)
+    cards = [p + check_digit(p) for p in (str(rng.randrange(10 ** (n - 2), 10 ** (n - 1))) for n in (13, 14, 15, 16, 17, 18, 19) for _ in range(12))] + ["9999999999999999", "0000000000000000", "9" * 18 + check_digit("9" * 18)]
+    cards += [str(rng.randrange(10**15, 10**16)) for _ in range(40)]
+    ssns = [f"{a:03d}-{g:02d}-{s:04d}" for a in (1, 665, 667, 899) for g in (1, 99) for s in (1, 9999)] + [f"{rng.randrange(1, 600):03d}-{rng.randrange(1, 100):02d}-{rng.randrange(1, 10000):04d}" for _ in range(200)]
+    accounts = ["999999999999999999", "000000000999999999", "000000000000000000", *(str(rng.randrange(10**17, 10**18)) for _ in range(40))]
+    ibans = [f"DE{98 - int(a + '131400') % 97:02d}{a}" for a in accounts]
+    new = [r["text"] for r in change(spark, cards + ssns + ibans)]
+    assert new[: len(cards)] == [plain_card(c) for c in cards]
+    assert new[len(cards) : len(cards) + len(ssns)] == [plain_ssn(s) for s in ssns]
+    assert new[len(cards) + len(ssns) :] == [plain_iban(a) for a in accounts]
+    assert [luhn(a) for a in cards] == [luhn(b) for b in new[: len(cards)]] and len(set(new)) == len(set(cards + ssns + ibans))
+    for s in new[len(cards) : len(cards) + len(ssns)]:
+        area, group, serial = map(int, s.split("-"))
+        assert 0 < area < 900 and area != 666 and group and serial
+
+
 def change(spark, texts):
     df = spark.createDataFrame([(i, t, 5) for i, t in enumerate(texts)], "doc_id long, text string, n_card int")
     return [r.asDict() for r in pseudonyms.pseudonymise(df, KEY).orderBy("doc_id").collect()]
