@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from checks.base import Star, query
 from siftload.functions import codes, dates, numbers, text
 from siftload.operators import eav, filters, lookup, ranking, sets
 from siftload.session import work_dir
-from siftload.sinks import merge
+from siftload.sinks import incremental, merge
 from siftload.sinks.audit import RunAudit
 from siftload.sinks.target import ParquetTarget
 from siftload.sources.tables import Tables
@@ -703,11 +705,51 @@ def _(s):
     return audit.read().select("name", "rows", c("error").isNotNull().alias("failed"))
 
 
+@query("incremental_load", """
+WITH mark AS (SELECT max(ts) AS latest FROM events WHERE ts < TIMESTAMP '2024-01-20' AND event_id % 10 <> 0)
+SELECT event_id, user_id, CASE WHEN ts >= latest - INTERVAL 3 DAY THEN value + 1 ELSE value END AS value FROM events, mark
+WHERE ts >= latest - INTERVAL 3 DAY OR event_id % 10 <> 0""")
+def _(s):
+    """Two loads by a mark; a tenth of the events came late, and of those only the ones within the overlap are found."""
+    target, keys, overlap = new_target(s), ["event_id"], timedelta(days=3)
+    first = s.events.where((c("ts") < dates.ntz("2024-01-20")) & (c("event_id") % 10 != 0))
+    first = first.select("event_id", "user_id", "value", "ts")
+    incremental.upsert_increment(target, "events.ts", first, "ts", overlap, keys, lambda rows: rows.drop("ts"))
+    changed = s.events.select("event_id", "user_id", (c("value") + 1).alias("value"), "ts")
+    incremental.upsert_increment(target, "events.ts", changed, "ts", overlap, keys, lambda rows: rows.drop("ts"))
+    return target.read()
+
+
+@query("incremental_append", "SELECT event_id, value FROM events")
+def _(s):
+    """Three appends by a mark, one of them repeated without its mark, as after a stop before the commit."""
+    target = new_target(s, load_ids=True)
+    rows = s.events.select("event_id", "value", "ts")
+    for until in ("2024-01-10", "2024-01-20"):
+        incremental.append_increment(target, "events.ts", rows.where(c("ts") < dates.ntz(until)), "ts", lambda r: r.drop("ts"))
+    target.append(rows.limit(100).drop("ts"), load_id=f"events.ts after {target.marks()['events.ts']}")
+    incremental.append_increment(target, "events.ts", rows, "ts", lambda r: r.drop("ts"))
+    return target.read()
+
+
+@query("append_with_load_ids", "SELECT c_custkey AS id, c_name AS name FROM customer UNION ALL SELECT s_suppkey, s_name FROM supplier UNION ALL SELECT p_partkey, p_name FROM part")
+def _(s):
+    """Loads that are repeated, before and after the target is rewritten, are one copy."""
+    target = new_target(s, load_ids=True)
+    loads = {"c": s.customer.select(c("c_custkey").alias("id"), c("c_name").alias("name")), "s": s.supplier.select(c("s_suppkey").alias("id"), c("s_name").alias("name"))}
+    for name in ("c", "s", "c"):
+        target.append(loads[name], load_id=name)
+    target.replace_window(s.part.select(c("p_partkey").alias("id"), c("p_name").alias("name")), c("id") < 0)
+    for name in ("s", "c"):
+        target.append(loads[name], load_id=name)
+    return target.read()
+
+
 @query("incremental_lookback", """
 SELECT event_id, ts, CASE WHEN ts >= (SELECT max(ts) FROM events) - INTERVAL 7 DAY THEN value + 1 ELSE value END AS value FROM events
 WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 7 DAY OR ts < TIMESTAMP '2024-01-28'""")
 def _(s):
-    as_of = s.events.agg(F.max("ts")).first()[0]
+    as_of = s.events.agg(F.max("ts")).scalar()
     target = s.events.where(c("ts") < dates.ntz("2024-01-28")).select("event_id", "ts", "value")
     changed = s.events.where(filters.within_days(c("ts"), as_of, 7)).select("event_id", "ts", (c("value") + 1).alias("value"))
     return merge.merge_upsert(target, changed, ["event_id"])

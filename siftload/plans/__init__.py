@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from datetime import timedelta
 from importlib import import_module
 from types import ModuleType
 
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from siftload.plans.params import Params
 from siftload.session import work_area
 from siftload.sinks.audit import RunAudit
+from siftload.sinks.incremental import rows_since, taken
 from siftload.sinks.remote import Target
 from siftload.sources.tables import Tables
 
@@ -115,3 +117,22 @@ def run(plan: Plan, tables: Tables, params: Params, targets: Mapping[str, Target
     plan.check(params)
     with work_area(audit.spark):
         return audit.run(plan.key, lambda: plan.build(tables, params), lambda df: plan.load(df, targets, params))
+
+
+def run_increment(
+    plan: Plan, tables: Tables, params: Params, targets: Mapping[str, Target], audit: RunAudit, overlap: timedelta = timedelta(days=7)
+) -> int:
+    """One audited upsert of what changed in the plan's marked source since its last such load, less ``overlap``.
+
+    The first one takes everything. Of the other sources only what the taken rows join with is read, as in any load.
+    """
+    plan.check(params)
+    if plan.mode != UPSERT or not hasattr(plan.module, "MARK"):
+        raise ValueError(f"plan {plan.key} does not load by a mark")
+    source, column = plan.module.MARK
+    name, target, whole = f"{source}.{column}", targets[plan.target or plan.key], replace(params, history_days=None)
+    with work_area(audit.spark):
+        mark = target.marks().get(name)
+        rows, reached = taken(rows_since(tables[source], column, mark, overlap), column, mark)
+        how = {"update": plan.update, "insert_only": plan.insert_only, "constants": plan.constants, "marks": {name: reached}}
+        return audit.run(plan.key, lambda: plan.build(tables.replaced(source, rows), whole), lambda df: target.merge(df, plan.keys, **how))

@@ -26,7 +26,8 @@ class Params:
     project_users_to: str = "2025-12-31"
     projects_from: str = "2019-01-01"
     verified_from_year: int = 2021
-    history_days: int = 30
+    # None takes the whole history, as loads by a mark do: they cut it themselves.
+    history_days: int | None = 30
     last_calculation_days: int = 90
 
     # Ids of the installation. A plan names those it can't do without (NEEDS); ``run`` refuses to load without them.

@@ -10,13 +10,17 @@ from siftload.plans.params import Params
 from siftload.sources.tables import Tables
 
 SOURCES = ("status_history", "opportunity", "system_user")
+# A load by a mark reads what was modified since, and some days before.
+MARK = ("status_history", "modifiedon")
 TARGET = [
     "id", "project_number", "status", "status_reason", "created_on", "modified_on", "status_start_date", "status_end_date", "owner", "modified_by", "behalf_of",
 ]
 
 
 def build(t: Tables, p: Params) -> DataFrame:
-    recent = t["status_history"].where(filters.within_days(c("modifiedon"), p.as_of, p.history_days))
+    recent = t["status_history"]
+    if p.history_days is not None:
+        recent = recent.where(filters.within_days(c("modifiedon"), p.as_of, p.history_days))
     projects = t["opportunity"].select("opportunityid", "elob_opportunityid")
     out = recent.join(projects, c("elob_projectid") == c("opportunityid"))
     out = user(out, t, "elob_owninguserid", "owner", "domainname", how="inner")

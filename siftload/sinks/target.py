@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,11 @@ from siftload.sources.staging import staged
 from siftload.sources.tables import checked_broadcast
 
 JDBC_BATCH = 15_000
+# The folders below a version in which a target with load ids keeps each load's rows, and the name of all rows before them.
+LOAD = "__load"
+BASE = "base"
+# Marks to note with a load; one that is None stays as it was.
+Marks = Mapping[str, str | None] | None
 
 
 class ParquetTarget:
@@ -23,11 +29,21 @@ class ParquetTarget:
     moment leaves the old content or the new one. With ``partition_by``, window loads, upserts and keyed updates
     rewrite only the partitions they touch. Such a rewrite is a dynamic partition overwrite: if it stops half-way, some
     partitions are new and some old, and repeating the load sets all of them right.
+
+    With ``load_ids`` every append has an id, and its rows lie in a folder of that id. Appending under an id again replaces
+    that folder, so a load repeated after a stop at any step is one copy. All other loads fold the appended rows into one
+    content and note the ids it holds; an append under one of those is left out.
+
+    ``marks`` are texts noted with a load: how far it has read its source. They count from the same moment as the load
+    does, or, where partitions are rewritten, right after it.
     """
 
     def __init__(
-        self, spark: SparkSession, path: str, schema: StructType | str | None = None, partition_by: Sequence[str] = ()
+        self, spark: SparkSession, path: str, schema: StructType | str | None = None, partition_by: Sequence[str] = (), load_ids: bool = False
     ):
+        if load_ids and partition_by:
+            raise ValueError("a target keeps its rows by load id or by partition columns, not both")
+        self.load_ids = load_ids
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema
@@ -48,7 +64,30 @@ class ParquetTarget:
                 raise FileNotFoundError(f"{self.path} has no content yet and no schema was given")
             return self.spark.createDataFrame([], self.schema)
         reader = self.spark.read if self.schema is None else self.spark.read.schema(self.schema)
-        return reader.parquet(folder)
+        return reader.parquet(folder).drop(LOAD) if self.load_ids else reader.parquet(folder)
+
+    def marks(self) -> dict[str, str]:
+        """The marks noted by the loads so far, the last one of each name."""
+        return dict(self.versions.notes().get("marks", {}))
+
+    def _notes(self, marks: Marks, loads: Sequence[str] | None = None) -> dict[str, object]:
+        notes = self.versions.notes()
+        new = {"marks": {**notes.get("marks", {}), **{k: v for k, v in (marks or {}).items() if v is not None}}}
+        kept = notes.get("loads", []) if loads is None else list(loads)
+        return new | ({"loads": kept} if kept else {})
+
+    def note(self, marks: Marks) -> None:
+        """Notes marks beside the content as it is."""
+        if marks is not None and self.exists():
+            self.versions.commit(self.folder(), self._notes(marks))
+
+    def _loaded(self) -> list[str]:
+        """Names of the loads in the content: those folded into it and those in folders of their own."""
+        if not self.load_ids or not self.exists():
+            return []
+        folder = self.folder()[len(self.path) + 1 :]
+        own = [n.split("=", 1)[1] for n in self.versions._names(folder) if n.startswith(f"{LOAD}=")]
+        return sorted({*self.versions.notes().get("loads", []), *own} - {BASE})
 
     def _read_or_empty(self, like: DataFrame, constants: Mapping[str, object] | None = None) -> DataFrame:
         """Current content; before the first load no rows with the columns the load brings."""
@@ -58,33 +97,60 @@ class ParquetTarget:
 
     def _write(self, df: DataFrame, folder: str, mode: str, **options: str) -> None:
         writer = df.write.mode(mode).options(**options)
+        if self.load_ids:
+            folder = f"{folder}/{LOAD}={BASE}"
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
         writer.parquet(folder)
 
-    def _swap_in(self, df: DataFrame) -> None:
+    def _swap_in(self, df: DataFrame, marks: Marks = None, loads: Sequence[str] | None = None) -> None:
         version = self.versions.new_version()
+        held = self._loaded() if loads is None else loads
         self._write(df, version, "errorifexists")
-        self.versions.commit(version)
-
-    def append(self, df: DataFrame) -> None:
+        self.versions.commit(version, self._notes(marks, held))
+
+    def append(self, df: DataFrame, load_id: str | None = None, marks: Marks = None) -> bool:
+        """Adds rows; False if the content already holds the load of that id for good."""
+        if self.load_ids:
+            return self._append_load(df, load_id, marks)
+        if load_id is not None:
+            raise ValueError("the target was not made for load ids")
+        self._append(df)
+        self.note(marks)
+        return True
+
+    def _append_load(self, df: DataFrame, load_id: str | None, marks: Marks) -> bool:
+        if load_id is None:
+            raise ValueError("every append to this target needs a load id")
+        name = hashlib.sha256(load_id.encode()).hexdigest()[:32]
+        if name in self.versions.notes().get("loads", []):
+            return False
+        if not self.exists():
+            self._swap_in(df.limit(0))
+        df.write.mode("overwrite").parquet(f"{self.folder()}/{LOAD}={name}")
+        self.note(marks)
+        return True
+
+    def _append(self, df: DataFrame) -> None:
         folder = self.folder()
         if folder is None:
             self._swap_in(df)
         else:
             self._write(df, folder, "append")
 
-    def full_refresh(self, df: DataFrame) -> None:
-        self._swap_in(df)
+    def full_refresh(self, df: DataFrame, marks: Marks = None) -> None:
+        """New content. Loads appended before are forgotten with it, marks are kept."""
+        self._swap_in(df, marks, loads=[])
 
-    def replace_window(self, new_rows: DataFrame, window: Column) -> None:
+    def replace_window(self, new_rows: DataFrame, window: Column, marks: Marks = None) -> None:
         """Replaces the rows inside ``window`` by ``new_rows``; of a partitioned target only partitions with either."""
         if not self.partition_by or not self.exists():
-            self._swap_in(merge.replace_window(self._read_or_empty(new_rows), new_rows, window))
+            self._swap_in(merge.replace_window(self._read_or_empty(new_rows), new_rows, window), marks)
             return
         current, staged_rows = self.read(), staged(new_rows)
         touched = self._places(current.where(window), staged_rows)
         self._rewrite(current, touched, lambda affected: merge.replace_window(affected, staged_rows, window))
+        self.note(marks)
 
     def replace_partitions(self, new_rows: DataFrame) -> None:
         """Replaces the partitions that ``new_rows`` has rows in, and touches no other."""
@@ -100,14 +166,15 @@ class ParquetTarget:
         rows = staged(df)
         return rows, rows.count()
 
-    def merge(self, source: DataFrame, keys: Sequence[str], **how) -> int:
+    def merge(self, source: DataFrame, keys: Sequence[str], marks: Marks = None, **how) -> int:
         """Upsert. A partitioned target rewrites only the partitions the source touches."""
         staged_rows, rows = self.stage(source)
         current = self._read_or_empty(staged_rows, how.get("constants"))
         if self.partition_by and self.exists():
             self._merge_partitions(current, staged_rows, keys, rows, **how)
+            self.note(marks)
         else:
-            self._swap_in(merge.merge_upsert(current, staged_rows, keys, source_rows=rows, **how))
+            self._swap_in(merge.merge_upsert(current, staged_rows, keys, source_rows=rows, **how), marks)
         return rows
 
     def _merge_partitions(self, current: DataFrame, staged_rows: DataFrame, keys: Sequence[str], rows: int, **how) -> None:

@@ -60,6 +60,10 @@ class Tables:
     def __contains__(self, name: str) -> bool:
         return name in self._frames
 
+    def replaced(self, name: str, df: DataFrame) -> Tables:
+        """The same tables with another frame under one name."""
+        return Tables({**self._frames, name: df}, self.max_broadcast_rows)
+
     def names(self) -> list[str]:
         return sorted(self._frames)
 

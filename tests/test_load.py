@@ -163,7 +163,7 @@ def test_a_load_that_stops_leaves_old_or_new_content(spark, frame, monkeypatch,
 
     if step == "write":
         # A pointer that was begun and never finished.
-        monkeypatch.setattr(target.versions, "commit", lambda version: real.create(target.versions._path("_pointers", "0000000009"), False).close())
+        monkeypatch.setattr(target.versions, "commit", lambda version, notes: real.create(target.versions._path("_pointers", "0000000009"), False).close())
     else:
         monkeypatch.setattr(target.versions, "_fs", Stopping)
     source = frame([(2, "z", "y", 0)], SCHEMA)
