@@ -705,6 +705,30 @@ def _(s):
     return audit.read().select("name", "rows", c("error").isNotNull().alias("failed"))
 
 
+@query("option_set_decode_map", f"""
+WITH dict{DICTIONARY_COLUMNS} AS (SELECT * FROM {DICTIONARY} v)
+SELECT o_orderkey, a.value AS english, b.value AS polish, e.value AS other FROM orders
+LEFT JOIN dict a ON a.objecttypecode = 1 AND a.attributename = 'Priority' AND a.langid = 1033 AND a.attributevalue = o_orderkey % 5
+JOIN dict b ON b.objecttypecode = 1 AND b.attributename = 'Priority' AND b.langid = 1045 AND b.attributevalue = o_custkey % 5
+LEFT JOIN dict e ON e.objecttypecode = 2 AND e.attributename = 'priority' AND e.langid = 1033 AND e.attributevalue = o_custkey % 7""")
+def _(s):
+    """Three code columns, one projection and one filter, no join."""
+    dictionary = s.spark.sql(f"SELECT * FROM {DICTIONARY} AS m{DICTIONARY_COLUMNS}")
+    english, polish, other = ("Priority", 1, 1033), ("priority", 1, 1045), ("PRIORITY", 2, 1033)
+    words = lookup.CodeMap(dictionary, [english, polish, other])
+    rows = s.orders.select("o_orderkey", (c("o_orderkey") % 5).alias("x"), (c("o_custkey") % 5).alias("y"), (c("o_custkey") % 7).alias("z"))
+    rows = words.decode(words.decode(rows, {"english": ("x", english), "other": ("z", other)}), {"polish": ("y", polish)}, how="inner")
+    return rows.drop("x", "y", "z")
+
+
+@query("distinct_rows_wide", "SELECT DISTINCT l_returnflag, l_linestatus, l_suppkey, l_discount, CASE WHEN l_tax < 0.04 THEN l_tax END AS low_tax, CASE WHEN l_tax >= 0.04 THEN l_tax END AS high_tax FROM lineitem")
+def _(s):
+    tax = c("l_tax")
+    return sets.distinct_wide(
+        s.lineitem.select("l_returnflag", "l_linestatus", "l_suppkey", "l_discount", F.when(tax < 0.04, tax).alias("low_tax"), F.when(tax >= 0.04, tax).alias("high_tax"))
+    )
+
+
 @query("incremental_load", """
 WITH mark AS (SELECT max(ts) AS latest FROM events WHERE ts < TIMESTAMP '2024-01-20' AND event_id % 10 <> 0)
 SELECT event_id, user_id, CASE WHEN ts >= latest - INTERVAL 3 DAY THEN value + 1 ELSE value END AS value FROM events, mark

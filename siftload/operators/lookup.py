@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,6 +62,55 @@ def has_code(
     return df.join(codes, code == F.col("__code"), "left_semi")
 
 
+# Entries of a code map at most; a larger dictionary is joined.
+MOST_MAPPED = 2_000
+
+Attribute = tuple[str, int | None, int | None]
+
+
+class CodeMap:
+    """Several attributes of a code dictionary as small maps in the plan, so that all codes of a row become labels in one projection.
+
+    ``attributes`` are (attribute, entity, lang) as in ``dictionary_slice``. One job reads the entries wanted, up to
+    ``most``; where there are more, or a code is listed twice (a join would multiply rows), each label is joined as
+    ``decode`` does.
+    """
+
+    def __init__(self, dictionary: DataFrame, attributes: Sequence[Attribute], most: int = MOST_MAPPED):
+        self.dictionary = dictionary
+        wanted = list(dict.fromkeys(attributes))
+        hits = [F.when(self._hit(*a), F.lit(i)) for i, a in enumerate(wanted)]
+        rows = dictionary.select(F.explode(F.array_compact(F.array(*hits))).alias("at"), F.col("attributevalue").cast("int").alias("code"), F.col("value").alias("label"))
+        entries = rows.where("code is not null").limit(most + 1).collect()  # no more than that
+        self.labels: dict[Attribute, dict[int, str | None]] = {a: {} for a in wanted}
+        for r in entries:
+            self.labels[wanted[r["at"]]][r["code"]] = r["label"]
+        self.mapped = len(entries) <= most and len(entries) == sum(map(len, self.labels.values()))
+
+    @staticmethod
+    def _hit(attribute: str, entity: int | None, lang: int | None) -> Column:
+        hit = F.lower(F.col("attributename")) == attribute.lower()
+        if entity is not None:
+            hit = hit & (F.col("objecttypecode") == entity)
+        return hit if lang is None else hit & (F.col("langid") == lang)
+
+    def label(self, code: str, attribute: Attribute) -> Column:
+        """The label of a code; null for a null or unknown one."""
+        pairs = [F.lit(x) for entry in sorted(self.labels[attribute].items()) for x in entry]
+        return F.element_at(F.create_map(*pairs), F.col(code).cast("int")) if pairs else F.lit(None).cast("string")
+
+    def decode(self, df: DataFrame, labels: Mapping[str, tuple[str, Attribute]], how: str = "left") -> DataFrame:
+        """Adds a label per entry of ``labels``: new column to (code column, attribute). An inner decode drops rows with an unknown code."""
+        if not self.mapped:
+            for out, (code, (attribute, entity, lang)) in labels.items():
+                df = decode(df, self.dictionary, code, out, attribute=attribute, entity=entity, lang=lang, how=how)
+            return df
+        if how == "inner":
+            for code, attribute in labels.values():
+                df = df.where(F.col(code).isin(*self.labels[attribute]))
+        return df.withColumns({out: self.label(code, attribute) for out, (code, attribute) in labels.items()})
+
+
 def role(table: DataFrame, prefix: str, key: str, columns: Sequence[str]) -> DataFrame:
     """The key and a few columns of a table, renamed ``<prefix>_<column>`` for one role it plays."""
     return table.select(*[F.col(c).alias(f"{prefix}_{c}") for c in dict.fromkeys([key, *columns])])

@@ -22,6 +22,15 @@ def label(df: DataFrame, t: Tables, code: str, out: str, at: fv.Code, how: str =
     )
 
 
+def code_map(t: Tables, *codes: fv.Code) -> lookup.CodeMap:
+    return lookup.CodeMap(t.lookup("string_map"), [(x.attribute, x.entity, x.lang) for x in codes])
+
+
+def labels(df: DataFrame, words: lookup.CodeMap, how: str = "left", **wanted: tuple[str, fv.Code]) -> DataFrame:
+    """Adds the label of each code: new column = (code column, its list)."""
+    return words.decode(df, {out: (code, (x.attribute, x.entity, x.lang)) for out, (code, x) in wanted.items()}, how)
+
+
 def known(df: DataFrame, t: Tables, code: str, at: fv.Code) -> DataFrame:
     return lookup.has_code(df, t.lookup("string_map"), code, attribute=at.attribute, entity=at.entity, lang=at.lang)
 

@@ -4,9 +4,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftload.functions import codes, dates, numbers, text
-from siftload.operators import ranking
+from siftload.operators import lookup, ranking
 from siftload.plans import fixed_values as fv
-from siftload.plans.common import blank, c, label, named, user, without_test_customers
+from siftload.plans.common import blank, c, code_map, labels, named, user, without_test_customers
 from siftload.plans.params import Params
 from siftload.sources.staging import staged
 from siftload.sources.tables import Tables
@@ -34,6 +34,10 @@ TARGET = [
     "ADMINISTRACJA", "LOGIN_ADMINISTRACJA",
 ]
 LOGIN_LENGTH = 100
+CODES = (
+    fv.SEGMENT, fv.CONTRACT_STATUS, fv.CONTRACT_TYPE, fv.CONTRACT_RATE_TYPE, fv.ORDER_STATUS, fv.ORDER_OPERATION, fv.ORDER_PATH, fv.INITIATIVE,
+    fv.WORK_ORDER_DECISION, fv.ARCHIVE_STATUS,
+)
 
 
 def is_final_fix() -> Column:
@@ -113,16 +117,12 @@ def offer_label(prefix: str) -> Column:
 
 
 def both_offers_label(first: str, second: str) -> Column:
-    """Only the listed combinations have a label; the others stay empty."""
-    flags = [F.coalesce(c(f"{r}_{x}"), F.lit(False)) for x in ("offer", "map") for r in (first, second)]
-    cases = {
-        (True, False, False, False): fv.READY_OFFER,
-        (False, True, False, False): fv.READY_OFFER,
-        (False, False, False, True): fv.COMPETENCE_MAP,
-        (False, False, True, False): fv.COMPETENCE_MAP,
-        (True, True, True, True): fv.COMPETENCE_MAP,
-    }
-    return codes.presence_label(cases, flags)
+    """A single offer of the two calculations names the row, and so does a single map; all four together count as a map."""
+    offers, maps = (sum(F.coalesce(c(f"{r}_{x}"), F.lit(False)).cast("int") for r in (first, second)) for x in ("offer", "map"))
+    return codes.classify([
+        ((offers == 1) & (maps == 0), fv.READY_OFFER),
+        ((maps == 1) & (offers == 0) | (offers + maps == 4), fv.COMPETENCE_MAP),
+    ])
 
 
 def preferred_type() -> Column:
@@ -131,11 +131,11 @@ def preferred_type() -> Column:
     return F.coalesce(codes.decode_ladder(c("own_type"), fv.CALCULATION_TYPES), attached, F.lit(""))
 
 
-def latest_decisions(t: Tables) -> DataFrame:
+def latest_decisions(t: Tables, words: lookup.CodeMap) -> DataFrame:
     """Latest work order of the asking kind per order."""
     asked = t["work_order"].where(c("new_sokxordertype") == fv.WORK_ORDER_AU)
     latest = ranking.first_per_group(asked, ["elob_sokxorderworkorderid"], [c("createdon").desc(), c("elob_sokxnumber"), c("elob_workorder2id")])
-    latest = label(latest, t, "elob_sokxwodecision", "decision", fv.WORK_ORDER_DECISION)
+    latest = labels(latest, words, decision=("elob_sokxwodecision", fv.WORK_ORDER_DECISION))
     return latest.select(
         c("elob_sokxorderworkorderid").alias("decided_for"), c("elob_sokxnumber").alias("au_number"),
         c("elob_executiondate").alias("au_sent"), c("elob_decisiondate").alias("au_decided"), "decision",
@@ -179,7 +179,7 @@ def wanted_orders(t: Tables, wanted: DataFrame) -> DataFrame:
     )
 
 
-def orders(t: Tables, p: Params, priced: DataFrame, rows: DataFrame) -> DataFrame:
+def orders(t: Tables, p: Params, words: lookup.CodeMap, priced: DataFrame, rows: DataFrame) -> DataFrame:
     """The wanted orders (``rows``) with project, address, parameters, service kind and latest decision."""
     order_ids = rows.select("elob_sokxorder2id").distinct()
     parameters = staged(
@@ -187,9 +187,6 @@ def orders(t: Tables, p: Params, priced: DataFrame, rows: DataFrame) -> DataFram
         .join(order_ids, c("elob_sokxorder") == c("elob_sokxorder2id"), "left_semi")
         .select("elob_sokxorder", "elob_name", "elob_value")
     )
-    rows = label(rows, t, "order_statuscode", "order_status", fv.ORDER_STATUS)
-    rows = label(rows, t, "elob_operation", "operation", fv.ORDER_OPERATION)
-    rows = label(rows, t, "elob_path", "path", fv.ORDER_PATH)
     processes = t.lookup("product_process").select(c("elob_productprocessid").alias("elob_process"), c("elob_name").alias("process_name"))
     rows = rows.join(processes, "elob_process", "left")
     rows = user(rows, t, "order_owner", "seller", "fullname", "domainname", "elob_salespersonid")
@@ -201,7 +198,10 @@ def orders(t: Tables, p: Params, priced: DataFrame, rows: DataFrame) -> DataFram
         c("elob_coronavirus").alias("project_flag"),
     )
     rows = rows.join(projects, c("elob_project") == c("opportunityid"), "left")
-    rows = label(rows, t, "elob_initiative", "initiative", fv.INITIATIVE)
+    rows = labels(
+        rows, words, order_status=("order_statuscode", fv.ORDER_STATUS), operation=("elob_operation", fv.ORDER_OPERATION),
+        path=("elob_path", fv.ORDER_PATH), initiative=("elob_initiative", fv.INITIATIVE),
+    )
     rows = user(rows, t, "project_owner", "leader", "fullname", "domainname", "elob_salespersonid")
     rows = rows.join(final_fix_role(priced, "final"), c("opportunityid") == c("final_elob_project"), "left")
 
@@ -226,11 +226,12 @@ def orders(t: Tables, p: Params, priced: DataFrame, rows: DataFrame) -> DataFram
         .join(addresses(t), c("elob_location") == c("elob_addressid"), "left")
         .join(parameter(fv.CONSENT_NUMBER, "consent"), key == c("consent_of"), "left")
         .join(parameter(fv.SPECIAL_OFFER, "special"), key == c("special_of"), "left")
-        .join(latest_decisions(t), key == c("decided_for"), "left")
+        .join(latest_decisions(t, words), key == c("decided_for"), "left")
     )
 
 
 def build(t: Tables, p: Params) -> DataFrame:
+    words = code_map(t, *CODES)
     contracts = staged(t["contract"].where(
         (c("elob_categoryid") == p.fix_category)
         & dates.from_year(c("elob_revisiondate"), p.verified_from_year)
@@ -249,7 +250,6 @@ def build(t: Tables, p: Params) -> DataFrame:
     accounts = without_test_customers(
         t["account"].select("accountid", "elob_sowid", "elob_nip", "elob_businesssegment", c("ownerid").alias("account_owner")), t
     )
-    accounts = label(accounts, t, "elob_businesssegment", "segment", fv.SEGMENT)
     accounts = user(accounts, t, "account_owner", "keeper", "fullname", "domainname", "elob_salespersonid", how="inner")
 
     out = (
@@ -258,9 +258,10 @@ def build(t: Tables, p: Params) -> DataFrame:
         .join(first_active, c("contractid") == c("history_of"))
         .join(accounts, c("customerid") == c("accountid"))
     )
-    out = label(out, t, "contract_statuscode", "contract_status", fv.CONTRACT_STATUS)
-    out = label(out, t, "elob_contracttype", "contract_type", fv.CONTRACT_TYPE)
-    out = label(out, t, "elob_contractratetype", "contract_rate", fv.CONTRACT_RATE_TYPE)
+    out = labels(
+        out, words, segment=("elob_businesssegment", fv.SEGMENT), contract_status=("contract_statuscode", fv.CONTRACT_STATUS),
+        contract_type=("elob_contracttype", fv.CONTRACT_TYPE), contract_rate=("elob_contractratetype", fv.CONTRACT_RATE_TYPE),
+    )
     out = user(out, t, "contract_owner", "holder", "fullname", "domainname", "elob_salespersonid", how="inner")
 
     wanted = contracts.select("contractid")
@@ -281,14 +282,14 @@ def build(t: Tables, p: Params) -> DataFrame:
 
     helpers = t["contributor"].select(c("elob_contract").alias("helped"), "representativeid").distinct()
     helpers = user(helpers, t, "representativeid", "helper", "fullname", "domainname", "elob_salespersonid")
-    archive = label(t["contract_archive"], t, "elob_tigerstatus", "archive_status", fv.ARCHIVE_STATUS).select(
+    archive = labels(t["contract_archive"], words, archive_status=("elob_tigerstatus", fv.ARCHIVE_STATUS)).select(
         c("elob_contract").alias("archived"), "elob_archivingdate", "elob_barcode", "archive_status"
     ).distinct()
 
     key = c("contractid")
     out = (
         out.join(direct, key == c("direct_of"), "left")
-        .join(orders(t, p, priced, ordered), key == c("order_of"), "left")
+        .join(orders(t, p, words, priced, ordered), key == c("order_of"), "left")
         .join(helpers, key == c("helped"), "left")
         .join(archive, key == c("archived"), "left")
         .join(own, c("elob_plnumber") == c("own_activityid"), "left")

@@ -106,3 +106,49 @@ def test_text_keys_compare_as_at_the_source(frame):
     assert [(r["i"], r["f"]) for r in lookup.flag_keys(rows, "k", listed, "name", "f").orderBy("i").collect()] == [(1, True), (2, True), (3, True), (4, False), (5, False)]
     numbers = frame([(1,), (2,)], "i int")
     assert ids(lookup.exclude_keys(numbers, "i", frame([(1,)], "n int"), "n")) == [2]
+
+
+def dictionary(frame, *rows):
+    return frame(list(rows), "objecttypecode int, attributename string, langid int, attributevalue int, value string")
+
+
+def test_code_map_and_the_join_give_the_same(frame):
+    held = dictionary(frame, (1, "Kind", 1033, 1, "one"), (1, "kind", 1033, 2, None), (1, "kind", 1045, 1, "jeden"), (2, "kind", 1033, 3, "three"), (1, "kind", 1033, None, "no code"))
+    rows = frame([(1, 1), (2, 2), (3, 3), (None, 1), (9, None)], "a int, b int")
+    english, polish = ("KIND", 1, 1033), ("kind", 1, 1045)
+    for how in ("left", "inner"):
+        got = []
+        for most in (100, 1):
+            words = lookup.CodeMap(held, [english, polish], most)
+            assert words.mapped == (most == 100)
+            out = words.decode(rows, {"x": ("a", english), "y": ("b", polish)}, how)
+            got.append(sorted(map(tuple, out.collect()), key=str))
+            assert ("Join" in out._jdf.queryExecution().optimizedPlan().toString()) != words.mapped
+        assert got[0] == got[1] and len(got[0]) == (5 if how == "left" else 1)
+    twice = dictionary(frame, (1, "kind", 1033, 1, "one"), (1, "kind", 1033, 1, "uno"))
+    words = lookup.CodeMap(twice, [english])
+    assert not words.mapped and words.decode(rows, {"x": ("a", english)}).count() == 6
+    none = lookup.CodeMap(dictionary(frame), [english])
+    assert none.mapped and none.decode(rows, {"x": ("a", english)}).where("x is null").count() == 5
+
+
+def test_distinct_of_wide_rows(spark, frame):
+    names = ", ".join(f"c{i} string" for i in range(70))
+    row = lambda k: tuple("v" if i == k else None for i in range(70))
+    df = frame([row(k) for k in (0, 1, 1, 2, 69, None, None)], names)
+    assert sorted(map(str, sets.distinct_wide(df).collect())) == sorted(map(str, df.distinct().collect()))
+    odd = frame([(1.0, 0.0), (1.0, -0.0), (float("nan"), 1.0), (float("nan"), 1.0), (None, None)], "`a b` double, x double")
+    assert sets.distinct_wide(odd).count() == odd.distinct().count() == 3
+    assert sets.distinct_wide(odd.limit(0)).collect() == []
+    # Different rows whose hashes agree both stay.
+    import siftload.operators.sets as module
+
+    class Equal:
+        def __getattr__(self, name):
+            return (lambda *_: F.lit(7).cast("long")) if name == "xxhash64" else getattr(F, name)
+
+    real, module.F = module.F, Equal()
+    try:
+        assert sets.distinct_wide(df).count() == df.distinct().count() == 5
+    finally:
+        module.F = real
