@@ -13,6 +13,7 @@ from siftload.operators import eav, filters, lookup, ranking, sets
 from siftload.session import work_dir
 from siftload.sinks import incremental, merge
 from siftload.sinks.audit import RunAudit
+from siftload.sinks.derived import DerivedTarget
 from siftload.sinks.target import ParquetTarget
 from siftload.sources.tables import Tables
 
@@ -692,6 +693,37 @@ def _(s):
     return derived.read()
 
 
+@query("derived_counts", """
+WITH loaded AS (
+  SELECT o_custkey % 50 AS k, CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS status, o_orderdate FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01'
+  UNION ALL SELECT o_custkey % 50 + 25, o_orderpriority, o_orderdate FROM orders WHERE o_orderdate >= TIMESTAMP '1999-01-01' AND o_custkey % 3 = 0)
+SELECT k, status, count(*) AS n FROM loaded GROUP BY k, status""")
+def _(s):
+    """A window load changes the counts of the rows it takes away and brings, and the table equals the full distinct."""
+    rows = s.orders.select((c("o_custkey") % 50).alias("k"), F.when(c("o_orderstatus") != "P", c("o_orderstatus")).alias("status"), "o_orderdate")
+    derived = DerivedTarget(new_target(s), new_target(s), ["k", "status"])
+    derived.loaded.full_refresh(rows)
+    derived.rebuild()
+    new = s.orders.where((c("o_orderdate") >= dates.ntz("1999-01-01")) & (c("o_custkey") % 3 == 0))
+    new = new.select((c("o_custkey") % 50 + 25).alias("k"), c("o_orderpriority").alias("status"), "o_orderdate")
+    derived.replace_window(new, c("o_orderdate") >= dates.ntz("1999-01-01"))
+    return derived.counts().withColumnRenamed(merge.COUNT, "n")
+
+
+@query("merge_upsert_indexed", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 997 = 5 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS y FROM orders
+UNION ALL SELECT -1, 0, 1900""")
+def _(s):
+    """Few keys, found through sorted row groups and their Bloom filters."""
+    target = new_target(s, partition_by=["y"], key_index="o_orderkey", row_group_bytes=64 << 10)
+    rows = s.orders.select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("y"))
+    target.full_refresh(rows)
+    changed = rows.where("o_orderkey % 997 = 5").withColumn("o_totalprice", c("o_totalprice") + 1)
+    added = s.spark.range(1).select(F.lit(-1).cast("bigint").alias("o_orderkey"), F.lit(0.0).alias("o_totalprice"), F.lit(1900).alias("y"))
+    target.merge(changed.unionByName(added), ["o_orderkey"], update=["o_totalprice"], insert_only=["y"])
+    return target.read()
+
+
 @query("sink_project_rename", "SELECT p_partkey AS part_id, p_name AS topic, p_size AS size FROM part")
 def _(s):
     return merge.project_to_target(s.part, ["part_id", "topic", "size"], {"part_id": "p_partkey", "topic": "p_name", "size": "p_size"})

@@ -33,6 +33,12 @@ class Plan:
     derived: str = ""
     # Text columns of the target that another plan sets.
     unset: Sequence[str] = ()
+    # Plans whose loads this one builds upon, besides the one whose target it sets columns of.
+    after: Sequence[str] = ()
+
+    @property
+    def needed_first(self) -> Sequence[str]:
+        return [*self.after, *([self.target] if self.target and self.target != self.key else [])]
 
     @property
     def module(self) -> ModuleType:
@@ -119,6 +125,38 @@ def run(plan: Plan, tables: Tables, params: Params, targets: Mapping[str, Target
         return audit.run(plan.key, lambda: plan.build(tables, params), lambda df: plan.load(df, targets, params))
 
 
+DONE, SKIPPED, FAILED, NOT_STARTED = "done", "skipped", "failed", "not started"
+
+
+def run_all(
+    plans: Mapping[str, Plan], tables: Tables, params: Params, targets: Mapping[str, Target], audit: RunAudit
+) -> dict[str, str]:
+    """Loads plans in order and says what became of each.
+
+    Plans that the audit's run has finished before are skipped, so a run that stopped is taken up where it was. A plan that
+    fails is audited and does not stop the others, but those that build upon it, or upon one not started, are not started.
+    A plan named by another and not among ``plans`` counts as loaded. Missing params of any plan stop the run before its first load.
+    """
+    finished = audit.finished()
+    for key, plan in plans.items():
+        if key not in finished:
+            plan.check(params)
+    became: dict[str, str] = {}
+    for key, plan in plans.items():
+        if key in finished:
+            became[key] = SKIPPED
+        elif any(became.get(k, DONE if k not in plans else NOT_STARTED) in (FAILED, NOT_STARTED) for k in plan.needed_first):
+            became[key] = NOT_STARTED
+            audit.message(key, "not started: a plan it builds upon was not loaded")
+        else:
+            try:
+                run(plan, tables, params, targets, audit)
+                became[key] = DONE
+            except Exception:  # audited by run; what does not depend on it goes on
+                became[key] = FAILED
+    return became
+
+
 def run_increment(
     plan: Plan, tables: Tables, params: Params, targets: Mapping[str, Target], audit: RunAudit, overlap: timedelta = timedelta(days=7)
 ) -> int:

@@ -8,7 +8,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-AUDIT_SCHEMA = "name string, started_at timestamp_ntz, ended_at timestamp_ntz, rows bigint, seconds double, message string, error string"
+AUDIT_SCHEMA = "name string, started_at timestamp_ntz, ended_at timestamp_ntz, rows bigint, seconds double, message string, error string, run string"
 
 
 def _now() -> datetime:
@@ -16,14 +16,18 @@ def _now() -> datetime:
 
 
 class RunAudit:
-    """Appends a row per run to a Parquet folder. A failed run is recorded and then raised again."""
+    """Appends a row per load to a Parquet folder. A failed load is recorded and then raised again.
 
-    def __init__(self, spark: SparkSession, path: str):
+    ``run`` names the run that the loads belong to, so that it can be taken up again (``finished``).
+    """
+
+    def __init__(self, spark: SparkSession, path: str, run: str | None = None):
         self.spark = spark
         self.path = path
+        self.run_id = run
 
     def _append(self, *row) -> None:
-        self.spark.createDataFrame([row], AUDIT_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+        self.spark.createDataFrame([(*row, self.run_id)], AUDIT_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
 
     def message(self, name: str, text: str) -> None:
         now = _now()
@@ -46,3 +50,13 @@ class RunAudit:
 
     def read(self) -> DataFrame:
         return self.spark.read.schema(AUDIT_SCHEMA).parquet(self.path)
+
+    def finished(self) -> set[str]:
+        """Names of the loads that this run has finished, in this process or before it stopped."""
+        if self.run_id is None:
+            return set()
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        if not folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder):
+            return set()
+        done = self.read().where((F.col("run") == self.run_id) & F.col("error").isNull() & F.col("rows").isNotNull())
+        return {r["name"] for r in done.select("name").distinct().collect()}  # one per plan

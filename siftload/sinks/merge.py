@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftload.sources.tables import MAX_BROADCAST_ROWS
+from siftload.sources.tables import MAX_BROADCAST_ROWS, fits_broadcast
 
 
 def project_to_target(df: DataFrame, columns: Sequence[str], renames: Mapping[str, str] | None = None) -> DataFrame:
@@ -60,8 +60,8 @@ def merge_upsert(
     target columns keep their value and start as null. A repeated source key counts as applied in ``order``.
     A source row with a null key matches nothing and is inserted.
 
-    Rows without a key go around the join on either side. With a counted ``source_rows`` within the broadcast bound the target is not shuffled at all; otherwise
-    both sides are shuffled once by key.
+    Rows without a key go around the join on either side. With a counted ``source_rows`` within the broadcast bound, in rows
+    and in bytes, the target is not shuffled at all; otherwise both sides are shuffled once by key.
     """
     constants = constants or {}
     if update is None:
@@ -108,7 +108,7 @@ def merge_upsert(
             value = F.col(c)
         return value.cast(types[c]).alias(c)
 
-    if source_rows is not None and source_rows <= max_broadcast_rows:
+    if source_rows is not None and source_rows <= max_broadcast_rows and fits_broadcast(named, max_broadcast_rows):
         updated = target.join(F.broadcast(src), same, "left").select(*[merged(c, F.lit(True)) for c in target.columns])
         known = target.select(*keys).join(F.broadcast(src), same, "left_semi").distinct()
         fresh = once.join(F.broadcast(known), list(keys), "left_anti")
@@ -122,7 +122,10 @@ def merge_upsert(
 def keyed_update(
     target: DataFrame, source: DataFrame, keys: Sequence[str], update: Sequence[str], order: Sequence[str] = ()
 ) -> DataFrame:
-    """Sets ``update`` columns on all target rows with a source key, also to null; inserts nothing."""
+    """Sets ``update`` columns on all target rows with a source key, also to null; inserts nothing.
+
+    Target rows without a key match nothing and go around the join, where they would all meet in one task.
+    """
     types = dict((f.name, f.dataType) for f in target.schema.fields)
     once = last_per_key(source.dropna(subset=list(keys)), keys, list(update), [], order)
     src = once.select(
@@ -133,8 +136,11 @@ def keyed_update(
     same = F.lit(True)
     for i, k in enumerate(keys):
         same = same & (F.col(k) == F.col(f"__k{i}"))
-    joined = target.join(src, same, "left")
-    return joined.select(
+    null_key = F.lit(False)
+    for k in keys:
+        null_key = null_key | F.col(k).isNull()
+    joined = target.where(~null_key).join(src, same, "left")
+    updated = joined.select(
         *[
             F.when(F.col("__in_source").isNotNull(), F.col(f"__v_{c}")).otherwise(F.col(c)).cast(types[c]).alias(c)
             if c in update
@@ -142,6 +148,7 @@ def keyed_update(
             for c in target.columns
         ]
     )
+    return updated.unionByName(target.where(null_key))
 
 
 def replace_window(target: DataFrame, new_rows: DataFrame, window: Column) -> DataFrame:
@@ -152,3 +159,34 @@ def replace_window(target: DataFrame, new_rows: DataFrame, window: Column) -> Da
 def derived_distinct(target: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Content of a table derived from the loaded one: the distinct rows of some of its columns."""
     return target.select(*columns).distinct()
+
+
+COUNT = "__rows"
+
+
+def counted_distinct(target: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The distinct rows of some columns, each with how many rows of the loaded table stand behind it."""
+    return target.groupBy(*columns).agg(F.count(F.lit(1)).alias(COUNT))
+
+
+def derived_change(derived: DataFrame, removed: DataFrame, added: DataFrame, columns: Sequence[str], max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Next content of a counted derived table after rows left the loaded table and others came.
+
+    Only the distinct rows among those are changed: counts go up and down, a row with none left goes, a new one comes. The
+    changes are added up before they are joined, null-safe, so a change that fits a broadcast doesn't shuffle the table.
+    """
+    moves = removed.select(*columns, F.lit(-1).alias("__by")).unionByName(added.select(*columns, F.lit(1).alias("__by")))
+    changes = moves.groupBy(*columns).agg(F.sum("__by").alias("__by")).where("__by <> 0")
+    changes = changes.select(*[F.col(c).alias(f"__d{i}") for i, c in enumerate(columns)], "__by")
+    small = F.broadcast(changes) if fits_broadcast(changes, max_broadcast_rows) else changes
+    same = F.lit(True)
+    for i, c in enumerate(columns):
+        same = same & F.col(c).eqNullSafe(F.col(f"__d{i}"))
+    left = F.col(COUNT) + F.coalesce(F.col("__by"), F.lit(0))
+    short = F.raise_error(F.lit("more rows were removed than the derived table counts")).cast("long")
+    changed = derived.join(small, same, "left").select(*columns, F.when(left < 0, short).otherwise(left).alias(COUNT)).where(F.col(COUNT) > 0)
+    known = derived.join(small, same, "left_semi").select(*columns)
+    # What the table doesn't know yet must come in; a removal of it would be an error that the count below shows.
+    fresh = small.join(F.broadcast(known) if small is not changes else known, same, "left_anti")
+    fresh = fresh.select(*[F.col(f"__d{i}").alias(c) for i, c in enumerate(columns)], F.when(F.col("__by") < 0, short).otherwise(F.col("__by")).alias(COUNT))
+    return changed.unionByName(fresh)

@@ -18,6 +18,8 @@ JDBC_BATCH = 15_000
 # The folders below a version in which a target with load ids keeps each load's rows, and the name of all rows before them.
 LOAD = "__load"
 BASE = "base"
+# Keys that a search pushes to the scan as a list; more of them are joined.
+MOST_PUSHED = 1000
 # Marks to note with a load; one that is None stays as it was.
 Marks = Mapping[str, str | None] | None
 
@@ -34,16 +36,22 @@ class ParquetTarget:
     that folder, so a load repeated after a stop at any step is one copy. All other loads fold the appended rows into one
     content and note the ids it holds; an append under one of those is left out.
 
+    ``key_index`` names a key column that upserts look for: files are sorted by it and carry a Bloom filter of it per row
+    group (``row_group_bytes``). The search for the partitions that a small upsert touches then sends the keys to the scan,
+    which skips the row groups that can't hold one.
+
     ``marks`` are texts noted with a load: how far it has read its source. They count from the same moment as the load
     does, or, where partitions are rewritten, right after it.
     """
 
     def __init__(
-        self, spark: SparkSession, path: str, schema: StructType | str | None = None, partition_by: Sequence[str] = (), load_ids: bool = False
-    ):
+        self, spark: SparkSession, path: str, schema: StructType | str | None = None, partition_by: Sequence[str] = (), load_ids: bool = False,
+        key_index: str | None = None, row_group_bytes: int = 32 << 20,
+    ):
         if load_ids and partition_by:
             raise ValueError("a target keeps its rows by load id or by partition columns, not both")
         self.load_ids = load_ids
+        self.key_index, self.row_group_bytes = key_index, row_group_bytes
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema
@@ -96,6 +104,9 @@ class ParquetTarget:
         return like.limit(0).withColumns({name: F.lit(value) for name, value in (constants or {}).items()})
 
     def _write(self, df: DataFrame, folder: str, mode: str, **options: str) -> None:
+        if self.key_index:
+            df = df.sortWithinPartitions(*self.partition_by, self.key_index)
+            options |= {f"parquet.bloom.filter.enabled#{self.key_index}": "true", "parquet.bloom.filter.adaptive.enabled": "true", "parquet.block.size": str(self.row_group_bytes)}
         writer = df.write.mode(mode).options(**options)
         if self.load_ids:
             folder = f"{folder}/{LOAD}={BASE}"
@@ -183,10 +194,9 @@ class ParquetTarget:
         if update is None:
             update = [c for c in staged_rows.columns if c not in {*keys, *how.get("insert_only", ())}]
         self._refuse_moves(update)
-        source_keys = checked_broadcast(staged_rows.select(*keys).distinct())
         # A column the source lacks starts as null, and so does the partition of the rows it inserts.
         given = [F.col(c) if c in staged_rows.columns else F.lit(None).alias(c) for c in self.partition_by]
-        touched = self._places(current.join(source_keys, list(keys), "left_semi"), staged_rows.select(*given))
+        touched = self._places(self.rows_with_keys(staged_rows, keys), staged_rows.select(*given))
         self._rewrite(current, touched, lambda affected: merge.merge_upsert(affected, staged_rows, keys, source_rows=rows, **how))
 
     def update(self, source: DataFrame, keys: Sequence[str], update: Sequence[str], order: Sequence[str] = ()) -> int:
@@ -197,11 +207,19 @@ class ParquetTarget:
             self._swap_in(merge.keyed_update(current, staged_rows, keys, update, order))
             return rows
         self._refuse_moves(update)
-        source_keys = checked_broadcast(staged_rows.select(*keys).distinct())
-        touched = self._places(current.join(source_keys, list(keys), "left_semi"))
+        touched = self._places(self.rows_with_keys(staged_rows, keys))
         self._rewrite(current, touched, lambda affected: merge.keyed_update(affected, staged_rows, keys, update, order))
         return rows
 
+    def rows_with_keys(self, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """The target's rows that have a key of ``source``. Few keys of the indexed column are pushed to the scan."""
+        wanted = source.select(*keys).distinct()
+        if list(keys) == [self.key_index]:
+            few = [r[0] for r in wanted.where(F.col(self.key_index).isNotNull()).limit(MOST_PUSHED + 1).collect()]
+            if len(few) <= MOST_PUSHED:
+                return self.read().where(F.col(self.key_index).isin(*few) if few else F.lit(False))
+        return self.read().join(checked_broadcast(wanted), list(keys), "left_semi")
+
     def _refuse_moves(self, update: Sequence[str]) -> None:
         moving = sorted(set(update) & set(self.partition_by))
         if moving:
