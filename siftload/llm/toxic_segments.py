@@ -17,7 +17,7 @@ from siftload.sources.staging import staged
 
 # Labelled texts the model is learned from at most: those with the smallest hashes.
 MOST_LABELLED = 20_000
-# Lexicon entries at most: the most significant ones.
+# Lexicon entries at most, the most significant ones; a parameter, and the model says how many are left out.
 MOST_ENTRIES = 50_000
 # Rows with this remainder of crc32(doc_id) are held out and never learned from.
 FOLDS, HELD_OUT = 4, 2
@@ -45,10 +45,12 @@ class Model:
     scale: float  # K of the extreme-value law
     intercept: float
     slope: float
+    left_out: int = 0  # significant tokens beyond the bound on entries
 
 
 def held_out() -> F.Column:
-    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS == HELD_OUT
+    """Whether a row is never learned from; a null id, which has no label either, is not held out."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS == HELD_OUT, F.lit(False))
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -120,11 +122,12 @@ def learning_rows(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
     return rows.groupBy("text").agg(F.max("toxic").alias("toxic"))
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Model:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED, most_entries: int = MOST_ENTRIES) -> Model:
     """Learns from at most ``most`` labelled texts that are not held out; labels and texts are all it reads.
 
-    Token counts are added up by Spark; only significant tokens (at most MOST_ENTRIES) and one row per sample document
-    come to the driver. Without labels of both kinds nothing is toxic.
+    Token counts are added up by Spark; only significant tokens and one row per sample document come to the driver. Of the
+    tokens the ``most_entries`` with the largest z are kept; ``left_out`` of the model counts the others. Without labels
+    of both kinds nothing is toxic.
     """
     rows = staged(learning_rows(docs, labels, most))
     sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -138,10 +141,12 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED)
     each = words.select("toxic", F.explode(F.array_distinct(F.concat(whole, *stems))).alias("token"))
     counts = each.groupBy("token").agg(F.count_if(F.col("toxic") == 1).alias("toxic"), F.count_if(F.col("toxic") == 0).alias("clean"))
     significant = log_odds(counts.where("toxic >= 3"), toxic_docs, clean_docs).where((F.col("z") >= LEAST_Z) & (F.col("delta") >= LEAST_DELTA))
-    kept = significant.orderBy(F.desc("z"), "token").limit(MOST_ENTRIES).collect()
+    significant = staged(significant)
+    kept = significant.orderBy(F.desc("z"), "token").limit(most_entries).collect()
+    left_out = significant.count() - len(kept)
     scores = {r["token"]: min(MOST_SCORE, r["delta"]) for r in kept}
     if not scores:
-        return Model({}, 1.0, 1.0, -20.0, 0.0)
+        return Model({}, 1.0, 1.0, -20.0, 0.0, left_out)
 
     def peak(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = TokenScores(scores)
@@ -172,7 +177,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED)
     scale = reached * math.exp(min(600.0, decay * middling)) / float(n[clean].sum())
     x = evidence(peaks, n, decay, scale)
     intercept, slope = logistic(x, y)
-    return Model(scores, decay, scale, intercept, slope)
+    return Model(scores, decay, scale, intercept, slope, left_out)
 
 
 def decay_rate(share: float, size: float) -> float:

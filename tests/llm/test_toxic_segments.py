@@ -82,3 +82,14 @@ def test_held_out_accuracy(spark):
     hit = sum(r["toxic"] == 1 and r["toxicity"] >= 0.3 for r in held)
     called = sum(r["toxicity"] >= 0.3 for r in held)
     assert hit / called > 0.9 and hit / sum(r["toxic"] for r in held) > 0.8
+
+
+def test_entries_left_out_are_counted_and_null_ids_are_not_held_out(spark):
+    importable(spark)
+    rows = [(i, f"plain good words here number {i}") for i in range(120)] + [(200 + i, f"you vilefoo and vilebar words number {i}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "1 AS quality", "int(doc_id >= 200) AS toxic")
+    whole, cut = toxic_segments.fit_toxicity(docs, labels), toxic_segments.fit_toxicity(docs, labels, most_entries=3)
+    assert whole.left_out == 0 and len(cut.scores) == 3 and cut.left_out == len(whole.scores) - 3 > 0
+    held = spark.createDataFrame([(None,), (1,)], "doc_id long").select(toxic_segments.held_out().alias("h")).collect()
+    assert held[0]["h"] is False and held[1]["h"] == (zlib.crc32(b"1") % 4 == 2)
