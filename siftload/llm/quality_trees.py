@@ -158,21 +158,29 @@ def fit_trees(
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int) -> DataFrame:
-    """text and y of at most ``most`` labelled documents, those with the smallest hashes of their ids."""
+    """text and y of the ``most`` labelled texts with the smallest hashes; equal texts count once, as good if any of them is.
+
+    The bound is on texts, so it also holds where a labelled id stands in very many rows, and neither the label nor the
+    features have a say in it. Texts are read only once they are chosen. A null text counts as an empty one.
+    """
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).alias("y"))
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "y")
+    text = F.coalesce("text", F.lit(""))
+    hashed = docs.select("doc_id", F.xxhash64(text).alias("hash"))
+    chosen = hashed.join(known, "doc_id").groupBy("hash").agg(F.max("y").alias("y")).orderBy("hash").limit(most)
+    rows = docs.select(text.alias("text"), F.xxhash64(text).alias("hash")).join(F.broadcast(chosen), "hash")
+    return rows.groupBy("text").agg(F.max("y").alias("y"))
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Trees:
-    """Trees for ``labels.quality``, from at most ``most`` labelled rows."""
+    """Trees for ``labels.quality``, from at most ``most`` labelled texts."""
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [np.array(statistics(t)[1]).tobytes() for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(rows, pa.binary())], ["y", "x"])
 
-    rows = labelled_sample(docs, labels, "quality", most).mapInArrow(features, "y int, x binary").orderBy("x", "y").limit(most).collect()
+    rows = labelled_sample(docs, labels, "quality", most).mapInArrow(features, "y int, x binary").collect()  # no more than that
+    rows.sort(key=lambda r: (bytes(r["x"]), r["y"]))
     x = np.array([np.frombuffer(r["x"]) for r in rows]).reshape(len(rows), len(FEATURES))
     return fit_trees(x, np.array([r["y"] for r in rows], float), list(FEATURES.values()))
 

@@ -67,3 +67,13 @@ def test_constraints_hold():
             assert (sign * np.diff(trees.probability(line)) >= -1e-12).all()
     free = quality_trees.fit_trees(x, y, [0, 0, 0], trees=30)
     assert ((free.probability(x) > 0.5) == y).mean() > 0.85
+
+
+def test_the_bound_ignores_label_and_features(spark):
+    """One labelled id with very many texts: the cut takes texts by hash, so both labels keep their shares."""
+    rows = [(3, "good " * (i % 90 + 5) + str(i)) for i in range(600)] + [(1000 + i, "#" * (i + 1)) for i in range(600)] + [(1, None), (1, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = docs.select("doc_id").distinct().selectExpr("doc_id", "int(doc_id < 1000) AS quality", "0 AS toxic")
+    sample = quality_trees.labelled_sample(docs, labels, "quality", 200).collect()
+    assert len(sample) == 200 and 60 <= sum(r["y"] for r in sample) <= 140
+    assert len({r["text"] for r in quality_trees.labelled_sample(docs, labels, "quality", 5000).collect()}) == 1201
