@@ -491,6 +491,9 @@ def jaccard_components(docs: DataFrame, words_per_shingle: int = 4, percent: int
     Equal sets are one node from the start, so copies are never expanded. All limits bound memory only: tables of fixed
     size order the tokens and preselect rows, and long token lists are cut into blocks that are all compared.
     """
+    if percent < 50:
+        # Linked sets may then differ more than twofold in size, and their bitmaps more than twofold in width.
+        raise ValueError("bitmaps keep sets apart only from a similarity of 50 percent on")
     rows, counts = read_sets(docs, words_per_shingle)
     sets = rows.where("n > 0").groupBy("set").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
     tiles = staged(tiles_of(prefix_tokens(docs, counts, words_per_shingle, percent), percent))

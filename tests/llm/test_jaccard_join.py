@@ -116,3 +116,9 @@ def test_components_of_a_long_chain(spark):
     links = [(i, i + 1) for i in range(200)] + [(1000, 1001), (1001, 1002), (1000, 1002)]
     got = {r["node"]: r["root"] for r in jaccard_join.components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(201)}, 1000: 1000, 1001: 1000, 1002: 1000}
+
+
+def test_similarities_that_bitmaps_cannot_bound_are_refused(spark):
+    docs = spark.createDataFrame([(1, "a b c d e")], "doc_id long, text string")
+    with pytest.raises(ValueError):
+        jaccard_join.jaccard_components(docs, 4, 49)
