@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from checks.base import Star, query
 from siftload.functions import codes, dates, numbers, text
-from siftload.operators import eav, filters, lookup, ranking, sets
+from siftload.operators import eav, filters, lookup, ranking, rules, sets
 from siftload.session import work_dir
 from siftload.sinks import incremental, merge
 from siftload.sinks.audit import RunAudit
@@ -115,7 +115,7 @@ SELECT {LINE_SQL}, CASE
 FROM lineitem JOIN orders ON o_orderkey = l_orderkey""")
 def _(s):
     done, open_ = c("o_orderstatus") == "F", ~c("o_orderstatus").isin("F", "P")
-    rules = [
+    listed = [
         (done & (c("l_returnflag") == "R"), "done - returned"),
         (done & (c("l_linestatus") == "F"), "done"),
         (done, "done - open line"),
@@ -125,7 +125,7 @@ def _(s):
         (c("o_orderstatus") == "P", "partial - other"),
         (c("l_quantity") > 10, "large"),
     ]
-    return s.lineitem.join(s.orders, c("o_orderkey") == c("l_orderkey")).select(*LINE_KEYS, codes.classify(rules).alias("progress"))
+    return s.lineitem.join(s.orders, c("o_orderkey") == c("l_orderkey")).select(*LINE_KEYS, codes.classify(listed).alias("progress"))
 
 
 @query("rule_classify_barriers", f"""
@@ -134,12 +134,43 @@ SELECT {LINE_SQL}, CASE WHEN l_returnflag = 'R' AND l_linestatus = 'O' AND (l_qu
 FROM lineitem""")
 def _(s):
     returned = c("l_returnflag") == "R"
-    rules = [
+    listed = [
         ((returned & (c("l_linestatus") == "O") & (c("l_quantity") < 5) & (c("l_discount") < 0.03)) | (c("l_tax") > 0.07), "Barrier - mixed"),
         (~c("l_returnflag").isin("A", "N") & (c("l_discount") > 0.05), "Barrier - discount"),
         ((c("l_quantity") > 45) | ((c("l_linestatus") == "F") & (c("l_tax") == 0)), "Barrier - other"),
     ]
-    return s.lineitem.select(*LINE_KEYS, codes.classify(rules).alias("barrier"))
+    return s.lineitem.select(*LINE_KEYS, codes.classify(listed).alias("barrier"))
+
+
+PROGRESS_FACTS = ("done", "partial", "returned", "kept", "line_open", "large", "cheap", "urgent")
+PROGRESS_RULES = [
+    ("done - returned", {"done": True, "returned": True}),
+    ("done", {"done": True, "line_open": False}),
+    ("done - open line", {"done": True}),
+    *rules.any_of("special", {}, {"cheap": True}, {"large": False, "urgent": True}),
+    *rules.any_of("in progress", {"done": False, "partial": False, "line_open": True}, {"kept": True}, {"large": True}),
+    ("partial", {"partial": True, "kept": True}),
+    ("partial - other", {"partial": True}),
+    ("large", {"large": True}),
+]
+
+
+@query("rule_classify_table", f"""
+SELECT {LINE_SQL}, CASE
+ WHEN o_orderstatus = 'F' AND l_returnflag = 'R' THEN 'done - returned' WHEN o_orderstatus = 'F' AND l_linestatus <> 'O' THEN 'done' WHEN o_orderstatus = 'F' THEN 'done - open line'
+ WHEN l_discount > 0.08 OR l_quantity <= 40 AND o_orderpriority = '1-URGENT' THEN 'special'
+ WHEN o_orderstatus NOT IN ('F', 'P') AND l_linestatus = 'O' AND (l_returnflag = 'N' OR l_quantity > 40) THEN 'in progress'
+ WHEN o_orderstatus = 'P' AND l_returnflag = 'N' THEN 'partial' WHEN o_orderstatus = 'P' THEN 'partial - other' WHEN l_quantity > 40 THEN 'large' ELSE '' END AS progress
+FROM lineitem JOIN orders ON o_orderkey = l_orderkey""")
+def _(s):
+    """The rules are rows (position, mask, label), written out and read again."""
+    facts = {
+        "done": c("o_orderstatus") == "F", "partial": c("o_orderstatus") == "P", "returned": c("l_returnflag") == "R", "kept": c("l_returnflag") == "N",
+        "line_open": c("l_linestatus") == "O", "large": c("l_quantity") > 40, "cheap": c("l_discount") > 0.08, "urgent": c("o_orderpriority") == "1-URGENT",
+    }
+    stored = rules.RuleTable.of_rows(PROGRESS_FACTS, rules.RuleTable(PROGRESS_FACTS, PROGRESS_RULES).rows())
+    lines = s.lineitem.join(s.orders, c("o_orderkey") == c("l_orderkey"))
+    return stored.classify(lines, facts, "progress").select(*LINE_KEYS, "progress")
 
 
 @query("concat_name", "SELECT n_nationkey, n_name || ' ' || r_name AS full_name FROM nation LEFT JOIN region ON r_regionkey = n_regionkey AND r_name <> 'ASIA'")
