@@ -1,5 +1,7 @@
 """Every registered query against DuckDB on the smallest tables."""
 
+import threading
+
 import pytest
 
 import __spark_entry__ as entry
@@ -40,6 +42,17 @@ def test_query(spark, con, larger_con, key):
     assert problem is None and rows > 0
 
 
+@pytest.mark.parametrize("key", sorted(base.ORACLE))
+def test_sql_ends_under_a_row_limit(larger_con, key):
+    """Some joins in DuckDB never end when a limit is put right around them."""
+    stop = threading.Timer(20, larger_con.interrupt)
+    stop.start()
+    try:
+        assert larger_con.execute(f"SELECT * FROM ({base.ORACLE[key]}) LIMIT 10").fetchall()
+    finally:
+        stop.cancel()
+
+
 def test_every_label_of_the_order_rules_occurs(larger_con):
     def values(key, column):
         return {r[0] for r in larger_con.execute(f"SELECT DISTINCT {column} FROM ({base.ORACLE[key]})").fetchall()}
