@@ -15,6 +15,8 @@ from siftload.sinks import incremental, merge
 from siftload.sinks.audit import RunAudit
 from siftload.sinks.derived import DerivedTarget
 from siftload.sinks.target import ParquetTarget
+from siftload.sources.owned import owned_rows
+from siftload.sources.staging import staged
 from siftload.sources.tables import Tables
 
 c = F.col
@@ -422,6 +424,15 @@ def _(s):
     return eav.join_by_name(asked, s.conversations, "conv_id", "conv_id", c("role").like("assist%"), "text", "answered")
 
 
+@query("join_by_owner", """
+SELECT event_id, user_id, event_type, value FROM events WHERE user_id IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING') OR user_id % 10 = 3""")
+def _(s):
+    wanted = s.customer.where(c("c_mktsegment") == "BUILDING").select(c("c_custkey").alias("id")).unionByName(
+        s.events.where(c("user_id") % 10 == 3).select(c("user_id").alias("id")))
+    with owned_rows(s.events.select("event_id", "user_id", "event_type", "value"), "user_id", rows_per_bucket=500) as events:
+        return staged(events.of(wanted, "id"))
+
+
 NAMED_EVENTS = "(SELECT user_id, event_type || '_x_' || (event_id % 97) AS name, value FROM events)"
 
 

@@ -16,6 +16,7 @@ from siftload.session import work_area
 from siftload.sinks.audit import RunAudit
 from siftload.sinks.incremental import rows_since, taken
 from siftload.sinks.remote import Target
+from siftload.sources.owned import all_owned
 from siftload.sources.tables import Tables
 
 FULL_REFRESH, REPLACE_WINDOW, UPSERT, KEYED_UPDATE = "full_refresh", "replace_window", "upsert", "keyed_update"
@@ -57,6 +58,11 @@ class Plan:
         """Params without which the extract would be empty or incomplete."""
         return getattr(self.module, "NEEDS", ())
 
+    @property
+    def by_owner(self) -> Sequence[str]:
+        """Attribute tables that the plan asks for the rows of some owners."""
+        return getattr(self.module, "BY_OWNER", ())
+
     def check(self, params: Params) -> None:
         missing = [name for name in self.needs if not getattr(params, name)]
         if missing:
@@ -125,6 +131,9 @@ def run(plan: Plan, tables: Tables, params: Params, targets: Mapping[str, Target
         return audit.run(plan.key, lambda: plan.build(tables, params), lambda df: plan.load(df, targets, params))
 
 
+# Attribute tables that several plans ask for the rows of some owners.
+OWNERS = {"pl_parameter": "elob_pl_resultid"}
+
 DONE, SKIPPED, FAILED, NOT_STARTED = "done", "skipped", "failed", "not started"
 
 
@@ -136,11 +145,18 @@ def run_all(
     Plans that the audit's run has finished before are skipped, so a run that stopped is taken up where it was. A plan that
     fails is audited and does not stop the others, but those that build upon it, or upon one not started, are not started.
     A plan named by another and not among ``plans`` counts as loaded. Missing params of any plan stop the run before its first load.
+    An attribute table of ``OWNERS`` that two or more of the plans still to come read is laid out by owner first.
     """
     finished = audit.finished()
-    for key, plan in plans.items():
-        if key not in finished:
-            plan.check(params)
+    ahead = [plan for key, plan in plans.items() if key not in finished]
+    for plan in ahead:
+        plan.check(params)
+    shared = {name: (tables[name], owner) for name, owner in OWNERS.items() if sum(name in plan.by_owner for plan in ahead) > 1}
+    with work_area(audit.spark), all_owned(shared) as owned:
+        return _run_each(plans, tables.with_owned(owned), params, targets, audit, finished)
+
+
+def _run_each(plans, tables, params, targets, audit, finished) -> dict[str, str]:
     became: dict[str, str] = {}
     for key, plan in plans.items():
         if key in finished:

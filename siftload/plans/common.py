@@ -53,9 +53,9 @@ def named(df: DataFrame, name: str, *patterns: str, like: bool = False) -> DataF
     return df.where(hit)
 
 
-def calculation_attributes(t: Tables, name: str, out: str, like: bool = False) -> DataFrame:
+def calculation_attributes(attributes: DataFrame, name: str, out: str, like: bool = False) -> DataFrame:
     """(calculation result, value) of the attributes with one name."""
-    return named(t["pl_parameter"], "elob_name", name, like=like).select(
+    return named(attributes, "elob_name", name, like=like).select(
         c("elob_pl_resultid").alias(f"{out}_of"), c("elob_parametervalue").alias(out)
     )
 

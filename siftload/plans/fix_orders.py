@@ -18,6 +18,7 @@ SOURCES = (
     "activity_pointer", "work_order",
 )
 NEEDS = ("fix_category", "service_kind_parameter")
+BY_OWNER = ("pl_parameter",)
 TARGET = [
     "IDSOW_KLIENTA", "NIP_KLIENTA", "SEGMENT_KLIENTA", "WLASCICIEL_KLIENTA", "LOGIN_WLASCICIELA_KLIENTA", "KOD_BSCS", "NUMER_UMOWY",
     "WLASCICIEL_UMOWY", "LOGIN_WLASCICIELA_UM", "KOD_BSCS_WL_UM", "STATUS_UMOWY", "TYP_UMOWY", "KATEGORIA_UMOWY", "PODKATEGORIA_UMOWY",
@@ -74,8 +75,7 @@ def calculations(t: Tables, chosen: DataFrame) -> DataFrame:
     sold = t["pl_sales_result"].select(c("elob_pandl_id").alias("sold_id")).join(ids, c("sold_id") == c("elob_pandl_id"), "left_semi").distinct()
     names = (fv.READY_OFFER_PARAMETER, fv.COMPETENCE_PARAMETER_PLAIN, fv.COMMISSION_MARGIN)
     attributes = staged(
-        named(t["pl_parameter"], "elob_name", *names)
-        .join(ids, c("elob_pl_resultid") == c("elob_pandl_id"), "left_semi")
+        named(t.rows_of("pl_parameter", "elob_pl_resultid", ids, "elob_pandl_id"), "elob_name", *names)
         .select("elob_pl_resultid", F.lower("elob_name").alias("attribute"), c("elob_parametervalue").alias("value"))
     )
     offers = attributes.groupBy(c("elob_pl_resultid").alias("offers_of")).agg(

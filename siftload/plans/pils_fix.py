@@ -14,6 +14,7 @@ from siftload.sources.tables import Tables
 SOURCES = (
     "pl", "activity_pointer", "pl_result", "pl_sales_result", "opportunity", "account", "excluded_customers", "string_map", "pl_parameter",
 )
+BY_OWNER = ("pl_parameter",)
 TARGET = [
     "id_projektu", "data_utw_pil", "id_pil", "typ_pila", "status_pil", "pil_finalny", "czy_moc", "poziom_akceptacji", "kod_akceptacji",
     "sciezka_akceptacji_pil", "marza_kontrakt_proc", "wartosc_reve_nowa", "marza_uwzgl_prowizje_proc", "nazwa_uslugi_produktu",
@@ -27,8 +28,7 @@ SERVICE = "service"
 def attributes_of(t: Tables, wanted: DataFrame) -> DataFrame:
     """Attributes of the wanted calculations, staged: a small part of the largest table, read many times."""
     return staged(
-        t["pl_parameter"]
-        .join(wanted, c("elob_pl_resultid") == c("wanted_id"), "left_semi")
+        t.rows_of("pl_parameter", "elob_pl_resultid", wanted, "wanted_id")
         .select("elob_pl_resultid", F.lower("elob_name").alias("elob_name"), "elob_parametervalue")
     )
 
@@ -69,7 +69,6 @@ def build(t: Tables, p: Params) -> DataFrame:
         .join(sold, c("elob_pandl_id") == c("sold_id"))
     )
     attributes = attributes_of(t, calculations.select(c("sold_id").alias("wanted_id")))
-    found = Tables({"pl_parameter": attributes})
     out = calculations.join(services(attributes), c("sold_id") == c("service_of"), "left")
     for name, column, like in (
         (fv.COMMISSION_MARGIN, "commission", True),
@@ -77,7 +76,7 @@ def build(t: Tables, p: Params) -> DataFrame:
         (fv.SALES_CHANNEL, "channel", False),
         (fv.CASH_MARGIN, "cash_margin", False),
     ):
-        out = out.join(calculation_attributes(found, name, column, like), c("sold_id") == c(f"{column}_of"), "left")
+        out = out.join(calculation_attributes(attributes, name, column, like), c("sold_id") == c(f"{column}_of"), "left")
 
     def family_number(name: str):
         return numbers.to_number_or_zero(c(f"v_{name}")).alias(name)

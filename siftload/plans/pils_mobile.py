@@ -14,6 +14,7 @@ SOURCES = (
     "pl", "opportunity", "account", "excluded_customers", "sales_order", "mobile_order", "mobile_order_product", "process_stage", "string_map",
     "pl_result", "pl_sales_result", "pl_parameter", "misc_field", "contract", "system_user",
 )
+BY_OWNER = ("pl_parameter",)
 TARGET = [
     "NIP", "ID_SOW", "OWNER", "OWNER_CODE", "PROJECT_ID", "PROJECT_OWNER", "PROJECT_OWNER_CODE", "SALES_ORDER", "PIL_ID", "REVE_TOTAL",
     "REVE_INVOICES", "REVE_OPERATORS", "MARGIN", "MARGIN_TOTAL", "INFO_FULL", "INFO", "MO_ID", "MO_STATUS", "MO_STATE", "SALE_TYPE",
@@ -31,8 +32,8 @@ def window(p: Params):
 
 def results(t: Tables) -> DataFrame:
     """Figures of a calculation with the comment of its sales result."""
-    sold = t["pl_sales_result"].select(c("elob_pandl_id").alias("comment_of")).distinct()
-    comments = calculation_attributes(t, fv.CALCULATION_COMMENT, "comment").join(sold, "comment_of", "left_semi")
+    entries = t.rows_of("pl_parameter", "elob_pl_resultid", t["pl_sales_result"], "elob_pandl_id")
+    comments = calculation_attributes(entries, fv.CALCULATION_COMMENT, "comment")
     return t["pl_result"].join(comments, c("elob_pandl_id") == c("comment_of"), "left").select(
         "elob_plresultid",
         numbers.unit_scale(c("elob_mobile_committedrevenuekpln")).cast("double").alias("REVE_TOTAL"),

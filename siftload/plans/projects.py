@@ -14,6 +14,7 @@ from siftload.sources.tables import Tables
 SOURCES = (
     "opportunity", "account", "system_user", "pl", "activity_pointer", "string_map", "pl_result", "pl_sales_result", "pl_parameter", "status_history",
 )
+BY_OWNER = ("pl_parameter",)
 TARGET = [
     "PROJECT_ID", "PROJECT_NUMBER", "ID_SOW", "CUSTOMER_NAME", "PROJECT_NAME", "PROJECT_CREATE_DATE", "PROJECT_STEP", "PROJECT_OWNER",
     "PROJECT_OWNER_LOGIN", "EST_BILING_DATE", "EST_CLOSE_DATE", "PROJECT_STATE", "PROJECT_STATUS", "MARGIN", "REVENUE", "ESTIMATED_VALUE",
@@ -52,7 +53,7 @@ def mobile_amounts(t: Tables, wanted: DataFrame) -> DataFrame:
     name = F.lower("elob_name")
     invoice, operators = name.like(fv.INVOICE_REVENUE), name.like(fv.OPERATOR_REVENUE)
     amount = numbers.to_number_or_zero(c("elob_parametervalue"))
-    attributes = t["pl_parameter"].where(invoice | operators).join(wanted, c("elob_pl_resultid") == c("sold_id"), "left_semi")
+    attributes = t.rows_of("pl_parameter", "elob_pl_resultid", wanted, "sold_id").where(invoice | operators)
     sums = attributes.groupBy(c("elob_pl_resultid").alias("amounts_of")).agg(
         F.sum(F.when(invoice, amount).otherwise(0.0)).alias("invoiced"),
         F.greatest(F.count(F.when(invoice, F.lit(1))), F.lit(1)).alias("invoices"),

@@ -7,6 +7,8 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siftload.sources.owned import OwnedRows
+
 # Largest row count that may be sent to every executor. Code dictionaries, users and product lists
 # stay far below; a table beyond it is joined by shuffle instead.
 MAX_BROADCAST_ROWS = 500_000
@@ -49,6 +51,7 @@ class Tables:
     def __init__(self, frames: Mapping[str, DataFrame] | None = None, max_broadcast_rows: int = MAX_BROADCAST_ROWS):
         self._frames: dict[str, DataFrame] = dict(frames or {})
         self._small: dict[str, bool] = {}
+        self._owned: dict[str, OwnedRows] = {}
         self.max_broadcast_rows = max_broadcast_rows
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -62,7 +65,23 @@ class Tables:
 
     def replaced(self, name: str, df: DataFrame) -> Tables:
         """The same tables with another frame under one name."""
-        return Tables({**self._frames, name: df}, self.max_broadcast_rows)
+        out = Tables({**self._frames, name: df}, self.max_broadcast_rows)
+        out._owned = {k: v for k, v in self._owned.items() if k != name}
+        return out
+
+    def with_owned(self, owned: Mapping[str, OwnedRows]) -> Tables:
+        """The same tables, some of which are also laid out by owner."""
+        out = Tables(self._frames, self.max_broadcast_rows)
+        out._owned = {**self._owned, **owned}
+        return out
+
+    def rows_of(self, name: str, owner: str, wanted: DataFrame, key: str) -> DataFrame:
+        """Rows of ``name`` whose owner is among the values of ``key``: without a shuffle of the rows where they are laid out by owner."""
+        laid_out = self._owned.get(name)
+        if laid_out is not None and laid_out.owner == owner:
+            return laid_out.of(wanted, key)
+        ids = wanted.select(F.col(key).alias("__id"))
+        return self[name].join(ids, F.col(owner) == F.col("__id"), "left_semi")
 
     def names(self) -> list[str]:
         return sorted(self._frames)
@@ -70,6 +89,7 @@ class Tables:
     def register(self, name: str, df: DataFrame) -> Tables:
         self._frames[name] = df
         self._small.pop(name, None)
+        self._owned.pop(name, None)
         return self
 
     def register_namespace(self, namespace: str, other: Tables) -> Tables:

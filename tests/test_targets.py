@@ -114,6 +114,7 @@ class Step(Plan):
     built: list = []
     sources = ()
     needs = ()
+    by_owner = ()
 
     def build(self, tables, params):
         Step.built.append(self.key)
