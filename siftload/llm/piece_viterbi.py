@@ -16,9 +16,13 @@ from siftload.llm.common import text_runs
 BLANK = "▁"
 # Multiplier of the substring hashes (odd, 64 bits).
 BASE = np.uint64(0x9E3779B97F4A7C15)
-# Words that are searched at once, and words whose ids a Python worker keeps.
+# Words that are searched at once, and bytes of words and ids that a Python worker keeps for later batches.
 MOST_AT_ONCE = 1 << 15
-MOST_KEPT = 1 << 19
+MOST_KEPT_BYTES = 128 << 20
+# Longer words, which hardly ever have another one of their length beside them, are searched by themselves and not
+# kept; their places are probed this many at once.
+LONG_WORD = 64
+PLACES_AT_ONCE = 1 << 16
 
 
 @dataclass
@@ -150,12 +154,79 @@ def viterbi(codes: np.ndarray, pieces: Pieces) -> list[bytes]:
     return [b"".join(reversed(p)) for p in parts]
 
 
+def hits_of(codes: np.ndarray, pieces: Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All pieces in the codes as (end, length, score, id), by end and length; the hash of every substring grows with its length."""
+    found = [(np.array([], np.int64), np.array([], np.int64), np.array([]), np.array([], np.int32))]
+    hashed = np.zeros(len(codes), np.uint64)
+    for m in range(1, min(len(codes), len(pieces.hashes) - 1) + 1):
+        hashed = hashed[: len(codes) - m + 1] * BASE + (codes[m - 1 :] + np.uint64(1))
+        known = pieces.hashes[m]
+        if len(known):
+            at = np.minimum(np.searchsorted(known, hashed), len(known) - 1)
+            starts = np.flatnonzero(known[at] == hashed)
+            at = at[starts]
+            found.append((starts + m, np.full(len(starts), m), pieces.scores[m][at], pieces.ids[m][at]))
+    ends, lengths, scores, ids = (np.concatenate(part) for part in zip(*found, strict=True))
+    order = np.lexsort((lengths, ends))
+    return ends[order], lengths[order], scores[order], ids[order]
+
+
+def viterbi_long(codes: np.ndarray, pieces: Pieces) -> bytes:
+    """What ``viterbi`` finds for one long word, in time that grows with its length.
+
+    The probes of many places go together instead of those of many words; one pass over the places takes the maxima. Besides
+    the way back (six bytes a character) only one slice of places is in memory.
+    """
+    width, longest = len(codes), len(pieces.hashes) - 1
+    length_at = np.ones(width + 1, np.int16)
+    piece_at = np.full(width + 1, -1, np.int32)
+    costs = 1 + (codes > 0x7F).astype(np.int64) + (codes > 0x7FF) + (codes > 0xFFFF)
+    tail = [0.0]  # best totals of the last places before the slice, its border included
+    for low in range(0, width, PLACES_AT_ONCE):
+        high = min(width, low + PLACES_AT_ONCE)
+        back = len(tail) - 1
+        ends, lengths, scores, ids = hits_of(codes[low - back : high], pieces)
+        first = np.searchsorted(ends, back, "right")
+        bounds = (np.searchsorted(ends, np.arange(back + 1, back + high - low + 2)) - first).tolist()
+        lengths, scores, ids = lengths[first:].tolist(), scores[first:].tolist(), ids[first:].tolist()
+        best, steps, chosen = tail, [], []
+        for place, cost in enumerate((pieces.byte_score * costs[low:high]).tolist()):
+            top, step, piece = best[-1] + cost, 1, -1
+            for i in range(bounds[place], bounds[place + 1]):
+                total = best[-lengths[i]] + scores[i]
+                if total >= top:
+                    top, step, piece = total, lengths[i], ids[i]
+            best.append(top)
+            steps.append(step)
+            chosen.append(piece)
+        length_at[low + 1 : high + 1] = steps
+        piece_at[low + 1 : high + 1] = chosen
+        tail = best[-longest:]
+    out: list[int] = []
+    end = width
+    while end:
+        piece = int(piece_at[end])
+        if piece >= 0:
+            out.append(piece)
+        else:
+            out.extend(pieces.byte_ids[list(chr(int(codes[end - 1])).encode())][::-1].tolist())
+        end -= int(length_at[end])
+    return np.array(out[::-1], "<i4").tobytes()
+
+
+def code_points(words: list[str]) -> np.ndarray:
+    """Words of one length as rows of code points."""
+    raw = "".join(words).encode("utf-32-le", "surrogatepass")
+    return np.frombuffer(raw, "<u4").reshape(len(words), -1).astype(np.uint64)
+
+
 class Encoder:
-    """Ids of words, searched in batches of equal length and kept up to a fixed number."""
+    """Ids of words, searched in batches of equal length. Those of short words are kept up to a fixed number of bytes."""
 
     def __init__(self, pieces: Pieces):
         self.pieces = pieces
         self.kept: dict[str, bytes] = {}
+        self.kept_bytes = 0
         lines = "\n" if pieces.lines_apart else ""
         self.words = re.compile(f"{BLANK}*[^{BLANK}{lines}]+|{BLANK}+" + ("|\n" if lines else "")).findall
 
@@ -163,26 +234,36 @@ class Encoder:
         """Blanks become marks, with one in front. No piece has a mark after another character, so words start at marks."""
         return self.words(BLANK + text.replace(" ", BLANK)) if text else []
 
-    def learn(self, words: set[str]) -> None:
-        if len(self.kept) > MOST_KEPT:
+    def learn(self, words: set[str]) -> dict[str, bytes]:
+        """Sees to the ids of the words; returns those of long ones, which are for this batch only."""
+        if self.kept_bytes > MOST_KEPT_BYTES:
             self.kept.clear()
+            self.kept_bytes = 0
         by_length: dict[int, list[str]] = {}
         for word in words:
             if word not in self.kept:
                 by_length.setdefault(len(word), []).append(word)
+        long: dict[str, bytes] = {}
         for length, own in by_length.items():
-            step = max(1, MOST_AT_ONCE // max(1, length // 16))
-            for i in range(0, len(own), step):
-                some = own[i : i + step]
-                codes = np.frombuffer("".join(some).encode("utf-32-le", "surrogatepass"), "<u4").reshape(len(some), length).astype(np.uint64)
-                self.kept.update(zip(some, viterbi(codes, self.pieces), strict=True))
+            if length > LONG_WORD:
+                long.update((word, viterbi_long(code_points([word])[0], self.pieces)) for word in own)
+                continue
+            for i in range(0, len(own), MOST_AT_ONCE):
+                some = own[i : i + MOST_AT_ONCE]
+                found = viterbi(code_points(some), self.pieces)
+                self.kept.update(zip(some, found, strict=True))
+                # A dictionary entry with its two objects takes about 200 bytes besides what they hold.
+                self.kept_bytes += len(some) * (200 + 4 * length) + sum(map(len, found))
+        return long
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         split = [self.split(t) for t in texts]
-        self.learn(set().union(*split))
-        ids = self.kept.__getitem__
-        return [b"".join(map(ids, words)) for words in split]
+        long = self.learn(set().union(*split))
+        if not long:
+            ids = self.kept.__getitem__
+            return [b"".join(map(ids, words)) for words in split]
+        return [b"".join([long[w] if len(w) > LONG_WORD else self.kept[w] for w in words]) for words in split]
 
 
 def decode(ids: np.ndarray, pieces: Pieces) -> str:

@@ -1,6 +1,7 @@
 """The piece search against a plain dynamic program, and exact round trips."""
 
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -47,6 +48,39 @@ def test_best_total_and_round_trip():
             assert abs(score_of(ids.tolist()) - plain_best(text)) < 1e-6
 
 
+def test_long_words_are_searched_alike(monkeypatch):
+    rng = random.Random(9)
+    words = ["x" * 300, "é" * 200, "🙂漢" * 90, "a", "ab", *("".join(rng.choices("abcdeéthing🙂", k=rng.randrange(1, 700))) for _ in range(60))]
+    for places in (piece_viterbi.PLACES_AT_ONCE, 1, 7, 50):
+        monkeypatch.setattr(piece_viterbi, "PLACES_AT_ONCE", places)
+        for word in words:
+            codes = piece_viterbi.code_points([word])
+            assert piece_viterbi.viterbi_long(codes[0], PIECES) == piece_viterbi.viterbi(codes, PIECES)[0]
+
+
+def test_one_word_of_a_megabyte():
+    rng = random.Random(2)
+    texts = ["x" * 1_000_000, "".join(rng.choices("abcdefghijklmnoprstu漢字", k=1_000_000))]
+    encoder = piece_viterbi.Encoder(PIECES)
+    for text in texts:
+        began = time.monotonic()
+        raw = encoder.encode([text])[0]
+        assert time.monotonic() - began < 20
+        assert piece_viterbi.decode(np.frombuffer(raw, "<i4"), PIECES) == text
+    assert not encoder.kept
+
+
+def test_kept_words_are_bounded_in_bytes(monkeypatch):
+    monkeypatch.setattr(piece_viterbi, "MOST_KEPT_BYTES", 20_000)
+    encoder = piece_viterbi.Encoder(PIECES)
+    fresh = piece_viterbi.Encoder(PIECES)
+    for i in range(40):
+        text = " ".join(f"w{i}x{j}" for j in range(20)) + " same " + "y" * 100
+        assert encoder.encode([text]) == [b"".join(fresh.encode([text]))]
+        assert encoder.kept_bytes < 40_000 and len(encoder.kept) < 200
+    assert len(fresh.kept) < 200
+
+
 def test_rows(spark):
     importable(spark)
     rows = [(i, t, [1]) for i, t in enumerate(TEXTS)] + [(0, "", [1]), (None, "a", None), (99, "▁", None)]
