@@ -10,7 +10,10 @@ from siftload.plans import fixed_values as fv
 from siftload.plans.params import Params
 from siftload.sources.tables import Tables
 
-PARAMS = Params(as_of="2024-06-30 12:00:00", potential_products=("Orchard",), fix_category="FIX", mobile_category="MOB")
+PARAMS = Params(
+    as_of="2024-06-30 12:00:00", potential_products=("Orchard",), fix_category="FIX", mobile_category="MOB", sites=("S1",),
+    campaign_creators=("U1",), campaign_queues=("Q1",), campaign_callers_left_out=("U9",),
+)
 
 
 @pytest.fixture
@@ -148,3 +151,91 @@ def test_contacts(extract):
     assert len(got) == 1
     assert got[0][:8] == ("T1", "1", "", "K1", "three", "kkb x", "Ann", "Boss")
     assert got[0][9:] == ("FullName", "First", "", " ", "x@example.com")
+
+
+def test_project_products(extract):
+    start = datetime.fromisoformat(PARAMS.project_products_from)
+    got = extract(
+        "project_products",
+        opportunity=([
+            ("O1", "P 1", start, "A1", "U1", 2), ("O2", "P2", datetime(2017, 12, 31, 23, 59), "A1", "U1", 2), ("O3", "P3", start, "A1", "U9", 2),
+            ("O4", "P4", start, "A2", "U1", 2), ("O5", "P5", start, "A1", "U1", None),
+        ], "opportunityid string, elob_opportunityid string, createdon timestamp_ntz, accountid string, ownerid string, elob_productcategory int"),
+        opportunity_product=([
+            ("O1", "PR1", "S P1", Decimal("10.60"), None, Decimal("3.00"), 100, 18, Decimal("2.00"), 0),
+            ("O1", "PR9", "X", None, None, None, 24, 5, None, 1), ("O4", "PR1", "Y", None, None, None, 24, 5, None, 1),
+        ], "opportunityid string, productid string, elob_soldproduct string, baseamount decimal(14,2), elob_totalmonthlyfee decimal(14,2), elob_finalupfrontpayment decimal(14,2), elob_contractduration int, elob_specifydurationinmonths int, elob_quantity decimal(10,2), elob_saletype int"),
+        product=([("PR1", "svc", "N1", "PR2"), ("PR2", "group", None, None)], "productid string, name string, productnumber string, elob_service string"),
+        account=([("A1", 1), ("A2", 3)], "accountid string, elob_businesssegment int"),
+        system_user=([("U1",)], "systemuserid string"),
+        string_map=([entry(fv.SALE_TYPE, 0, "Nowa Sprzedaż"), entry(fv.SALE_TYPE, 1, " "), entry(fv.PRODUCT_CATEGORY, 2, "cat")], DICTIONARY),
+    )
+    assert got == [
+        ("P1", "", None, "X", None, 0, 0, 0, 24, 0, "cat", None),
+        ("P1", "Nowa sprzedaż", "svc", "SP1", "N1", 11, 0, 3, 18, 2, "cat", "group"),
+        ("P5", None, None, None, None, 0, 0, 0, 0, 0, None, None),
+    ]
+
+
+def test_e_contracts(extract):
+    start = datetime.fromisoformat(PARAMS.fixed_orders_from)
+
+    def order(number, status=1, created=start, owner="U1", second=None, operation=1, customer="A1", product="SP1", contract="C1"):
+        return (number, status, created, owner, second, operation, customer, product, contract)
+
+    got = extract(
+        "e_contracts",
+        fixed_order=([
+            order("N1"), order("N2", owner="U2", second="U1"), order("N3", owner="U2"), order(None), order("N4", created=datetime(2019, 6, 30, 23, 59)),
+            order("N5", status=fv.ORDER_CANCELLED), order("N6", operation=9), order("N7", product="SP2"), order("N8", contract="C2"), order("N9", customer="A2"),
+            order("N10", owner="U7", second="U1"),
+        ], "elob_ordernumber string, statuscode int, createdon timestamp_ntz, ownerid string, elob_doublebooking string, elob_operation int, elob_customer string, elob_soldproduct string, elob_contract string"),
+        string_map=([
+            entry(fv.ORDER_STATUS, 1, "new"), entry(fv.ORDER_STATUS, fv.ORDER_CANCELLED, "off"), entry(fv.ORDER_OPERATION_POLISH, 1, "op"), entry(fv.SEGMENT, 1, "one"),
+            entry(fv.CONTRACT_TYPE, 1, "kind"), entry(fv.CONTRACT_STATUS, 6, "active"), entry(fv.TRANSFER_DOCUMENT, fv.ECONTRACT, "e-doc"),
+        ], DICTIONARY),
+        account=([("A1", "1", "K1", 1), ("A2", "2", "k9 ", 1)], "accountid string, elob_nip string, elob_sowid string, elob_businesssegment int"),
+        excluded_customers=([("K9",)], "elob_sowid string"),
+        sold_product=([("SP1", None), ("CH1", "SP1"), ("CH2", "SP1"), ("SP2", None)], "elob_soldproductid string, elob_parentsoldproduct string"),
+        contract=([
+            ("C1", "U/1", 1, fv.ECONTRACT, 7, 6, datetime(2019, 12, 31, 23, 30), None, datetime(2020, 5, 5, 23)),
+            ("C2", "U/2", 1, 1, 7, 6, None, None, None),
+        ], "contractid string, contractnumber string, elob_contracttype int, elob_transferdocumenttype int, elob_econtractstatus int, statuscode int, elob_senttocustomeron timestamp_ntz, elob_signedbycustomeron timestamp_ntz, modifiedon timestamp_ntz"),
+        system_user=([("U1", "S1", "B1"), ("U2", "S2", "B1")], "systemuserid string, siteid string, businessunitid string"),
+    )
+    rest = ("1", "K1", "U/1", "active", "kind", "e-doc", "2020-01-01 00:30", "", "", "2020-05-05")
+    assert got == [("N1", *rest), ("N2", *rest)]
+
+
+def test_campaigns(extract):
+    day = datetime(2020, 2, 3)
+
+    def pointer(id, about, subject="call\n", created=day, by="U2", status=1):
+        return (id, about, subject, created, datetime(2020, 10, 25, 0, 1), datetime(2021, 10, 31), None, by, "U1", "U2", status, 0)
+
+    got = extract(
+        "campaigns",
+        campaign=([("K1", "Camp", "KMP-1", "U1", day), ("K2", "Other", "KMP-2", "U2", day)], "campaignid string, name string, elob_campaignid string, createdby string, createdon timestamp_ntz"),
+        system_user=([("U1", "Ann"), ("U2", "Bob"), ("U9", "Out")], "systemuserid string, fullname string"),
+        activity_pointer=([
+            pointer("CA1", "K1", "ac\ntion"), pointer("CA2", "K2"), pointer("E1", "CA1", created=datetime(2020, 10, 25)), pointer("E2", "CA2"),
+            pointer("E3", "CA1", status=fv.PHONE_CALL_CANCELLED), pointer("E4", "CA1", by="U9"), pointer("E5", "CA1"), pointer("E6", "CA1", "plain"),
+            pointer("E7", "CA1"), pointer("E8", None),
+        ], "activityid string, regardingobjectid string, subject string, createdon timestamp_ntz, modifiedon timestamp_ntz, scheduledstart timestamp_ntz, scheduledend timestamp_ntz, createdby string, modifiedby string, ownerid string, statuscode int, statecode int"),
+        campaign_activity=([("CA1",), ("CA2",)], "activityid string"),
+        phone_call=([("E1", "A1", "LD1", "AN1", None, "no\nte")] + [(e, None, None, None, None, None) for e in ("E2", "E3", "E4", "E5", "E6", "E8")],
+            "activityid string, elob_relatedaccount string, elob_relatedlead string, elob_answer string, elob_onholddate timestamp_ntz, new_1 string"),
+        string_map=([entry(fv.PHONE_CALL_STATUS_POLISH, 1, "open"), entry(fv.PHONE_CALL_STATUS_POLISH, 3, "off"), entry(fv.PHONE_CALL_STATE, 0, "state")], DICTIONARY),
+        campaign_answer=([("AN1", "yes")], "elob_marketingcampainanswersid string, elob_answer string"),
+        queue_item=([("E1", "Q1", "U1", datetime(2019, 1, 1, 10), None), ("E5", "Q2", "U1", day, day)], "objectid string, queueid string, workerid string, enteredon timestamp_ntz, workeridmodifiedon timestamp_ntz"),
+        queue=([("Q1", "Queue"), ("Q2", "Other")], "queueid string, name string"),
+        lead=([("LD1", "lead", "ML1")], "leadid string, subject string, elob_marketinglistid string"),
+        account=([("A1", "K1", None, "Acc\nName")], "accountid string, elob_sowid string, elob_nip string, name string"),
+    )
+    step = ("Camp", "KMP-1", "2020-02-03", "action", "2020-02-03")
+    later = ("2020-10-25 01:01", "Ann", "Bob", "2021-10-31 02:00", "", "state", "open", "")
+    assert got == [
+        # A time on the border of two summer-time ranges belongs to the first; one outside all of them is shifted by two hours.
+        (*step, "call", "2020-10-25 02:00", "Queue", "2019-01-01 12:00", "", "Ann", *later, "note", "lead", "ML1", "K1", "", "AccName", "yes", "Bob"),
+        (*step, "plain", "2020-02-03 02:00", "", "", "", "", *later, "", "", "", "", "", None, "", "Bob"),
+    ]
