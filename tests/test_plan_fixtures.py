@@ -301,3 +301,37 @@ def test_projects(extract):
         "CUSTOMER_BUDGET": 0.0, "SALE_TYPE": None,
     }.items():
         assert set(column[name]) == {value}, name
+
+
+def test_contracts(extract):
+    start = datetime.fromisoformat(PARAMS.contracts_from)
+
+    def contract(id, kind="FIX", created=start, customer="A1", status=6, verified=None):
+        return (id, f"U/{id}", customer, status, kind, created, verified)
+
+    got = extract(
+        "contracts",
+        contract=([
+            contract("C 1", verified=datetime(2024, 5, 5, 23, 59)), contract("C2", "MOB"), contract("C3", "OTH"), contract("C4", created=datetime(2022, 12, 31, 23, 59)),
+            contract("C5", customer="A2"), contract("C6", status=77), contract("C7", "none"), contract("C8"), contract("C9", customer=None),
+        ], "contractid string, contractnumber string, customerid string, statuscode int, elob_categoryid string, createdon timestamp_ntz, elob_revisiondate timestamp_ntz"),
+        category=([("FIX", "fixed"), ("MOB", "mobile"), ("OTH", "other")], "elob_categoryid string, elob_name string"),
+        account=([("A1", "K1"), ("A2", "k9 ")], "accountid string, elob_sowid string"),
+        excluded_customers=([("K9",)], "elob_sowid string"),
+        fixed_order=([("C 1", "N1"), ("C 1", "N2"), ("C 1", "N2"), ("C2", "N9"), (None, "N0")], "elob_contract string, elob_ordernumber string"),
+        mobile_order=([("M1", "C 1"), ("M2", "C2"), ("M3", "C2")], "elob_mobileorderid string, elob_contract string"),
+        mobile_order_item=([("M1", "481"), ("M2", "482"), ("M2", None)], "elob_mobileorder string, elob_msisdnnumber string"),
+        string_map=([entry(fv.CONTRACT_STATUS, 6, "Active")], DICTIONARY),
+        contract_archive=([
+            ("C 1", datetime(2024, 1, 31, 12), "ZARCHIWIZOWANO w teczce"), ("C 1", datetime(2023, 1, 1), "inne"), ("C3", None, "ZARCHIWIZOWANO w teczce"),
+        ], "elob_contract string, elob_archivingdate timestamp_ntz, elob_comments string"),
+    )
+    # A fixed contract shows its orders, a mobile one its numbers, neither those of the other kind.
+    assert got == [
+        ("U/C 1", "ACTIVE", "FIXED", "N1", "C1", "2024-05-05", "2024-02-01"),
+        ("U/C 1", "ACTIVE", "FIXED", "N2", "C1", "2024-05-05", "2024-02-01"),
+        ("U/C2", "ACTIVE", "MOBILE", "", "C2", "", ""),
+        ("U/C2", "ACTIVE", "MOBILE", "482", "C2", "", ""),
+        ("U/C3", "ACTIVE", "OTHER", "", "C3", "", ""),
+        ("U/C8", "ACTIVE", "FIXED", "", "C8", "", ""),
+    ]
