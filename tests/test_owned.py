@@ -12,7 +12,8 @@ from siftload.plans.projects import mobile_amounts
 from siftload.session import work_dir
 from siftload.sinks.audit import RunAudit
 from siftload.sinks.target import ParquetTarget
-from siftload.sources.owned import buckets_for, owned_rows
+from siftload.sources import owned
+from siftload.sources.owned import buckets_for, owned_rows, row_bytes
 from siftload.sources.tables import Tables
 
 FOLDER = "/root/testdata/sf0.001"
@@ -71,6 +72,39 @@ def test_number_of_buckets():
     assert buckets_for(0, 10, 8) == 8 and buckets_for(801, 10, 8) == 81 and buckets_for(10**15, 10, 8) == 100_000
 
 
+def test_few_rows_a_bucket_do_not_make_a_task_each(frame, by_shuffle):
+    some = [(f"o{i % 900}", f"n{i}", i) for i in range(5000)] + [("hot", "n", i) for i in range(2000)] + [(None, "n", 1)]
+    table = frame(some, SCHEMA)
+    wanted = frame([(f"o{i}",) for i in range(0, 900, 7)] + [("hot",), (None,)], "id string")
+    with owned_rows(table, "owner", rows_per_bucket=10) as laid_out:
+        assert laid_out.buckets == laid_out.bucketed.rdd.getNumPartitions() == 8
+        assert [r[0] for r in laid_out.hot.collect()] == ["hot"]
+        asked = {r[0] for r in wanted.collect()} - {None}
+        found = laid_out.of(wanted, "id")
+        assert is_laid_out(found)
+        assert rows(found) == rows(table.where(F.col("owner").isin(*asked)))
+        assert rows(laid_out.whole()) == rows(table)
+
+
+def test_wide_rows_have_more_buckets_and_wide_owners_none(monkeypatch, frame, by_shuffle):
+    monkeypatch.setattr(owned, "LEAST_BUCKET_BYTES", 10_000)
+    table = frame([(f"o{i}", "x" * 936, i) for i in range(300)] + [("wide", "x" * 30_000, 1), (None, None, None)], SCHEMA)
+    wanted = frame([("o1",), ("wide",)], "id string")
+    with owned_rows(table, "owner", rows_per_bucket=2) as laid_out:
+        # 300 rows of about 1,000 bytes and one of 30,000 fill 34 buckets of 10,000; by rows there would be 151.
+        assert laid_out.buckets == 34
+        assert [r[0] for r in laid_out.hot.collect()] == ["wide"]
+        assert sorted(r.owner for r in laid_out.of(wanted, "id").collect()) == ["o1", "wide"]
+        assert rows(laid_out.whole()) == rows(table)
+    with owned_rows(table, "owner", rows_per_bucket=100) as laid_out:
+        assert laid_out.buckets == 8
+
+
+def test_bytes_of_a_row(frame):
+    table = frame([("ab", None, [1, 22], 7), (None, bytearray(b"xyz"), None, None)], "a string, `b.c` binary, l array<int>, n int")
+    assert [r[0] for r in table.select(row_bytes(table)).collect()] == [80 + 2 + len("[1, 22]"), 80 + 3]
+
+
 def test_plans_do_not_shuffle_the_attributes(spark, by_shuffle):
     star = Star(spark, FOLDER)
     tables = crm_tables(star, PLANS["pils_mobile"].sources)
